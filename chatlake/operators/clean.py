@@ -27,14 +27,14 @@ def keep_clean(messages: DataFrame, after: int | None = None) -> DataFrame:
 def clean(
     messages: DataFrame,
     after: int | None = None,
-    stored: DataFrame | None = None,
+    earlier: DataFrame | None = None,
     sizes: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Cleaned messages with conversation id and 0-based index by time within the chat.
 
-    The index restarts at 0 in every batch; given the `stored` cleaned rows it goes on
-    behind them instead.
+    The index restarts at 0 in every batch. Given `earlier`, the `chat_sizes` of the rows
+    cleaned before, it goes on behind these instead. `sizes` is as in `number_rows`.
     """
     kept = keep_clean(messages, after)
     if sizes is None:
@@ -47,8 +47,8 @@ def clean(
         sizes=sizes,
         hot_rows=hot_rows,
     )
-    if stored is not None:
-        numbered = _continue_index(numbered, stored, sizes)
+    if earlier is not None:
+        numbered = _continue_index(numbered, earlier)
     return numbered.select(
         "message_id",
         "chat_id",
@@ -63,15 +63,13 @@ def clean(
     )
 
 
-def _continue_index(numbered, stored, batch):
-    """Shift by the rows stored per chat, counted for the chats of this batch only."""
-    chats = batch.select("chat_id").distinct()
-    offsets = (
-        stored.select("chat_id")
-        .join(chats, "chat_id", "left_semi")
-        .groupBy("chat_id")
-        .agg(F.count(F.lit(1)).alias("_stored"))
-    )
+def chat_sizes(cleaned: DataFrame) -> DataFrame:
+    """Cleaned rows per chat."""
+    return cleaned.groupBy("chat_id").agg(F.count(F.lit(1)).alias("message_count"))
+
+
+def _continue_index(numbered, earlier):
+    offsets = earlier.groupBy("chat_id").agg(F.sum("message_count").alias("_offset"))
     return numbered.join(offsets, "chat_id", "left").withColumn(
-        "message_index", F.col("message_index") + F.coalesce(F.col("_stored"), F.lit(0))
+        "message_index", F.col("message_index") + F.coalesce(F.col("_offset"), F.lit(0))
     )

@@ -54,7 +54,7 @@ def conversations(cleaned: DataFrame, part_messages: int = PART_MESSAGES) -> Dat
     )
 
 
-def lead_with_system(messages: Column, part: Column, prompt: Column) -> Column:
+def lead_with_system(messages: Column, part: Column, prompt: Column | str) -> Column:
     """Put the system message before the first message of a conversation."""
     opening = F.array(chat_message("system", prompt))
     return F.when(part == 0, F.concat(opening, messages)).otherwise(messages)
@@ -62,7 +62,7 @@ def lead_with_system(messages: Column, part: Column, prompt: Column) -> Column:
 
 def training_examples(
     cleaned: DataFrame,
-    prompt: Column,
+    prompt: Column | str,
     min_messages: int = 3,
     part_messages: int = PART_MESSAGES,
 ) -> DataFrame:

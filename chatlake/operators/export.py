@@ -117,7 +117,7 @@ def by_size(documents: DataFrame) -> DataFrame:
     return documents.orderBy(F.desc("message_count"), "chat_id", "part")
 
 
-def full_conversations(documents: DataFrame, prompt: Column) -> DataFrame:
+def full_conversations(documents: DataFrame, prompt: Column | str) -> DataFrame:
     """Whole conversations as examples: system prompt, then user and assistant messages."""
 
     def relabelled(message: Column) -> Column:

@@ -63,7 +63,7 @@ def reply_pairs(
     )
 
 
-def pair_messages(prompt: Column) -> Column:
+def pair_messages(prompt: Column | str) -> Column:
     """System message, context, question and reply as one array."""
     return F.concat(
         F.array(chat_message("system", prompt)),
@@ -74,6 +74,6 @@ def pair_messages(prompt: Column) -> Column:
     )
 
 
-def pair_line(prompt: Column) -> Column:
+def pair_line(prompt: Column | str) -> Column:
     """JSON line `{"messages"}` of one pair."""
     return F.to_json(F.struct(pair_messages(prompt).alias("messages")))

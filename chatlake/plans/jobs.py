@@ -45,8 +45,8 @@ def run_clean(
 ) -> int:
     """Clean extracted messages above the mark; returns the number of rows stored."""
     mark = store.mark(CLEAN)
-    stored = store.read(CLEAN) if index_scope == "conversation" else None
-    rows = clean(store.read(EXTRACT), after=mark, stored=stored, hot_rows=hot_rows)
+    earlier = store.sizes_before(mark) if index_scope == "conversation" else None
+    rows = clean(store.read(EXTRACT), after=mark, earlier=earlier, hot_rows=hot_rows)
     store.write_batch(CLEAN, rows, mark)
     row_count, last_id = store.batch_summary(CLEAN, mark)
     if row_count == 0:
@@ -65,14 +65,13 @@ def run_from_scratch(source: ChatSource, store: MessageStore) -> tuple[int, int]
 def run_prepare(
     cleaned: DataFrame,
     path: str,
-    prompt: Column | None = None,
+    prompt: Column | str = style.PLAIN_PROMPT,
     min_messages: int = 3,
     val_ratio: float = 0.1,
     seed: int = 42,
     part_messages: int = cv.PART_MESSAGES,
 ) -> None:
     """Write examples as JSON lines per split, and metadata, below `path`."""
-    prompt = F.lit(style.PLAIN_PROMPT) if prompt is None else prompt
     sizes = cv.conversation_sizes(cleaned)
     eligible = sizes.filter(F.col("message_count") >= min_messages)
     examples = cv.training_examples(cleaned, prompt, min_messages, part_messages)

@@ -61,6 +61,7 @@ CLEANED = _schema(
     conversation_id=StringType(),
     message_index=LongType(),
 )
+CHAT_SIZES = _schema(chat_id=LongType(), message_count=LongType())
 PROGRESS = _schema(
     batch_id=LongType(),
     last_id=LongType(),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake import schemas
+from chatlake.operators.clean import chat_sizes
 from chatlake.operators.keys import DuplicateMessageError, duplicate_ids, ids_already_stored
 
 EXTRACT = "extract"
@@ -29,7 +30,12 @@ STAGES = {
     EXTRACT: Stage(EXTRACT, "messages"),
     CLEAN: Stage(CLEAN, "cleaned_messages"),
 }
-_TABLE_SCHEMAS = {"messages": schemas.EXTRACTED, "cleaned_messages": schemas.CLEANED}
+_SIZES = "chat_sizes"
+_TABLE_SCHEMAS = {
+    "messages": schemas.EXTRACTED,
+    "cleaned_messages": schemas.CLEANED,
+    _SIZES: schemas.CHAT_SIZES,
+}
 
 
 def latest_mark(status: DataFrame, stage: Column | None = None) -> DataFrame:
@@ -66,6 +72,10 @@ class MessageStore:
         self.database = database
         self.location = location
 
+    def on(self, spark: SparkSession) -> MessageStore:
+        """The same tables seen from another session, e.g. that of a micro-batch."""
+        return MessageStore(spark, self.database, self.location)
+
     def _name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 
@@ -100,34 +110,54 @@ class MessageStore:
                 f"DROP IF EXISTS PARTITION (stage = '{stage.name}')"
             )
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(stage.table)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(_SIZES)}")
         self.create()
 
+    def _table(self, table: str) -> DataFrame:
+        """The table as it is now, also when another session wrote to it."""
+        self.spark.catalog.refreshTable(self._name(table))
+        return self.spark.table(self._name(table))
+
     def progress(self, stage: str) -> DataFrame:
-        return self.spark.table(self._name("progress")).filter(F.col("stage") == stage)
+        return self._table("progress").filter(F.col("stage") == stage)
 
     def mark(self, stage: str) -> int:
         return latest_mark(self.progress(stage)).first()["last_id"]
 
     def read(self, stage: str, batch_id: int | None = None) -> DataFrame:
         """Committed rows of a stage, or the rows of one batch."""
-        table = self.spark.table(self._name(STAGES[stage].table))
+        table = self._table(STAGES[stage].table)
         if batch_id is not None:
             return table.filter(F.col("batch_id") == batch_id)
-        committed = self.progress(stage).select("batch_id")
-        return table.join(committed, "batch_id", "left_semi")
+        return self._committed(table, stage)
+
+    def _committed(self, table, stage):
+        return table.join(self.progress(stage).select("batch_id"), "batch_id", "left_semi")
+
+    def sizes_before(self, batch_id: int) -> DataFrame:
+        """`chat_sizes` of the committed cleaned batches other than this one.
+
+        Kept beside the messages, so that going on with an index reads one row per chat and
+        batch and not all that was ever cleaned.
+        """
+        table = self._table(_SIZES).filter(F.col("batch_id") != batch_id)
+        return self._committed(table, CLEAN)
 
     def write_batch(self, stage: str, rows: DataFrame, batch_id: int) -> None:
         """Write a batch, replacing an earlier attempt, and check its keys."""
-        table = STAGES[stage].table
-        columns = _TABLE_SCHEMAS[table].fieldNames()
         # Ids in order within each file keep its statistics narrow for mark and key filters.
-        ordered = rows.select(*columns).sortWithinPartitions("message_id")
+        ordered = rows.sortWithinPartitions("message_id")
+        self._overwrite(STAGES[stage].table, ordered, batch_id)
+        self._check_keys(stage, batch_id)
+        if stage == CLEAN:
+            self._overwrite(_SIZES, chat_sizes(self.read(CLEAN, batch_id)), batch_id)
+
+    def _overwrite(self, table, rows, batch_id):
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self._name(table)} PARTITION (batch_id = {int(batch_id)}) "
             "SELECT * FROM {rows}",
-            rows=ordered,
+            rows=rows.select(*_TABLE_SCHEMAS[table].fieldNames()),
         )
-        self._check_keys(stage, batch_id)
 
     def _check_keys(self, stage, batch_id):
         batch = self.read(stage, batch_id)

@@ -29,8 +29,6 @@ def _plain(value):
         return None
     if hasattr(value, "item"):
         value = value.item()
-    if isinstance(value, float) and value.is_integer():
-        return int(value)
     return value
 
 
@@ -50,7 +48,7 @@ def difference(spark_frame: DataFrame, sql: str, connection) -> str | None:
     if len(ours) != len(theirs):
         return f"{len(ours)} and {len(theirs)} rows"
     for left, right in zip(ours, theirs):
-        if left != right:
+        if repr(left) != repr(right):
             return f"row {left!r} and {right!r}"
     return None
 

@@ -222,7 +222,7 @@ _NUMBERED_MESSAGES = "message_index, conversation_id, message_id, chat_id, text,
 
 def _runs(order: str) -> str:
     return f"""
-    SELECT sum(fresh) OVER (ORDER BY {order} ROWS UNBOUNDED PRECEDING) - 1 AS run_index, *
+    SELECT (sum(fresh) OVER (ORDER BY {order} ROWS UNBOUNDED PRECEDING) - 1)::BIGINT AS run_index, *
     FROM (
       SELECT *, message_id % 16 AS slot,
         CASE WHEN lag(chat_id) OVER (ORDER BY {order}) = chat_id THEN 0 ELSE 1 END AS fresh

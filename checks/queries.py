@@ -10,7 +10,7 @@ from chatlake.functions.clock import clock_text
 from chatlake.operators import conversations as cv
 from chatlake.operators import export as ex
 from chatlake.operators import pairs, profile, split, style
-from chatlake.operators.clean import clean
+from chatlake.operators.clean import chat_sizes, clean
 from chatlake.operators.extract import chat_lookup, extract
 from chatlake.operators.keys import duplicate_ids, ids_already_stored
 from chatlake.operators.runs import conversation_runs
@@ -23,10 +23,6 @@ SEED, VAL_RATIO, MARK = 42, 0.1, 100
 HOT_ROWS, BLOCK_ROWS, PART_MESSAGES = 3, 4, 3
 
 
-def _prompt():
-    return F.lit(style.PLAIN_PROMPT)
-
-
 def _cleaned(spark: SparkSession, folder: str, **options) -> DataFrame:
     source = derived_source(spark, folder)
     return clean(extract(source), sizes=source.link, **options)
@@ -129,7 +125,7 @@ def cleaned_in_two_batches(spark, folder):
     messages = extract(source)
     opening = (F.col("message_id") - 1) % 8 < 3
     early = clean(messages.filter(opening), sizes=source.link)
-    late = clean(messages.filter(~opening), stored=early, sizes=source.link)
+    late = clean(messages.filter(~opening), earlier=chat_sizes(early), sizes=source.link)
     return _shown(early.unionByName(late))
 
 
@@ -159,13 +155,13 @@ def conversations(spark, folder):
 
 
 def training_examples(spark, folder):
-    examples = cv.training_examples(_cleaned(spark, folder), _prompt())
+    examples = cv.training_examples(_cleaned(spark, folder), style.PLAIN_PROMPT)
     return examples.select("conversation_id", cv.example_line().alias("example"))
 
 
 def training_examples_in_parts(spark, folder):
     examples = cv.training_examples(
-        _cleaned(spark, folder), _prompt(), part_messages=PART_MESSAGES
+        _cleaned(spark, folder), style.PLAIN_PROMPT, part_messages=PART_MESSAGES
     )
     return examples.select("conversation_id", "part", cv.example_line().alias("example"))
 
@@ -207,7 +203,7 @@ def export_conversations(spark, folder):
 def full_conversations(spark, folder):
     source = derived_source(spark, folder)
     documents = ex.export_conversations(ex.export_messages(source), source.chat)
-    whole = ex.full_conversations(documents, _prompt())
+    whole = ex.full_conversations(documents, style.PLAIN_PROMPT)
     return whole.select("id", cv.example_line("id").alias("example"))
 
 
@@ -218,7 +214,7 @@ def normalize_roles(spark, folder):
 
 
 def _pairs_shown(found):
-    return found.select("chat_id", "message_index", pairs.pair_line(_prompt()).alias("pair"))
+    return found.select("chat_id", "message_index", pairs.pair_line(style.PLAIN_PROMPT).alias("pair"))
 
 
 def reply_pairs(spark, folder):
