@@ -43,15 +43,23 @@ def assemble(
 def conversations(cleaned: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
     """`conversation_id, part, messages` with assistant and user roles."""
     rows = cleaned.select(
+        "chat_id",
         "conversation_id",
         "message_index",
         "message_id",
         tx.chat_role(F.col("is_from_me")).alias("role"),
         F.col("text").alias("content"),
     )
-    return assemble(
-        rows, ["conversation_id"], "message_index", "message_id", ["role", "content"], part_messages
+    # Grouped by chat as well, since rows numbered per chat are already together then.
+    assembled = assemble(
+        rows,
+        ["chat_id", "conversation_id"],
+        "message_index",
+        "message_id",
+        ["role", "content"],
+        part_messages,
     )
+    return assembled.drop("chat_id")
 
 
 def lead_with_system(messages: Column, part: Column, prompt: Column | str) -> Column:

@@ -32,24 +32,18 @@ def export_messages(
     text rules. Only `text` counts here: bodies, system and emote flags are not looked at.
     """
     text = F.col("text")
-    message = (
-        source.message.filter(tx.stays(text)).select(
-            F.col("row_id").alias("message_id"),
-            "date",
-            tx.party_role(F.col("is_from_me"), self_role).alias("role"),
-            tx.strip_placeholder(text).alias("content"),
-            tx.has_placeholder(text).alias("has_media"),
-            "is_from_me",
-            "handle_id",
-        )
-    )
-    linked = (
-        links_per_chat(source)
-        .filter(F.col("message_count") >= min_linked)
-        .select("chat_id")
+    message = source.message.filter(tx.stays(text)).select(
+        F.col("row_id").alias("message_id"),
+        "date",
+        tx.party_role(F.col("is_from_me"), self_role).alias("role"),
+        tx.strip_placeholder(text).alias("content"),
+        tx.has_placeholder(text).alias("has_media"),
+        "is_from_me",
+        "handle_id",
     )
+    linked = links_per_chat(source).filter(F.col("message_count") >= min_linked).select("chat_id")
     links = source.link.join(linked, "chat_id", "left_semi")
-    rows = with_contact(message.join(links, "message_id"), source.handle).select(
+    rows = with_contact(message.join(links, "message_id"), source).select(
         "chat_id",
         "message_id",
         "date",

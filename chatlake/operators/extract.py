@@ -9,6 +9,8 @@ from chatlake.functions import text as tx
 from chatlake.functions.clock import source_timestamp
 from chatlake.sources.tables import ChatSource
 
+BROADCAST_ROWS = 100_000
+
 
 def has_content(text, body, attachments):
     """Text, or a body to decode on a message without attachments."""
@@ -26,7 +28,7 @@ def new_messages(source: ChatSource, after: int | None = None) -> DataFrame:
         .filter((F.col("is_system_message") == 0) & (F.col("is_emote") == 0))
         .select(
             F.col("row_id").alias("message_id"),
-            tx.resolve_text(text, body).alias("text"),
+            tx.once(tx.resolve_text(text, body)).alias("text"),
             source_timestamp(F.col("date")).alias("timestamp"),
             "is_from_me",
             "handle_id",
@@ -44,7 +46,7 @@ def with_context(message: DataFrame, source: ChatSource) -> DataFrame:
     """Join chat and contact. Chat names travel with the narrow link rows, so the rows
     with text are shuffled by message id only."""
     joined = message.join(with_chat_names(source.link, source.chat), "message_id")
-    return with_contact(joined, source.handle).select(
+    return with_contact(joined, source).select(
         "message_id",
         "chat_id",
         "text",
@@ -94,11 +96,27 @@ def chat_lookup(rows: DataFrame, chat: DataFrame) -> DataFrame:
     return rows.join(names, "chat_id", "left")
 
 
-def with_contact(rows: DataFrame, handle: DataFrame) -> DataFrame:
-    """Contact by handle id; own messages have no handle and get null.
+def with_contact(
+    rows: DataFrame, source: ChatSource, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """`contact_id` by handle id for rows with `message_id, handle_id`; null if unknown.
 
-    Spark broadcasts the contacts when they are small; otherwise the many rows that share
-    the "no handle" id are split by the adaptive skew join.
+    A contact table of up to `broadcast_rows`, which is counted, is broadcast. Beyond that
+    the contacts are found for ids alone and come back by message id: rows with text are
+    already shuffled by it, and are not shuffled again by a handle id that half of them
+    (all own messages) share.
     """
-    contacts = handle.select(F.col("row_id").alias("handle_id"), F.col("id").alias("contact_id"))
-    return rows.join(contacts, "handle_id", "left")
+    contacts = contact_ids(source.handle)
+    if source.handle.count() <= broadcast_rows:
+        return rows.join(F.broadcast(contacts), "handle_id", "left")
+    known = (
+        source.message.select(F.col("row_id").alias("message_id"), "handle_id")
+        .join(contacts, "handle_id")
+        .groupBy("message_id")  # one row per message, so an unused contact is not joined at all
+        .agg(F.max("contact_id").alias("contact_id"))
+    )
+    return rows.join(known, "message_id", "left")
+
+
+def contact_ids(handle: DataFrame) -> DataFrame:
+    return handle.select(F.col("row_id").alias("handle_id"), F.col("id").alias("contact_id"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatlake.functions import text as tx
 from chatlake.functions.clock import clock_text, hour_text, month_text, source_timestamp
-from chatlake.operators.extract import with_contact
+from chatlake.operators.extract import contact_ids
 from chatlake.sources.tables import ChatSource
 
 UNNAMED = "Unnamed Chat"
@@ -84,7 +84,7 @@ def top_senders(source: ChatSource, k: int = 10) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"))
     sender = tx.sender_label(F.col("is_from_me"), F.col("contact_id"))
     return (
-        with_contact(by_handle, source.handle)
+        by_handle.join(contact_ids(source.handle), "handle_id", "left")
         .groupBy(sender.alias("sender"))
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "sender")
@@ -138,7 +138,7 @@ def recent_messages(source: ChatSource, k: int = 5) -> DataFrame:
         .orderBy(F.desc_nulls_last("date"), F.desc("row_id"))
         .limit(k)
     )
-    return with_contact(latest, source.handle).select(
+    return latest.join(contact_ids(source.handle), "handle_id", "left").select(
         F.col("row_id").alias("message_id"),
         clock_text(source_timestamp(F.col("date"))).alias("sent_at"),
         tx.sender_label(F.col("is_from_me"), F.col("contact_id")).alias("sender"),

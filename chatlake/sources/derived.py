@@ -6,110 +6,110 @@ white space, bodies to decode, system and emote flags, unknown contacts, unnamed
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from chatlake.functions.clock import integer_div
-from chatlake.functions.text import MEDIA_PLACEHOLDER
 from chatlake.sources.tables import ChatSource
 
-BODY_HEAD = 'bplist00ZNSString$V"'
+_ROW_ID = "(bigint(conv_id) * 8 + turn + 1)"
+
+# Texts by rule number; all others stay as they are. The text is a generated column, so
+# that the rules which look at it do not carry this expression along.
+_TEXT = r"""
+    explode(array(CASE rule
+        WHEN 0 THEN concat('Liked “', substring(said, 1, 20), '”')
+        WHEN 1 THEN concat('\ufffc ', said)
+        WHEN 2 THEN NULL
+        WHEN 3 THEN NULL
+        WHEN 4 THEN '\ufffc'
+        WHEN 5 THEN concat(said, ' \U0001f600')
+        WHEN 6 THEN concat('They reacted with ', substring(said, 1, 20))
+        WHEN 7 THEN concat('\u00a0', said, '\u3000')
+        ELSE said
+    END)) AS text
+"""
+_BODY = """
+    CASE WHEN rule IN (2, 3)
+        THEN encode(concat('bplist00ZNSString$V"', substring(said, 1, 40), '"'), 'UTF-8')
+    END AS attributedBody
+"""
+# Contacts 21 to 30 get an id no contact table holds.
+_HANDLE = """
+    CASE WHEN role = 'assistant' THEN 0L
+        WHEN conv % 30 + 1 <= 20 THEN conv % 30 + 1
+        ELSE -(conv % 30 + 1)
+    END AS handle_id
+"""
 
 
 def derived_source(spark: SparkSession, folder: str) -> ChatSource:
-    turns = spark.read.parquet(f"{folder}/conversations.parquet")
-    customer = spark.read.parquet(f"{folder}/customer.parquet")
+    turns = spark.read.schema("conv_id long, turn long, role string, text string").parquet(
+        f"{folder}/conversations.parquet"
+    )
+    customer = spark.read.schema("c_custkey long, c_name string").parquet(
+        f"{folder}/customer.parquet"
+    )
     return ChatSource(
         message=message_table(turns),
         chat=chat_table(turns),
-        handle=customer.select(
-            F.col("c_custkey").cast("long").alias("row_id"), F.col("c_name").alias("id")
-        ),
+        handle=customer.selectExpr("c_custkey AS row_id", "c_name AS id"),
         link=link_table(turns),
     )
 
 
-def _row_id() -> Column:
-    return (F.col("conv_id").cast("long") * 8 + F.col("turn") + 1).cast("long")
-
-
-def _chosen(rule: Column, choices: dict[int, Column | str | None], default) -> Column:
-    chosen = None
-    for number, value in choices.items():
-        value = value if isinstance(value, Column) else F.lit(value)
-        test = rule == number
-        chosen = F.when(test, value) if chosen is None else chosen.when(test, value)
-    return chosen.otherwise(default)
-
-
 def message_table(turns: DataFrame) -> DataFrame:
-    text, role = F.col("text"), F.col("role")
-    conv, turn = F.col("conv_id").cast("long"), F.col("turn").cast("long")
-    rule = (conv * 13 + turn * 7) % 20
-    contact = conv % 30 + 1
-    body = F.concat(F.lit(BODY_HEAD), F.substring(text, 1, 40), F.lit('"'))
-    return turns.select(
-        _row_id().alias("row_id"),
-        _chosen(
-            rule,
-            {
-                0: F.concat(F.lit("Liked “"), F.substring(text, 1, 20), F.lit("”")),
-                1: F.concat(F.lit(MEDIA_PLACEHOLDER + " "), text),
-                2: None,
-                3: None,
-                4: MEDIA_PLACEHOLDER,
-                5: F.concat(text, F.lit(" \U0001f600")),
-                6: F.concat(F.lit("They reacted with "), F.substring(text, 1, 20)),
-                7: F.concat(F.lit("\u00a0"), text, F.lit("\u3000")),
-            },
-            text,
-        ).alias("text"),
-        F.when(rule.isin(2, 3), F.encode(body, "UTF-8")).alias("attributedBody"),
-        ((725_760_000 + conv * 5400 + turn * 45) * 1_000_000_000).alias("date"),
-        (role == "assistant").cast("int").alias("is_from_me"),
-        # Contacts 21 to 30 get an id no contact table holds.
-        F.when(role == "assistant", F.lit(0).cast("long"))
-        .when(contact <= 20, contact)
-        .otherwise(-contact)
-        .alias("handle_id"),
-        rule.isin(1, 3, 4).cast("int").alias("cache_has_attachments"),
-        F.concat(F.lit("cached"), (conv % 5).cast("string")).alias("cache_roomnames"),
-        _chosen(conv % 3, {0: "A", 1: "B"}, F.lit(None).cast("string")).alias("service"),
-        (rule == 8).cast("int").alias("is_emote"),
-        (role == "system").cast("int").alias("is_system_message"),
+    numbered = turns.selectExpr(
+        f"{_ROW_ID} AS row_id",
+        "bigint(conv_id) AS conv",
+        "bigint(turn) AS turn",
+        "(bigint(conv_id) * 13 + turn * 7) % 20 AS rule",
+        "role",
+        "text AS said",
+    )
+    return numbered.selectExpr(
+        "row_id",
+        _TEXT,
+        _BODY,
+        "(725760000 + conv * 5400 + turn * 45) * 1000000000 AS date",
+        "int(role = 'assistant') AS is_from_me",
+        _HANDLE,
+        "int(rule IN (1, 3, 4)) AS cache_has_attachments",
+        "concat('cached', conv % 5) AS cache_roomnames",
+        "CASE conv % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' END AS service",
+        "int(rule = 8) AS is_emote",
+        "int(role = 'system') AS is_system_message",
     )
 
 
 def chat_table(turns: DataFrame) -> DataFrame:
-    conv = F.col("conv_id")
-    return turns.select("conv_id").distinct().select(
-        (conv.cast("long") + 1).alias("row_id"),
-        F.when(conv % 4 == 0, F.lit(None).cast("string"))
-        .when(conv % 4 == 1, F.lit(""))
-        .otherwise(F.concat(F.lit("room"), conv.cast("string")))
-        .alias("room_name"),
-        F.when(conv % 3 != 0, F.concat(F.lit("Chat "), conv.cast("string"))).alias("display_name"),
+    return turns.selectExpr("bigint(conv_id) AS conv").distinct().selectExpr(
+        "conv + 1 AS row_id",
+        "CASE conv % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('room', conv) END AS room_name",
+        "CASE WHEN conv % 3 <> 0 THEN concat('Chat ', conv) END AS display_name",
     )
 
 
 def link_table(turns: DataFrame) -> DataFrame:
-    return turns.select((F.col("conv_id").cast("long") + 1).alias("chat_id"), _row_id().alias("message_id"))
+    return turns.selectExpr("bigint(conv_id) + 1 AS chat_id", f"{_ROW_ID} AS message_id")
 
 
 def with_second_links(source: ChatSource, every: int = 25) -> ChatSource:
     """Also link each `every`-th message to the chat half-way down, as a key violation."""
-    link = source.link
-    other = integer_div(F.col("chat_id") + 1, 2)
-    second = link.filter((F.col("message_id") % every == 0) & (other != F.col("chat_id"))).select(
-        other.alias("chat_id"), "message_id"
+    half_way = "(chat_id + 1) div 2"
+    second = source.link.filter(f"message_id % {every} = 0 AND {half_way} <> chat_id").selectExpr(
+        f"{half_way} AS chat_id", "message_id"
     )
-    return ChatSource(source.message, source.chat, source.handle, link.unionByName(second))
+    return ChatSource(source.message, source.chat, source.handle, source.link.unionByName(second))
 
 
 def run_marks(turns: DataFrame) -> DataFrame:
     """A status history: one row per conversation and stage, as if each had been a batch."""
-    stage = F.when(F.col("turn") % 2 == 0, F.lit("extract")).otherwise(F.lit("clean"))
-    return turns.groupBy(stage.alias("stage"), "conv_id").agg(
-        F.max(_row_id()).alias("last_id"),
-        F.timestamp_seconds(F.max(F.col("conv_id").cast("long") * 60)).alias("updated_at"),
+    staged = turns.selectExpr(
+        "CASE WHEN turn % 2 = 0 THEN 'extract' ELSE 'clean' END AS stage",
+        "conv_id",
+        f"{_ROW_ID} AS row_id",
+    )
+    return staged.groupBy("stage", "conv_id").agg({"row_id": "max"}).selectExpr(
+        "stage",
+        "`max(row_id)` AS last_id",
+        "timestamp_seconds(bigint(conv_id) * 60) AS updated_at",
     )
