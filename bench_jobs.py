@@ -15,6 +15,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from chatlake.operators import export as ex
 from chatlake.operators.extract import extract
 from chatlake.plans.jobs import run_clean, run_export, run_extract, run_prepare
 from chatlake.session import build_session
@@ -54,7 +55,10 @@ def replicate(spark, folder: str, copies: int, target: str) -> None:
         "chat_message_join": link,
     }
     for name, frame in tables.items():
-        frame.write.parquet(f"{target}/{name}")
+        # Ordered by id like a log that grew, in files enough for all cores.
+        frame.repartitionByRange(32, frame.columns[-1 if name == "chat_message_join" else 0]).write.parquet(
+            f"{target}/{name}"
+        )
 
 
 def main(folder: str, copies: str, work: str) -> None:
@@ -81,10 +85,12 @@ def main(folder: str, copies: str, work: str) -> None:
         rows[name] = job()
         seconds[name] = round(time.perf_counter() - start, 2)
 
-    def count_only():
-        extract(source).write.format("noop").mode("overwrite").save()
+    def compute(frame):
+        frame.write.format("noop").mode("overwrite").save()
 
-    timed("extract_no_store", count_only)
+    timed("extract_no_store", lambda: compute(extract(source)))
+    timed("export_rows", lambda: compute(ex.export_messages(source)))
+    timed("export_rows_hot", lambda: compute(ex.export_messages(source, hot_rows=100_000)))
     timed("extract", lambda: run_extract(source, store))
     timed("clean_hot", lambda: run_clean(store, hot_rows=int(os.environ.get("HOT_ROWS", 100_000))))
     timed("prepare", lambda: run_prepare(store.read(CLEAN), f"{work}/prepared"))

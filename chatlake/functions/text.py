@@ -56,8 +56,8 @@ def is_reaction(text: Column) -> Column:
     return reduce(or_, (text.startswith(prefix) for prefix in REACTION_PREFIXES))
 
 
-def is_system_notice(text: Column) -> Column:
-    lowered = F.lower(text)
+def is_system_notice(lowered: Column) -> Column:
+    """A notice phrase anywhere in a text that is in lower case already."""
     return reduce(or_, (lowered.contains(phrase) for phrase in SYSTEM_PHRASES))
 
 
@@ -67,21 +67,18 @@ def has_placeholder(text: Column) -> Column:
 
 def strip_placeholder(text: Column) -> Column:
     """Drop media placeholders, then surrounding white space."""
-    return F.btrim(F.replace(text, F.lit(MEDIA_PLACEHOLDER)), F.lit(WHITE_SPACE))
+    without = F.when(has_placeholder(text), F.replace(text, F.lit(MEDIA_PLACEHOLDER)))
+    return F.btrim(without.otherwise(text), F.lit(WHITE_SPACE))
 
 
-def stays(text: Column) -> Column:
-    """The text is no reaction or notice, and more than placeholders and white space.
+def clean_text(text: Column) -> Column:
+    """Cleaned text; an empty string (also for null) marks a row to drop.
 
-    Texts are judged as they are, so a leading placeholder or blank keeps "Liked ...".
+    Reactions and notices are recognised before placeholders and blanks go, so one of these
+    in front keeps "Liked ...". `operators.clean.keep_clean` is the same for whole frames.
     """
-    blank = F.btrim(text, F.lit(WHITE_SPACE + MEDIA_PLACEHOLDER)) == ""
-    return ~is_reaction(text) & ~is_system_notice(text) & ~blank
-
-
-def clean_text(text: Column) -> Column:
-    """Cleaned text; an empty string (also for null) marks a row to drop."""
-    return F.when(stays(text), strip_placeholder(text)).otherwise(F.lit(""))
+    dropped = text.isNull() | is_reaction(text) | is_system_notice(F.lower(text))
+    return F.when(dropped, F.lit("")).otherwise(strip_placeholder(text))
 
 
 def decode_body(body: Column) -> Column:

@@ -9,19 +9,19 @@ from chatlake.functions import text as tx
 from chatlake.operators.numbering import HOT_ROWS, number_rows
 
 
-def keep_clean(messages: DataFrame, after: int | None = None) -> DataFrame:
-    """Rows above the mark whose cleaned text is not empty."""
-    if after is not None:
-        messages = messages.filter(F.col("message_id") > F.lit(after))
-    return messages.filter(tx.stays(F.col("text"))).select(
-        "message_id",
-        "chat_id",
-        tx.strip_placeholder(F.col("text")).alias("text"),
-        "timestamp",
-        "is_from_me",
-        "contact_id",
-        "has_media",
-    )
+def keep_clean(rows: DataFrame, text: str = "text", cleaned: str = "text") -> DataFrame:
+    """Rows whose text is neither reaction nor notice nor blank, with the cleaned text.
+
+    Lower case and cleaned text are computed once per row, and only for rows that passed the
+    cheaper rules.
+    """
+    value = F.col(text)
+    kept = rows.filter(value.isNotNull() & ~tx.is_reaction(value))
+    kept = kept.select("*", tx.once(F.lower(value)).alias("_lowered"))
+    kept = kept.filter(~tx.is_system_notice(F.col("_lowered")))
+    kept = kept.select("*", tx.once(tx.strip_placeholder(value)).alias("_cleaned"))
+    kept = kept.filter(F.col("_cleaned") != "").withColumn(cleaned, F.col("_cleaned"))
+    return kept.drop("_lowered", "_cleaned")
 
 
 def clean(
@@ -36,15 +36,17 @@ def clean(
     The index restarts at 0 in every batch. Given `earlier`, the `chat_sizes` of the rows
     cleaned before, it goes on behind these instead. `sizes` is as in `number_rows`.
     """
-    kept = keep_clean(messages, after)
-    if sizes is None:
-        sizes = messages if after is None else messages.filter(F.col("message_id") > F.lit(after))
+    if after is not None:
+        messages = messages.filter(F.col("message_id") > F.lit(after))
+    kept = keep_clean(messages).select(
+        "message_id", "chat_id", "text", "timestamp", "is_from_me", "contact_id", "has_media"
+    )
     numbered = number_rows(
         kept,
         "chat_id",
         ("timestamp", "message_id"),
         position="message_index",
-        sizes=sizes,
+        sizes=messages if sizes is None else sizes,
         hot_rows=hot_rows,
     )
     if earlier is not None:

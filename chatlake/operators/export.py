@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chatlake.functions import text as tx
 from chatlake.functions.clock import clock_text, source_timestamp
+from chatlake.operators.clean import keep_clean
 from chatlake.operators.conversations import (
     PART_MESSAGES,
     assemble,
@@ -31,13 +32,12 @@ def export_messages(
     Chats need `min_linked` linked messages of any kind and `min_clean` that survive the
     text rules. Only `text` counts here: bodies, system and emote flags are not looked at.
     """
-    text = F.col("text")
-    message = source.message.filter(tx.stays(text)).select(
+    message = keep_clean(source.message, cleaned="content").select(
         F.col("row_id").alias("message_id"),
         "date",
         tx.party_role(F.col("is_from_me"), self_role).alias("role"),
-        tx.strip_placeholder(text).alias("content"),
-        tx.has_placeholder(text).alias("has_media"),
+        "content",
+        tx.has_placeholder(F.col("text")).alias("has_media"),
         "is_from_me",
         "handle_id",
     )

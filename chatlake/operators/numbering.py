@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from chatlake.functions.clock import integer_div
-from chatlake.session import require_checkpoint_dir
+from chatlake.session import stored
 
 HOT_ROWS = 1_000_000
 BLOCK_ROWS = 100_000
@@ -44,9 +44,8 @@ def number_rows(
     if hot.isEmpty():
         return _number_by_window(rows, key, order, position, total)
 
-    require_checkpoint_dir(rows.sparkSession)
     # At most (all rows / hot_rows) keys, so the set is small enough to broadcast.
-    hot = hot.checkpoint()
+    hot = stored(hot)
     cold_rows = rows.join(F.broadcast(hot), key, "left_anti")
     hot_rows_only = rows.join(F.broadcast(hot), key, "left_semi")
     return _number_by_window(cold_rows, key, order, position, total).unionByName(
@@ -65,16 +64,15 @@ def _number_by_window(rows, key, order, position, total):
 def _number_by_sort(rows, key, order, position, total):
     """Sort by (key, order), then shift each partition's row numbers by what precedes it.
 
-    The sorted rows are checkpointed because both uses below must see the same partition
-    bounds, also after a lost executor.
+    The sorted rows are stored because both uses below must see the same partition bounds,
+    also after a lost executor.
     """
     row_id = F.col("_row")
     piece = F.shiftright(row_id, _ROW_BITS)
-    ordered = (
+    ordered = stored(
         rows.orderBy(key, *order)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_piece", piece)
-        .checkpoint()
     )
     spans = ordered.groupBy(key, "_piece").agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")

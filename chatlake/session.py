@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "chatlake", master: str | None = None, **settings: str) -> SparkSession:
@@ -32,7 +33,7 @@ def build_session(app: str = "chatlake", master: str | None = None, **settings:
 
 
 def require_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder `checkpoint()` writes to.
+    """The folder for intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; it has to be reachable from every
     executor, so a temporary folder is only made up for a local master.
@@ -48,3 +49,14 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="chatlake-checkpoint-")
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The rows as a table in the checkpoint folder, computed once and read from there.
+
+    Like `checkpoint()`, but columnar: later steps read only the columns they need. Files
+    stay until the folder is emptied.
+    """
+    path = f"{require_checkpoint_dir(frame.sparkSession)}/stored-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chatlake.functions import text as tx
 from chatlake.functions.clock import clock_text, hour_text, month_text, source_timestamp
+from chatlake.operators.clean import keep_clean
 
 
 def apply(spark, function, values, kind="string"):
@@ -157,3 +158,19 @@ def test_dates_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert found == ["2032-01-02 00:00:00"]
+
+
+def test_keep_clean_follows_clean_text(spark):
+    rng = random.Random(9)
+    pieces = [*PREFIXES, "EMPHASIZED", "reacted with", "\ufffc", " ", "\xa0", "hello", "\u0130"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 4))) for _ in range(300)] + [None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    found = {r.n: r.text for r in keep_clean(rows).collect()}
+    assert found == {n: expected_clean(t) for n, t in enumerate(texts) if expected_clean(t)}
+
+
+def test_notice_letters_have_no_other_lower_case_source():
+    """Spark and Python lower every code point of the phrases alike."""
+    letters = set("emphasizedreactedwith")
+    odd = [chr(c) for c in range(128, 0x110000) if chr(c).lower() in letters]
+    assert odd == []
