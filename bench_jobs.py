@@ -56,9 +56,8 @@ def replicate(spark, folder: str, copies: int, target: str) -> None:
     }
     for name, frame in tables.items():
         # Ordered by id like a log that grew, in files enough for all cores.
-        frame.repartitionByRange(32, frame.columns[-1 if name == "chat_message_join" else 0]).write.parquet(
-            f"{target}/{name}"
-        )
+        order = "message_id" if name == "chat_message_join" else "row_id"
+        frame.repartitionByRange(32, order).write.parquet(f"{target}/{name}")
 
 
 def main(folder: str, copies: str, work: str) -> None:

@@ -16,7 +16,5 @@ def duplicate_ids(rows: DataFrame, key: str = "message_id") -> DataFrame:
 
 
 def ids_already_stored(batch: DataFrame, stored: DataFrame, key: str = "message_id") -> DataFrame:
-    """Ids of the batch that are stored, reading only the batch's id range of the table."""
-    span = batch.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high"))).scalar()
-    in_range = stored.filter(F.col(key).between(span["low"], span["high"]))
-    return in_range.select(key).join(batch.select(key), key, "left_semi")
+    """Stored ids that the batch holds too."""
+    return stored.select(key).join(batch.select(key), key, "left_semi")

@@ -14,6 +14,7 @@ from chatlake.operators import pairs, split, style
 from chatlake.operators.clean import clean
 from chatlake.operators.extract import candidates
 from chatlake.operators.numbering import HOT_ROWS
+from chatlake.session import stored
 from chatlake.sources import documents as docs
 from chatlake.sources.store import CLEAN, EXTRACT, MessageStore
 from chatlake.sources.tables import ChatSource
@@ -46,7 +47,7 @@ def run_clean(
     """Clean extracted messages above the mark; returns the number of rows stored."""
     mark = store.mark(CLEAN)
     earlier = store.sizes_before(mark) if index_scope == "conversation" else None
-    rows = clean(store.read(EXTRACT), after=mark, earlier=earlier, hot_rows=hot_rows)
+    rows = clean(store.read(EXTRACT, after=mark), after=mark, earlier=earlier, hot_rows=hot_rows)
     store.write_batch(CLEAN, rows, mark)
     row_count, last_id = store.batch_summary(CLEAN, mark)
     if row_count == 0:
@@ -131,7 +132,8 @@ def run_export(
         "overwrite"
     ).parquet(target.messages)
     rows = spark.read.parquet(target.messages)
-    documents = ex.export_conversations(rows, source.chat, part_messages)
+    # Two outputs hold whole conversations; collecting them shuffles all text once this way.
+    documents = stored(ex.export_conversations(rows, source.chat, part_messages))
     docs.write_documents(documents, target.documents)
 
     rendered = style.render_prompt(style.style_stats(rows, self_role), template)

@@ -124,15 +124,19 @@ class MessageStore:
     def mark(self, stage: str) -> int:
         return latest_mark(self.progress(stage)).first()["last_id"]
 
-    def read(self, stage: str, batch_id: int | None = None) -> DataFrame:
-        """Committed rows of a stage, or the rows of one batch."""
-        table = self._table(STAGES[stage].table)
-        if batch_id is not None:
-            return table.filter(F.col("batch_id") == batch_id)
-        return self._committed(table, stage)
+    def read(self, stage: str, after: int | None = None) -> DataFrame:
+        """Committed rows of a stage; `after` leaves out batches that end at or below it."""
+        return self._committed(self._table(STAGES[stage].table), stage, after)
 
-    def _committed(self, table, stage):
-        return table.join(self.progress(stage).select("batch_id"), "batch_id", "left_semi")
+    def read_batch(self, stage: str, batch_id: int) -> DataFrame:
+        """Rows of one batch, committed or not."""
+        return self._table(STAGES[stage].table).filter(F.col("batch_id") == batch_id)
+
+    def _committed(self, table, stage, after=None):
+        batches = self.progress(stage)
+        if after is not None:
+            batches = batches.filter(F.col("last_id") > after)
+        return table.join(batches.select("batch_id"), "batch_id", "left_semi")
 
     def sizes_before(self, batch_id: int) -> DataFrame:
         """`chat_sizes` of the committed cleaned batches other than this one.
@@ -150,7 +154,7 @@ class MessageStore:
         self._overwrite(STAGES[stage].table, ordered, batch_id)
         self._check_keys(stage, batch_id)
         if stage == CLEAN:
-            self._overwrite(_SIZES, chat_sizes(self.read(CLEAN, batch_id)), batch_id)
+            self._overwrite(_SIZES, chat_sizes(self.read_batch(CLEAN, batch_id)), batch_id)
 
     def _overwrite(self, table, rows, batch_id):
         self.spark.sql(
@@ -160,8 +164,14 @@ class MessageStore:
         )
 
     def _check_keys(self, stage, batch_id):
-        batch = self.read(stage, batch_id)
-        others = self.read(stage).filter(F.col("batch_id") != batch_id)
+        batch = self.read_batch(stage, batch_id)
+        span = batch.agg(F.min("message_id"), F.max("message_id")).first()
+        if span[0] is None:
+            return
+        # Literal bounds, so that stored files outside the batch's range are not opened.
+        others = self.read(stage, after=span[0] - 1).filter(
+            (F.col("batch_id") != batch_id) & F.col("message_id").between(*span)
+        )
         repeated = duplicate_ids(batch).select("message_id").limit(5)
         known = ids_already_stored(batch, others).limit(5)
         found = [row["message_id"] for row in repeated.union(known).take(5)]
@@ -178,7 +188,7 @@ class MessageStore:
     def batch_summary(self, stage: str, batch_id: int) -> tuple[int, int | None]:
         """Rows and highest id of a written batch."""
         row = (
-            self.read(stage, batch_id)
+            self.read_batch(stage, batch_id)
             .agg(F.count(F.lit(1)).alias("n"), F.max("message_id").alias("last"))
             .first()
         )

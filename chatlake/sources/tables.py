@@ -65,6 +65,36 @@ def source_from_catalog(spark: SparkSession, database: str) -> ChatSource:
     )
 
 
+def source_from_jdbc(
+    spark: SparkSession, url: str, partitions: int = 64, **options: str
+) -> ChatSource:
+    """Source tables of a database the user has a driver for.
+
+    Message and link rows are read in `partitions` ranges of their row number; `options` go
+    to the JDBC reader, e.g. `driver`.
+    """
+
+    def reader(query: str):
+        named = f"({query}) AS source_rows"
+        return spark.read.format("jdbc").options(url=url, dbtable=named, **options)
+
+    frames = {}
+    for table, schema in SOURCE_SCHEMAS.items():
+        names = [f.name for f in schema if f.name != "row_id"]
+        query = f"SELECT ROWID AS row_id, {', '.join(names)} FROM {table}"
+        bounds = reader(f"SELECT min(ROWID) AS low, max(ROWID) AS high FROM {table}").load().first()
+        rows = reader(query)
+        if bounds["low"] is not None and bounds["high"] > bounds["low"]:
+            rows = rows.options(
+                partitionColumn="row_id",
+                lowerBound=str(bounds["low"]),
+                upperBound=str(bounds["high"]),
+                numPartitions=str(partitions),
+            )
+        frames[table] = conform(rows.load(), table)
+    return _source(frames)
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     names = [(table.name,) for table in spark.catalog.listTables(database)]
     return spark.createDataFrame(names, "table_name string")

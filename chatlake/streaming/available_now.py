@@ -34,7 +34,7 @@ def process_batch(
     store.write_batch(EXTRACT, extract(source), batch_id)
     _commit(store, EXTRACT, batch_id)
     earlier = store.sizes_before(batch_id)
-    extracted = store.read(EXTRACT, batch_id)
+    extracted = store.read_batch(EXTRACT, batch_id)
     store.write_batch(CLEAN, clean(extracted, earlier=earlier, hot_rows=hot_rows), batch_id)
     _commit(store, CLEAN, batch_id)
 

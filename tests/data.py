@@ -17,7 +17,7 @@ def body(text: str) -> bytes:
 
 
 def message(row_id, text, attributed=None, own=0, handle=1, media=0, room="Test Room",
-            service="iMessage", emote=0, system=0, date=DATE):
+            service="A", emote=0, system=0, date=DATE):
     return (row_id, text, attributed, date, own, handle, media, room, service, emote, system)
 
 

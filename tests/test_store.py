@@ -9,6 +9,7 @@ from chatlake.sources.tables import (
     list_tables,
     read_source,
     source_from_catalog,
+    source_from_jdbc,
 )
 from tests import data
 
@@ -69,3 +70,48 @@ def test_source_from_catalog(spark, tmp_path):
         assert source_from_catalog(spark, "chat_src").message.count() == 7
     finally:
         spark.sql("DROP DATABASE chat_src CASCADE")
+
+
+class FakeReader:
+    """Stands in for the JDBC reader; answers with the rows of a frame."""
+
+    def __init__(self, frames, seen):
+        self.frames, self.seen, self.set = frames, seen, {}
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **values):
+        self.set |= values
+        return self
+
+    def load(self):
+        self.seen.append(self.set)
+        query = self.set["dbtable"]
+        table = query.removesuffix(") AS source_rows").rsplit(" ", 1)[1]
+        frame = self.frames[table]
+        if "min(ROWID)" in query:
+            return frame.agg(F.min("row_id").alias("low"), F.max("row_id").alias("high"))
+        return frame
+
+
+class FakeSession:
+    def __init__(self, frames):
+        self.frames, self.seen = frames, []
+
+    @property
+    def read(self):
+        return FakeReader(self.frames, self.seen)
+
+
+def test_jdbc_reads_are_partitioned_on_the_row_number(spark):
+    source = data.source(spark)
+    fake = FakeSession({"message": source.message, "chat": source.chat, "handle": source.handle,
+                        "chat_message_join": source.link.withColumn("row_id", F.col("message_id"))})
+    back = source_from_jdbc(fake, "jdbc:x:y", partitions=5, driver="d")
+    assert back.message.count() == 7 and back.link.columns == ["chat_id", "message_id"]
+    reads = [options for options in fake.seen if "partitionColumn" in options]
+    assert len(reads) == 4
+    assert all(r["numPartitions"] == "5" and r["driver"] == "d" for r in reads)
+    assert (reads[0]["lowerBound"], reads[0]["upperBound"]) == ("1", "7")
