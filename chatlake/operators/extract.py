@@ -103,19 +103,24 @@ def with_contact(
 
     A contact table of up to `broadcast_rows`, which is counted, is broadcast. Beyond that
     the contacts are found for ids alone and come back by message id: rows with text are
-    already shuffled by it, and are not shuffled again by a handle id that half of them
-    (all own messages) share.
+    already shuffled by it, and are not shuffled again. Ids outside the contacts' range take
+    no part in that; among them is the one that all own messages share.
     """
     contacts = contact_ids(source.handle)
-    if source.handle.count() <= broadcast_rows:
+    handle_id = F.col("handle_id")
+    contact_count, lowest, highest = contacts.agg(
+        F.count(handle_id), F.min(handle_id), F.max(handle_id)
+    ).first()
+    if contact_count <= broadcast_rows:
         return rows.join(F.broadcast(contacts), "handle_id", "left")
-    known = (
+    found = (
         source.message.select(F.col("row_id").alias("message_id"), "handle_id")
+        .filter(handle_id.between(lowest, highest))
         .join(contacts, "handle_id")
         .groupBy("message_id")  # one row per message, so an unused contact is not joined at all
         .agg(F.max("contact_id").alias("contact_id"))
     )
-    return rows.join(known, "message_id", "left")
+    return rows.join(found, "message_id", "left")
 
 
 def contact_ids(handle: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def derived_source(spark: SparkSession, folder: str) -> ChatSource:
     return ChatSource(
         message=message_table(turns),
         chat=chat_table(turns),
-        handle=customer.selectExpr("c_custkey AS row_id", "c_name AS id"),
+        handle=customer.selectExpr("c_custkey + 1 AS row_id", "c_name AS id"),
         link=link_table(turns),
     )
 

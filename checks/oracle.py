@@ -77,7 +77,7 @@ chat AS (
   FROM turns
 ),
 link AS (SELECT c + 1 AS chat_id, c * 8 + k + 1 AS message_id FROM turns),
-handle AS (SELECT c_custkey AS row_id, c_name AS id FROM customer),
+handle AS (SELECT c_custkey + 1 AS row_id, c_name AS id FROM customer),
 payload AS (
   SELECT row_id, decode(body) AS s,
     substring(decode(body), instr(decode(body), 'NSString$V"') + 11) AS rest

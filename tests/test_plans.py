@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,15 @@ def test_no_python_workers(big_source):
         assert "Python" not in text and "Arrow" not in text
 
 
+SKEW = {
+    "spark_sql_autoBroadcastJoinThreshold": "-1",
+    "spark_sql_adaptive_autoBroadcastJoinThreshold": "-1",
+    "spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes": "100KB",
+    "spark_sql_adaptive_advisoryPartitionSizeInBytes": "100KB",
+    "spark_sql_adaptive_skewJoin_skewedPartitionFactor": "2",
+}
+
+
 def test_busy_chat_is_split_by_the_adaptive_join(spark):
     """One chat with nearly all links, joined on its id, is cut into several tasks."""
     links = spark.range(300_000).select(
@@ -145,14 +155,42 @@ def test_busy_chat_is_split_by_the_adaptive_join(spark):
         F.col("id").cast("string").alias("display_name"),
         F.lit("room").alias("room_name"),
     )
-    with settings(
-        spark,
-        spark_sql_autoBroadcastJoinThreshold="-1",
-        spark_sql_adaptive_autoBroadcastJoinThreshold="-1",
-        spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes="100KB",
-        spark_sql_adaptive_advisoryPartitionSizeInBytes="100KB",
-        spark_sql_adaptive_skewJoin_skewedPartitionFactor="2",
-    ):
+    with settings(spark, **SKEW):
         joined = ext.with_chat_names(links.repartition(8), chat)
         assert len(joined.collect()) == 300_000
         assert "skew=true" in plan(joined)
+
+
+def contact_frames(spark, derived, shared_id):
+    """Ten messages in eleven share one handle id; contacts have ids from 1."""
+    message = spark.range(300_000).select(
+        F.col("id").alias("row_id"),
+        F.when(F.col("id") % 11 > 0, F.lit(shared_id)).otherwise(F.col("id")).cast("long").alias(
+            "handle_id"
+        ),
+    )
+    handle = spark.range(1, 300_000).select(
+        F.col("id").alias("row_id"), F.col("id").cast("string").alias("id")
+    )
+    source = replace(derived, message=message.repartition(8), handle=handle.repartition(8))
+    return message.withColumnRenamed("row_id", "message_id"), source
+
+
+def test_busy_contact_is_split_by_the_adaptive_join(spark, derived):
+    rows, source = contact_frames(spark, derived, 5)
+    with settings(spark, **SKEW):
+        found = ext.with_contact(rows, source, broadcast_rows=0).select("message_id", "contact_id")
+        contacts = found.collect()
+        assert len(contacts) == 300_000
+        assert sum(r.contact_id == "5" for r in contacts) == 272_727
+        assert "skew=true" in plan(found)
+
+
+def test_messages_without_contact_are_not_shuffled_for_one(spark, derived):
+    rows, source = contact_frames(spark, derived, 0)
+    with settings(spark, **SKEW):
+        found = ext.with_contact(rows, source, broadcast_rows=0).select("message_id", "contact_id")
+        contacts = found.collect()
+        assert len(contacts) == 300_000
+        assert sum(r.contact_id is not None for r in contacts) == 27_272
+        assert "handle_id" in plan(found) and "<= 299999" in plan(found)
