@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from chatlake.llm.common import read_table
 
 
+def op1_winnowing(spark, folder):
+    from chatlake.llm.winnowing import fingerprints_with_edits
+
+    return fingerprints_with_edits(read_table(spark, folder, "documents"))
+
+
+def op2_token_counts(spark, folder):
+    from chatlake.llm.token_counts import token_counts
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts(read_table(spark, folder, "documents"), path)
+
+
 def op4_simhash(spark, folder):
     from chatlake.llm.simhash import near_duplicates
 
@@ -22,6 +35,12 @@ def op5_packing(spark, folder):
     return packed_documents(read_table(spark, folder, "documents"), path)
 
 
+def op7_host_trust(spark, folder):
+    from chatlake.llm.host_trust import filtered_urls
+
+    return filtered_urls(read_table(spark, folder, "pages"))
+
+
 def op8_hilbert(spark, folder):
     from chatlake.llm.hilbert import hilbert_shards
 
@@ -52,8 +71,11 @@ def op10_mixing(spark, folder):
 
 
 LLM_QUERIES = {
+    "op1_winnowing": op1_winnowing,
+    "op2_token_counts": op2_token_counts,
     "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
+    "op7_host_trust": op7_host_trust,
     "op8_hilbert": op8_hilbert,
     "op10_mixing": op10_mixing,
 }
