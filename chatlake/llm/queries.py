@@ -64,6 +64,13 @@ def op8_hilbert(spark, folder):
     )
 
 
+def op9_suffix_dedup(spark, folder):
+    from chatlake.llm.suffix_dedup import deduplicated
+
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return deduplicated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_mixing(spark, folder):
     from chatlake.llm.mixing import mix
 
@@ -77,6 +84,7 @@ LLM_QUERIES = {
     "op5_packing": op5_packing,
     "op7_host_trust": op7_host_trust,
     "op8_hilbert": op8_hilbert,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
 }
 
