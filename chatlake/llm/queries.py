@@ -21,6 +21,12 @@ def op2_token_counts(spark, folder):
     return token_counts(read_table(spark, folder, "documents"), path)
 
 
+def op3_pq(spark, folder):
+    from chatlake.llm.pq import near_duplicates
+
+    return near_duplicates(read_table(spark, folder, "embeddings"))
+
+
 def op4_simhash(spark, folder):
     from chatlake.llm.simhash import near_duplicates
 
@@ -35,6 +41,12 @@ def op5_packing(spark, folder):
     return packed_documents(read_table(spark, folder, "documents"), path)
 
 
+def op6_quality(spark, folder):
+    from chatlake.llm.quality import judged
+
+    return judged(read_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "score", "kept")
+
+
 def op7_host_trust(spark, folder):
     from chatlake.llm.host_trust import filtered_urls
 
@@ -80,8 +92,10 @@ def op10_mixing(spark, folder):
 LLM_QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_token_counts": op2_token_counts,
+    "op3_pq": op3_pq,
     "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_host_trust": op7_host_trust,
     "op8_hilbert": op8_hilbert,
     "op9_suffix_dedup": op9_suffix_dedup,
