@@ -31,8 +31,9 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP = _powers(_BASE, PORTION + GRAM + WINDOW + 1)
-_DOWN = _powers(pow(_BASE, -1, 1 << 64), PORTION + GRAM + WINDOW + 1)
+#: Powers for a portion and the grams and windows that reach beyond it.
+_UP = _powers(_BASE, PORTION + (1 << 14))
+_DOWN = _powers(pow(_BASE, -1, 1 << 64), PORTION + (1 << 14))
 
 
 def gram_hashes(points: np.ndarray, gram: int = GRAM) -> np.ndarray:
