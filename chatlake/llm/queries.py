@@ -31,7 +31,7 @@ def op4_simhash(spark, folder):
     from chatlake.llm.simhash import near_duplicates
 
     found = near_duplicates(read_table(spark, folder, "documents"))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op5_packing(spark, folder):

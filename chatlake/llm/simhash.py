@@ -1,14 +1,16 @@
 """SimHash near-duplicates, compared by bit planes.
 
-1. A fingerprint for each text, in Arrow batches.
-2. Equal fingerprints are one node. Two fingerprints within the radius r agree on at least
-   m - r of m chunks of their bits, so each node is put into one bucket for every choice of
-   m - r chunks: no pair within the radius is missed, whatever m is. m follows from the number of
-   nodes, so that buckets of unrelated fingerprints stay small.
+1. A fingerprint for each text, in Arrow batches, of one or more words of 64 bits.
+2. Equal fingerprints are one node. Nodes are put into buckets by some of their bits:
+   - within a small radius r, exactly: two fingerprints agree on at least m - r of m chunks of their
+     bits, so there is one bucket for every choice of m - r chunks, and no pair is missed whatever m is;
+   - for a similarity, where r is a sixth of the bits: as many random choices of bits as meet with the
+     given probability for pairs at the radius.
+   The number of bits follows from the number of nodes, so that buckets of unrelated texts stay small.
 3. Large buckets are cut into blocks by hash, and each pair of blocks is a group of its own.
 4. In a group, 64 fingerprints are one column of words, one word for each bit. A fingerprint is
-   compared with 64 others by 64 XORs, whose bits are summed by carry-save adders in four counter
-   words; words in which all counters exceed the radius are abandoned every eight planes.
+   compared with 64 others by one XOR for each plane, whose bits are summed by carry-save adders in
+   counter words; words in which all counters exceed the radius are abandoned every eight planes.
 5. Links of a group leave it as a spanning forest, and components are found over all groups.
 """
 
@@ -16,7 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil, comb
+from math import acos, ceil, comb, log, log2, pi
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.llm.common import discard, id_text, stored, whole_groups
+from chatlake.llm.common import discard, id_text, mixed, stored, whole_groups
 from chatlake.llm.components import connected_components
 
 SHINGLE = 4
@@ -34,16 +37,21 @@ SEED = 42
 BLOCK = 2048
 #: Unrelated fingerprints to expect in a bucket at most, when the number of chunks is chosen.
 CROWD = 4096
+#: Probability that a pair at the radius of a similarity meets in a bucket.
+RECALL = 0.99
 
 _ONE = np.uint64(1)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of the word shingles, repeats included; 0 without words."""
+def fingerprint(text: str | None, shingle: int = SHINGLE, width: int = 1) -> list[int]:
+    """SimHash of the word shingles, repeats included, as words of 64 bits; 0 without shingles.
+
+    The first word is of the shingles' XXH64, the others of hashes made from it.
+    """
     terms = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not terms:
-        return 0
+        return [0] * width
     line = b" ".join(terms)
     ends = (np.cumsum(np.fromiter(map(len, terms), np.int64, len(terms)) + 1) - 1).tolist()
     starts = [0, *(end + 1 for end in ends[:-1])]
@@ -51,7 +59,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     hashes = np.fromiter(
         (xxhash.xxh64_intdigest(line[i:j], SEED) for i, j in zip(starts, last)), np.uint64, len(last)
     )
-    return _majority(hashes)
+    return [_majority(hashes if i == 0 else mixed(hashes + np.uint64(i))) for i in range(width)]
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -63,16 +71,17 @@ def _majority(hashes: np.ndarray) -> int:
     return int(sum(1 << bit for bit in np.flatnonzero(2 * ones > len(hashes)).tolist()))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """`(doc_id, fp)` of every row; null and empty texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, width: int = 1) -> DataFrame:
+    """`(doc_id, fp)` of every row, fp being its words; null and empty texts have fingerprint 0."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            values = [fingerprint(x.as_py(), shingle) for x in batch.column("text")]
-            fp = np.array(values, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            values = [fingerprint(x.as_py(), shingle, width) for x in batch.column("text")]
+            flat = pa.array(np.array(values, np.uint64).reshape(-1).view(np.int64))
+            fp = pa.ListArray.from_arrays(np.arange(0, width * len(values) + 1, width, dtype=np.int32), flat)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fp], ["doc_id", "fp"])
 
-    return id_text(docs).mapInArrow(batches, "doc_id long, fp long")
+    return id_text(docs).mapInArrow(batches, "doc_id long, fp array<long>")
 
 
 def within(planes: np.ndarray, query: np.ndarray, word: np.ndarray, masks: np.ndarray, radius: int):
@@ -81,80 +90,86 @@ def within(planes: np.ndarray, query: np.ndarray, word: np.ndarray, masks: np.nd
     planes[b] holds bit b of all fingerprints, 64 to a word; masks has all ones or zero for
     bit b of each query. Returns the surviving (query, word, bits).
     """
-    if not 0 <= radius <= 7:
-        raise ValueError("three counter words tell distances up to 7")
-    ones, twos, fours, over = (np.zeros(len(query), np.uint64) for _ in range(4))
-    for at in range(0, 64, 8):
+    digits = max(1, radius.bit_length())
+    counters = [np.zeros(len(query), np.uint64) for _ in range(digits)]
+    over = np.zeros(len(query), np.uint64)
+    beyond = over
+    for at in range(0, len(planes), 8):
         for bit in range(at, at + 8, 2):
             x = planes[bit][word] ^ masks[bit][query]
             y = planes[bit + 1][word] ^ masks[bit + 1][query]
-            half = ones ^ x
-            carry = (ones & x) | (half & y)
-            ones = half ^ y
-            carry, twos = twos & carry, twos ^ carry
-            over |= fours & carry
-            fours ^= carry
-        beyond = over | _above(ones, twos, fours, radius)
+            half = counters[0] ^ x
+            carry = (counters[0] & x) | (half & y)
+            counters[0] = half ^ y
+            for digit in range(1, digits):
+                carry, counters[digit] = counters[digit] & carry, counters[digit] ^ carry
+            over |= carry
+        if at + 8 <= radius:
+            continue
+        beyond = over | _above(counters, radius)
         alive = np.flatnonzero(beyond != _FULL)
         if len(alive) < len(query):
-            query, word, ones, twos, fours, over, beyond = (
-                v[alive] for v in (query, word, ones, twos, fours, over, beyond)
-            )
+            query, word, over, beyond, *counters = (v[alive] for v in (query, word, over, beyond, *counters))
         if not len(query):
             break
-    return query, word, ~beyond if len(query) else over
+    return query, word, ~beyond
 
 
-def _above(ones, twos, fours, radius):
-    """Counters, as three-digit binary numbers, above the radius."""
-    more, same = np.zeros_like(ones), np.full_like(ones, _FULL)
-    for digit, counter in ((4, fours), (2, twos), (1, ones)):
-        if radius & digit:
-            same = same & counter
+def _above(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """Counters, as binary numbers with the lowest digit first, above the radius."""
+    more, same = np.zeros_like(counters[0]), np.full_like(counters[0], _FULL)
+    for digit in range(len(counters) - 1, -1, -1):
+        if radius >> digit & 1:
+            same = same & counters[digit]
         else:
-            more |= same & counter
-            same = same & ~counter
+            more |= same & counters[digit]
+            same = same & ~counters[digit]
     return more
 
 
 def links(groups: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the pairs within the radius, rows of a group standing together."""
+    """Spanning forest of the pairs within the radius, rows of a group standing together.
+
+    fps has a row of 64-bit words for each fingerprint.
+    """
     starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
     sizes = np.diff(np.r_[starts, len(groups)])
     n_words = (sizes + 63) // 64
     first_word = np.cumsum(n_words) - n_words
     # Place of each row in the padded columns, where each group starts a word.
     place = np.arange(len(groups)) - np.repeat(starts, sizes) + np.repeat(first_word * 64, sizes)
-    padded = np.zeros(int(n_words.sum()) * 64, np.uint64)
-    padded[place] = fps
-    used = np.zeros(len(padded), bool)
-    used[place] = True
+    n_padded, width = int(n_words.sum()) * 64, fps.shape[1]
+    row_at = np.full(n_padded, -1, np.int64)
+    row_at[place] = np.arange(len(fps))
     shifts = np.arange(64, dtype=np.uint64)
-    planes = np.empty((64, len(padded) // 64), np.uint64)
-    for bit in range(64):
-        planes[bit] = (((padded >> np.uint64(bit)) & _ONE).reshape(-1, 64) << shifts).sum(axis=1, dtype=np.uint64)
-    real = (used.astype(np.uint64).reshape(-1, 64) << shifts).sum(axis=1, dtype=np.uint64)
-    masks = np.empty((64, len(fps)), np.uint64)
-    for bit in range(64):
-        masks[bit] = np.uint64(0) - ((fps >> np.uint64(bit)) & _ONE)
+
+    def gathered(bits: np.ndarray) -> np.ndarray:
+        return (bits.astype(np.uint64).reshape(-1, 64) << shifts).sum(axis=1, dtype=np.uint64)
+
+    planes, masks = np.empty((64 * width, n_padded // 64), np.uint64), np.empty((64 * width, len(fps)), np.uint64)
+    padded = np.zeros((n_padded, width), np.uint64)
+    padded[place] = fps
+    for bit in range(64 * width):
+        at, shift = bit // 64, np.uint64(bit % 64)
+        planes[bit] = gathered((padded[:, at] >> shift) & _ONE)
+        masks[bit] = np.uint64(0) - ((fps[:, at] >> shift) & _ONE)
+    real = gathered(row_at >= 0)
     per_row = np.repeat(n_words, sizes)
     query = np.repeat(np.arange(len(fps)), per_row)
-    word = np.arange(len(query)) - np.repeat(np.cumsum(per_row) - per_row, per_row) + np.repeat(
-        np.repeat(first_word, sizes), per_row
-    )
-    row_at = np.zeros(len(padded), np.int64)
-    row_at[place] = np.arange(len(fps))
-    query, word, bits = within(planes, query, word, masks, radius)
-    bits = bits & real[word] if len(query) else bits
+    word = np.arange(len(query)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+    word += np.repeat(np.repeat(first_word, sizes), per_row)
     label = np.arange(len(fps))
-    for at in range(0, len(query), 1 << 14):
-        part = bits[at : at + (1 << 14)]
-        flat = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        i, bit = np.nonzero(flat)
-        left = query[at : at + (1 << 14)][i]
-        right = row_at[word[at : at + (1 << 14)][i] * 64 + bit]
-        apart = left < right
-        _join(label, left[apart], right[apart])
+    for low in range(0, len(query), 1 << 16):
+        some, column, bits = within(planes, query[low : low + (1 << 16)], word[low : low + (1 << 16)], masks, radius)
+        bits = bits & real[column]
+        for at in range(0, len(some), 1 << 14):
+            part = bits[at : at + (1 << 14)]
+            flat = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            i, bit = np.nonzero(flat)
+            left = some[at : at + (1 << 14)][i]
+            right = row_at[column[at : at + (1 << 14)][i] * 64 + bit]
+            apart = left < right
+            _join(label, left[apart], right[apart])
     child = np.flatnonzero(label != np.arange(len(label)))
     return child, label[child]
 
@@ -183,44 +198,65 @@ def _chunks(nodes: int, radius: int) -> int:
     return chunks
 
 
-def _masks(chunks: int, radius: int) -> list[int]:
+def _masks(chunks: int, radius: int) -> list[list[int]]:
     edges = [64 * i // chunks for i in range(chunks + 1)]
     parts = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:])]
-    return [sum(choice) for choice in combinations(parts, chunks - radius)]
+    return [[sum(choice)] for choice in combinations(parts, chunks - radius)]
+
+
+def _random_masks(nodes: int, radius: int, width: int) -> list[list[int]]:
+    """Choices of bits, few enough to keep buckets of unrelated texts small, and so many choices
+    that a pair at the radius agrees on one of them with probability RECALL."""
+    n_bits = max(10, ceil(log2(max(nodes, 1) / CROWD)))
+    meet = (1 - radius / (64 * width)) ** n_bits
+    random, masks = Random(SEED), []
+    for _ in range(ceil(log(1 - RECALL) / log(1 - meet))):
+        words = [0] * width
+        for bit in random.sample(range(64 * width), n_bits):
+            words[bit // 64] |= 1 << bit % 64
+        masks.append(words)
+    return masks
+
+
+def similarity_radius(similarity: float, width: int) -> int:
+    """Differing bits to expect at a Jaccard similarity of sets of equal size, and half a deviation more."""
+    share = acos(2 * similarity / (1 + similarity)) / pi
+    return round(64 * width * share + 0.5 * (64 * width * share * (1 - share)) ** 0.5)
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def linked(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """`(a, b)`: a spanning forest, or a little more, of the fingerprints `fp` within the radius."""
-    masks = _masks(_chunks(nodes.count(), radius), radius)
-    keyed = nodes.select(
-        "fp",
-        F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("choice", "key"),
-    )
+def linked(nodes: DataFrame, masks: list[list[int]], radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """`(a, b)`: a spanning forest, or a little more, of `nodes(node, fp)` within the radius that meet in a bucket."""
+    keys = [F.xxhash64(*[F.col("fp")[i].bitwiseAND(F.lit(_signed(w))) for i, w in enumerate(m) if w]) for m in masks]
+    keyed = nodes.select("node", "fp", F.posexplode(F.array(*keys)).alias("choice", "key"))
     crowded = stored(
-        keyed.groupBy("choice", "key")
+        nodes.select(F.posexplode(F.array(*keys)).alias("choice", "key"))
+        .groupBy("choice", "key")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .select("choice", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     )
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (
         keyed.join(crowded, ["choice", "key"])
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("fp", F.xxhash64("choice", "key", F.least("own", "other"), F.greatest("own", "other")).alias("g"))
+        .select(
+            "node", "fp", F.xxhash64("choice", "key", F.least("own", "other"), F.greatest("own", "other")).alias("g")
+        )
     )
 
     def compare(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(source, "g"):
-            groups = table.column("g").to_numpy()
-            fps = table.column("fp").to_numpy().view(np.uint64)
+            groups, node = table.column("g").to_numpy(), table.column("node").to_numpy()
+            words = table.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64)
+            fps = words.reshape(len(groups), -1)
             for low, high in _portions(groups):
                 child, root = links(groups[low:high], fps[low:high], radius)
-                part = fps[low:high].view(np.int64)
+                part = node[low:high]
                 yield pa.RecordBatch.from_arrays([pa.array(part[child]), pa.array(part[root])], ["a", "b"])
 
     return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(compare, "a long, b long")
@@ -236,21 +272,44 @@ def _portions(groups: np.ndarray, rows: int = 4096) -> Iterator[tuple[int, int]]
             low = end
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """`(doc_id, fp, component_id)` of every row of `docs(doc_id, text)`.
+def near_duplicates(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    similarity: float | None = None,
+    width: int = 1,
+    block: int = BLOCK,
+) -> DataFrame:
+    """`(doc_id, fp, component_id)` of every row of `docs(doc_id, text)`; fp is the array of `width` words.
+
+    Links are pairs of fingerprints of one word with at most `radius` differing bits, all of which are found; or, where a
+    similarity is given, pairs with at most as many bits as texts of this Jaccard similarity differ in, of which
+    each at the very limit is found with probability RECALL, and closer ones almost surely.
 
     component_id is the smallest doc_id that can be reached over links, the row's own included.
     Null and empty texts have fingerprint 0 and link like any other. Repeated rows stay
     repeated. A null doc_id never is a component's id, unless all its ids are null. No rows
     give no rows; other columns are ignored.
     """
-    prints = stored(fingerprints(docs, shingle))
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    found = connected_components(linked(nodes, radius, block))
-    rooted = nodes.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root")
+    if similarity is not None:
+        radius = similarity_radius(similarity, width)
+    elif width != 1:
+        raise ValueError("a radius is for fingerprints of one word")
+    prints = stored(fingerprints(docs, shingle, width))
+    nodes = stored(
+        prints.groupBy("fp")
+        .agg(F.min("doc_id").alias("first"))
+        .select(F.monotonically_increasing_id().alias("node"), "fp", "first")
+    )
+    n_nodes = nodes.count()
+    if similarity is None:
+        masks = _masks(_chunks(n_nodes, radius), radius)
+    else:
+        masks = _random_masks(n_nodes, radius, width)
+    found = connected_components(linked(nodes.select("node", "fp"), masks, radius, block))
+    rooted = stored(
+        nodes.join(found, "node", "left").select("fp", "first", F.coalesce("component", "node").alias("root"))
     )
-    rooted = stored(rooted)
     least = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     by_print = stored(rooted.join(least, "root").select("fp", "component_id"))
     discard(nodes, found, rooted, least)

@@ -21,13 +21,14 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of SimHash near-duplicates.
+    """Keep the document with the smallest id of each group of SimHash near-duplicates, on shingles
+    of five words and a similarity of 0.8.
 
     Documents without an id cannot be told apart and stay.
     """
     from chatlake.llm.simhash import near_duplicates
 
-    found = near_duplicates(docs, shingle=5)
+    found = near_duplicates(docs, shingle=5, similarity=0.8, width=4)
     gone = stored(found.filter("doc_id <> component_id").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
