@@ -46,10 +46,11 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Each document as often as the mix takes it; a document taken in part once more as a whole."""
     from chatlake.llm.mixing import mix
 
-    others = [c for c in docs.columns if c not in ("doc_id", "source")]
-    found = mix(docs, keep=others).filter("taken > 0")
+    # Packed, so that no column can have the name of one of the operator's.
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_document"))
+    found = mix(rows, keep=["_document"]).filter("taken > 0")
     copies = F.ceil(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
+    return found.select("_document", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).select("_document.*")
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
