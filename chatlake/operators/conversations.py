@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from chatlake.functions import text as tx
 from chatlake.functions.clock import integer_div
-
-PART_MESSAGES = 10_000
+from chatlake.operators.numbering import number_rows
 
 
 def chat_message(role: Column | str, content: Column | str) -> Column:
@@ -25,23 +24,31 @@ def assemble(
     index: str,
     tie: str,
     message: Sequence[str],
-    part_messages: int = PART_MESSAGES,
+    part_messages: int | None = None,
 ) -> DataFrame:
-    """Collect each conversation's messages in order of `index`, then `tie`.
+    """Collect each conversation's messages in order of `index`, then `tie`, with its `total`.
 
-    A row holds up to `part_messages` index steps. Longer conversations continue in rows
-    with `part` 1, 2, ...; the parts in order are the whole conversation, so no single row
-    or task has to hold one of any length.
+    A conversation is one row with `part` 0. Where rows that long are not wanted,
+    `part_messages` cuts it into rows of at most so many messages, with `part` 0, 1, ..., which
+    in order are the whole conversation; messages are counted in their order, whatever
+    their index is, and the first of `key` has to be the conversation's.
     """
+    if part_messages is None:
+        placed = rows.withColumn("part", F.lit(0).cast("long"))
+        total = F.count(F.lit(1))
+    else:
+        placed = number_rows(rows, key[0], (index, tie), position="_position", total="_total")
+        placed = placed.withColumn("part", integer_div(F.col("_position"), part_messages))
+        total = F.max("_total")
     entry = F.struct(index, tie, F.struct(*message).alias("message"))
     ordered = F.array_sort(F.collect_list(entry))
-    return rows.groupBy(*key, integer_div(F.col(index), part_messages).alias("part")).agg(
-        F.transform(ordered, lambda item: item["message"]).alias("messages")
+    return placed.groupBy(*key, "part").agg(
+        F.transform(ordered, lambda item: item["message"]).alias("messages"), total.alias("total")
     )
 
 
-def conversations(cleaned: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
-    """`conversation_id, part, messages` with assistant and user roles."""
+def conversations(cleaned: DataFrame, part_messages: int | None = None) -> DataFrame:
+    """`conversation_id, part, messages, total` with assistant and user roles."""
     rows = cleaned.select(
         "chat_id",
         "conversation_id",
@@ -72,18 +79,12 @@ def training_examples(
     cleaned: DataFrame,
     prompt: Column | str,
     min_messages: int = 3,
-    part_messages: int = PART_MESSAGES,
+    part_messages: int | None = None,
 ) -> DataFrame:
-    """Conversations of at least `min_messages`, opened by the system prompt.
-
-    A later part exists only behind a full one, so the size of part 0 decides.
-    """
-    if part_messages < min_messages:
-        raise ValueError("part_messages must not be below min_messages")
-    long_enough = (F.col("part") > 0) | (F.size("messages") >= min_messages)
+    """Conversations of at least `min_messages`, opened by the system prompt."""
     return (
         conversations(cleaned, part_messages)
-        .filter(long_enough)
+        .filter(F.col("total") >= min_messages)
         .withColumn("messages", lead_with_system(F.col("messages"), F.col("part"), prompt))
     )
 

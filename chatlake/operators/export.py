@@ -9,7 +9,6 @@ from chatlake.functions import text as tx
 from chatlake.functions.clock import clock_text, source_timestamp
 from chatlake.operators.clean import keep_clean
 from chatlake.operators.conversations import (
-    PART_MESSAGES,
     assemble,
     chat_message,
     lead_with_system,
@@ -27,7 +26,7 @@ def export_messages(
     self_role: str = "self",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Flat export rows with index and message count of their conversation.
+    """Flat export rows with index, message count and linked count of their conversation.
 
     Chats need `min_linked` linked messages of any kind and `min_clean` that survive the
     text rules. Only `text` counts here: bodies, system and emote flags are not looked at.
@@ -41,10 +40,12 @@ def export_messages(
         "is_from_me",
         "handle_id",
     )
-    linked = links_per_chat(source).filter(F.col("message_count") >= min_linked).select("chat_id")
-    links = source.link.join(linked, "chat_id", "left_semi")
+    linked = links_per_chat(source).filter(F.col("message_count") >= min_linked)
+    linked = linked.select("chat_id", F.col("message_count").alias("linked_count"))
+    links = source.link.join(linked, "chat_id")
     rows = with_contact(message.join(links, "message_id"), source).select(
         "chat_id",
+        "linked_count",
         "message_id",
         "date",
         "role",
@@ -66,7 +67,7 @@ def export_messages(
 
 
 def export_conversations(
-    rows: DataFrame, chat: DataFrame, part_messages: int = PART_MESSAGES
+    rows: DataFrame, chat: DataFrame, part_messages: int | None = None
 ) -> DataFrame:
     """Documents `id, title, messages, message_count` with `chat_id` and `part`.
 
@@ -74,7 +75,7 @@ def export_conversations(
     """
     documents = assemble(
         rows,
-        ["chat_id", "message_count"],
+        ["chat_id", "message_count", "linked_count"],
         "message_index",
         "message_id",
         ["role", "content", "timestamp", "contact_id", "has_media"],
@@ -91,32 +92,24 @@ def export_conversations(
         "title",
         "messages",
         "message_count",
+        "linked_count",
     )
 
 
-def document_columns() -> list[Column]:
-    """Columns of a stored document; `part` only on continued ones."""
-    later_part = F.when(F.col("part") > 0, F.col("part"))
-    return [
-        F.col("id"),
-        F.col("title"),
-        F.col("messages"),
-        F.col("message_count"),
-        later_part.alias("part"),
-    ]
+def by_size(documents: DataFrame) -> DataFrame:
+    """Documents in order of the messages linked to their chat, most first."""
+    return documents.orderBy(F.desc("linked_count"), "chat_id", "part")
 
 
-def by_size(documents: DataFrame) -> DataFrame:
-    """Documents in order of conversation size, largest first."""
-    return documents.orderBy(F.desc("message_count"), "chat_id", "part")
+def example_role(role: Column) -> Column:
+    return F.when(role == "friend", F.lit("user")).otherwise(F.lit("assistant"))
 
 
 def full_conversations(documents: DataFrame, prompt: Column | str) -> DataFrame:
     """Whole conversations as examples: system prompt, then user and assistant messages."""
 
     def relabelled(message: Column) -> Column:
-        role = F.when(message["role"] == "friend", F.lit("user")).otherwise(F.lit("assistant"))
-        return chat_message(role, message["content"])
+        return chat_message(example_role(message["role"]), message["content"])
 
     messages = F.transform("messages", relabelled)
     return documents.select(

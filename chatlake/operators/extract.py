@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from chatlake.functions import text as tx
 from chatlake.functions.clock import source_timestamp
+from chatlake.session import stored
 from chatlake.sources.tables import ChatSource
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 
 
 def has_content(text, body, attachments):
@@ -101,18 +103,23 @@ def with_contact(
 ) -> DataFrame:
     """`contact_id` by handle id for rows with `message_id, handle_id`; null if unknown.
 
-    A contact table of up to `broadcast_rows`, which is counted, is broadcast. Beyond that
+    A contact table of up to `broadcast_rows` and BROADCAST_BYTES, which is measured, is broadcast. Beyond that
     the contacts are found for ids alone and come back by message id: rows with text are
     already shuffled by it, and are not shuffled again. Ids outside the contacts' range take
     no part in that; among them is the one that all own messages share.
     """
     contacts = contact_ids(source.handle)
     handle_id = F.col("handle_id")
-    contact_count, lowest, highest = contacts.agg(
-        F.count(handle_id), F.min(handle_id), F.max(handle_id)
+    contact_count, size, lowest, highest = contacts.agg(
+        F.count(F.lit(1)),
+        F.coalesce(F.sum(F.octet_length("contact_id") + 16), F.lit(0)),
+        F.min(handle_id),
+        F.max(handle_id),
     ).first()
-    if contact_count <= broadcast_rows:
+    if contact_count <= broadcast_rows and size <= BROADCAST_BYTES:
         return rows.join(F.broadcast(contacts), "handle_id", "left")
+    # Stored, so that both sides of the join are plain shuffles, which can be split where they are skewed.
+    contacts = stored(contacts)
     found = (
         source.message.select(F.col("row_id").alias("message_id"), "handle_id")
         .filter(handle_id.between(lowest, highest))
@@ -124,4 +131,5 @@ def with_contact(
 
 
 def contact_ids(handle: DataFrame) -> DataFrame:
-    return handle.select(F.col("row_id").alias("handle_id"), F.col("id").alias("contact_id"))
+    """One contact for each handle id: the last in order where an id is repeated."""
+    return handle.groupBy(F.col("row_id").alias("handle_id")).agg(F.max("id").alias("contact_id"))

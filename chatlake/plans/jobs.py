@@ -8,12 +8,13 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from chatlake.functions import text as tx
 from chatlake.operators import conversations as cv
 from chatlake.operators import export as ex
 from chatlake.operators import pairs, split, style
 from chatlake.operators.clean import clean
 from chatlake.operators.extract import candidates
-from chatlake.operators.numbering import HOT_ROWS
+from chatlake.operators.numbering import HOT_ROWS, number_rows
 from chatlake.session import stored
 from chatlake.sources import documents as docs
 from chatlake.sources.store import CLEAN, EXTRACT, MessageStore
@@ -70,14 +71,26 @@ def run_prepare(
     min_messages: int = 3,
     val_ratio: float = 0.1,
     seed: int = 42,
-    part_messages: int = cv.PART_MESSAGES,
+    hot_rows: int = HOT_ROWS,
 ) -> None:
-    """Write examples as JSON lines per split, and metadata, below `path`."""
-    sizes = cv.conversation_sizes(cleaned)
+    """Write one JSON line per example and split, and metadata, below `path`.
+
+    Sizes are stored once: the split and the metadata both read them.
+    """
+    sizes = stored(cv.conversation_sizes(cleaned))
     eligible = sizes.filter(F.col("message_count") >= min_messages)
-    examples = cv.training_examples(cleaned, prompt, min_messages, part_messages)
-    labelled = split.assign_split(examples, eligible, val_ratio, seed)
-    docs.write_lines(labelled, cv.example_line(), f"{path}/examples", partition="split")
+    rows = number_rows(
+        cleaned, "chat_id", ("message_index", "message_id"), total="total", hot_rows=hot_rows
+    ).filter(F.col("total") >= min_messages)
+    docs.write_conversations(
+        split.assign_split(rows, eligible, val_ratio, seed),
+        head=F.struct(F.col("conversation_id").alias("id")),
+        message=cv.chat_message(tx.chat_role(F.col("is_from_me")), F.col("text")),
+        path=f"{path}/examples",
+        order=[],
+        lead=cv.chat_message("system", prompt),
+        partition="split",
+    )
     metadata = split.dataset_metadata(sizes, min_messages, val_ratio, seed)
     docs.write_metadata(
         metadata.withColumn("created_at", F.current_timestamp()), f"{path}/metadata"
@@ -119,7 +132,6 @@ def run_export(
     self_role: str = "self",
     template: str = style.STYLE_TEMPLATE,
     hot_rows: int = HOT_ROWS,
-    part_messages: int = cv.PART_MESSAGES,
 ) -> Export:
     """Write documents, whole conversations, reply pairs and prompts below `path`.
 
@@ -132,17 +144,34 @@ def run_export(
         "overwrite"
     ).parquet(target.messages)
     rows = spark.read.parquet(target.messages)
-    # Two outputs hold whole conversations; collecting them shuffles all text once this way.
-    documents = stored(ex.export_conversations(rows, source.chat, part_messages))
-    docs.write_documents(documents, target.documents)
+    placed = rows.withColumnsRenamed({"message_index": "position", "message_count": "total"})
+    largest_first = [F.desc("linked_count")]
+    titles = source.chat.select(
+        F.col("row_id").alias("chat_id"),
+        tx.chat_title(F.col("display_name"), F.col("row_id")).alias("title"),
+    )
+    name = tx.conversation_id(F.col("chat_id"), "conversation_").alias("id")
+    docs.write_conversations(
+        placed.join(titles, "chat_id"),
+        head=F.struct(name, "title", F.col("total").alias("message_count")),
+        message=F.struct("role", "content", "timestamp", "contact_id", "has_media"),
+        path=target.documents,
+        order=largest_first,
+    )
 
     rendered = style.render_prompt(style.style_stats(rows, self_role), template)
     docs.write_prompts(style.prompt_variants(rendered), target.prompts)
     prompt = style.prompt_column(
         spark.read.schema("variant int, prompt string").json(target.prompts).filter("variant = 0")
     )
-    whole = ex.full_conversations(documents, prompt)
-    docs.write_lines(whole, cv.example_line("id"), target.full_conversations)
+    docs.write_conversations(
+        placed,
+        head=F.struct(name),
+        message=cv.chat_message(ex.example_role(F.col("role")), F.col("content")),
+        path=target.full_conversations,
+        order=largest_first,
+        lead=cv.chat_message("system", prompt),
+    )
     replies = pairs.reply_pairs(rows, self_role=self_role)
     docs.write_lines(replies, pairs.pair_line(prompt), target.message_pairs)
     return target

@@ -16,27 +16,27 @@ _ROW_ID = "(bigint(conv_id) * 8 + turn + 1)"
 # that the rules which look at it do not carry this expression along.
 _TEXT = r"""
     explode(array(CASE rule
-        WHEN 0 THEN concat('Liked “', substring(said, 1, 20), '”')
+        WHEN 0 THEN concat('Liked “', said, '”')
         WHEN 1 THEN concat('\ufffc ', said)
         WHEN 2 THEN NULL
         WHEN 3 THEN NULL
         WHEN 4 THEN '\ufffc'
         WHEN 5 THEN concat(said, ' \U0001f600')
-        WHEN 6 THEN concat('They reacted with ', substring(said, 1, 20))
+        WHEN 6 THEN concat('They reacted with ', said)
         WHEN 7 THEN concat('\u00a0', said, '\u3000')
         ELSE said
     END)) AS text
 """
 _BODY = """
     CASE WHEN rule IN (2, 3)
-        THEN encode(concat('bplist00ZNSString$V"', substring(said, 1, 40), '"'), 'UTF-8')
+        THEN encode(concat('bplist00ZNSString$V"', said, '"'), 'UTF-8')
     END AS attributedBody
 """
-# Contacts 21 to 30 get an id no contact table holds.
+# A third of the handle ids are in no contact table.
 _HANDLE = """
     CASE WHEN role = 'assistant' THEN 0L
-        WHEN conv % 30 + 1 <= 20 THEN conv % 30 + 1
-        ELSE -(conv % 30 + 1)
+        WHEN conv % 30 < 20 THEN conv + 1
+        ELSE -(conv + 1)
     END AS handle_id
 """
 

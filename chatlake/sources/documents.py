@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatlake import schemas
-from chatlake.operators.export import document_columns
+
+#: Nulls are written, so that every message of a document has all its keys.
+KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def write_lines(rows: DataFrame, line: Column, path: str, partition: str | None = None) -> None:
@@ -18,7 +23,42 @@ def write_lines(rows: DataFrame, line: Column, path: str, partition: str | None
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    documents.select(*document_columns()).write.mode("overwrite").json(path)
+    """Documents that are rows already; `part` is written only if they are cut into parts."""
+    columns = ["id", "title", "messages", "message_count"]
+    if "part" in documents.columns:
+        columns.append("part")
+    documents.select(*columns).write.mode("overwrite").json(path, ignoreNullFields=False)
+
+
+def write_conversations(
+    messages: DataFrame,
+    head: Column,
+    message: Column,
+    path: str,
+    order: Sequence[Column | str],
+    lead: Column | None = None,
+    partition: str | None = None,
+) -> None:
+    """One JSON line per conversation of any length, without ever holding one in memory.
+
+    `messages` has `chat_id`, a dense `position` from 0 and the `total` of each conversation. A line is
+    written in fragments: the first message brings the struct `head` and the message `lead`, the last
+    one closes the line. With an
+    `order`, files in order of name are in that order too. Each file starts with an empty line, which JSON
+    readers pass over.
+    """
+    opening = F.concat(F.regexp_replace(F.to_json(head, KEEP_NULLS), r"\}\z", ""), F.lit(',"messages":['))
+    if lead is not None:
+        opening = F.concat(opening, F.to_json(lead, KEEP_NULLS), F.lit(","))
+    before = F.when(F.col("position") == 0, F.concat(F.lit("\n"), opening)).otherwise(",")
+    after = F.when(F.col("position") == F.col("total") - 1, "]}").otherwise("")
+    fragment = F.concat(before, F.to_json(message, KEEP_NULLS), after).alias("value")
+    by_range = messages.repartitionByRange(*order, "chat_id") if order else None
+    dealt = messages.repartition("chat_id") if by_range is None else by_range
+    kept = [partition] if partition else []
+    ordered = dealt.sortWithinPartitions(*kept, *order, "chat_id", "position")
+    writer = ordered.select(*kept, fragment).write.mode("overwrite").option("lineSep", " ")
+    (writer.partitionBy(partition) if partition else writer).text(path)
 
 
 def read_documents(spark: SparkSession, path: str, one_array: bool = False) -> DataFrame:

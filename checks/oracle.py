@@ -47,22 +47,22 @@ WITH turns AS (
 message AS (
   SELECT c * 8 + k + 1 AS row_id,
     CASE h
-      WHEN 0 THEN 'Liked “' || substring(said, 1, 20) || '”'
+      WHEN 0 THEN 'Liked “' || said || '”'
       WHEN 1 THEN {_quoted(PLACEHOLDER + ' ')} || said
       WHEN 2 THEN NULL
       WHEN 3 THEN NULL
       WHEN 4 THEN {_quoted(PLACEHOLDER)}
       WHEN 5 THEN said || {_quoted(' ' + SMILE)}
-      WHEN 6 THEN 'They reacted with ' || substring(said, 1, 20)
+      WHEN 6 THEN 'They reacted with ' || said
       WHEN 7 THEN {_quoted(NBSP)} || said || {_quoted(WIDE_SPACE)}
       ELSE said END AS text,
     CASE WHEN h IN (2, 3)
-      THEN encode('bplist00ZNSString$V"' || substring(said, 1, 40) || '"') END AS body,
+      THEN encode('bplist00ZNSString$V"' || said || '"') END AS body,
     (725760000 + c * 5400 + k * 45) * 1000000000 AS date,
     CASE WHEN role = 'assistant' THEN 1 ELSE 0 END AS is_from_me,
     CASE WHEN role = 'assistant' THEN 0
-      WHEN c % 30 + 1 <= 20 THEN c % 30 + 1
-      ELSE -(c % 30 + 1) END AS handle_id,
+      WHEN c % 30 < 20 THEN c + 1
+      ELSE -(c + 1) END AS handle_id,
     CASE WHEN h IN (1, 3, 4) THEN 1 ELSE 0 END AS attached,
     'cached' || (c % 5)::VARCHAR AS cached_room,
     CASE c % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' END AS service,
@@ -323,12 +323,18 @@ ORACLE = {
     "export_conversations": EXPORTED + f"""
       SELECT 'conversation_' || chat_id::VARCHAR AS id,
         coalesce(nullif(c.display_name, ''), 'Conversation-' || chat_id::VARCHAR) AS title,
-        e.n AS message_count, replace(e.m, '"contact_id":null,', '') AS messages
+        e.n AS message_count, e.m AS messages
       FROM (
         SELECT chat_id, count(*) AS n,
           to_json(list({_DOCUMENT_MESSAGE} ORDER BY message_index))::VARCHAR AS m
         FROM exported GROUP BY chat_id
       ) e JOIN chat c ON c.row_id = e.chat_id""",
+    "export_sizes": EXPORTED + """
+      SELECT 'conversation_' || e.chat_id::VARCHAR AS id, any_value(e.message_count) AS message_count,
+        any_value(n.linked_count) AS linked_count
+      FROM exported e
+      JOIN (SELECT chat_id, count(message_id) AS linked_count FROM link GROUP BY chat_id) n USING (chat_id)
+      GROUP BY e.chat_id""",
     "full_conversations": EXPORTED + f"""
       SELECT 'conversation_' || chat_id::VARCHAR AS id,
         to_json(struct_pack(id := 'conversation_' || chat_id::VARCHAR, messages :=
@@ -410,3 +416,12 @@ ORACLE = {
       FROM range(30) r CROSS JOIN span
       LEFT JOIN (SELECT bin, count(*) AS n FROM binned GROUP BY bin) b ON b.bin = r.range""",
 }
+
+# What the jobs write is what the operators give.
+ORACLE["prepared_examples"] = (
+    f"SELECT e.conversation_id, s.split, e.example FROM ({ORACLE['training_examples']}) e "
+    f"JOIN ({ORACLE['train_val_split']}) s USING (conversation_id)"
+)
+ORACLE["exported_documents"] = ORACLE["export_conversations"]
+ORACLE["stored_messages_two_runs"] = ORACLE["extract_messages"]
+ORACLE["stored_cleaned_two_runs"] = ORACLE["cleaned_messages"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +17,11 @@ from chatlake.operators.clean import chat_sizes, clean
 from chatlake.operators.extract import chat_lookup, extract
 from chatlake.operators.keys import duplicate_ids, ids_already_stored
 from chatlake.operators.runs import conversation_runs
+from chatlake.plans.jobs import run_clean, run_export, run_extract, run_prepare
+from chatlake.session import require_checkpoint_dir
+from chatlake.sources.documents import KEEP_NULLS, read_documents
 from chatlake.sources.derived import derived_source, run_marks, with_second_links
-from chatlake.sources.store import decode_legacy_mark, latest_mark, latest_marks
+from chatlake.sources.store import MessageStore, decode_legacy_mark, latest_mark, latest_marks
 
 SEED, VAL_RATIO, MARK = 42, 0.1, 100
 
@@ -185,21 +191,69 @@ def dataset_metadata(spark, folder):
 
 
 def export_messages(spark, folder):
-    return ex.export_messages(derived_source(spark, folder)).drop("date")
+    return ex.export_messages(derived_source(spark, folder)).drop("date", "linked_count")
 
 
 def export_messages_hot_chats(spark, folder):
-    return ex.export_messages(derived_source(spark, folder), hot_rows=HOT_ROWS).drop("date")
+    return ex.export_messages(derived_source(spark, folder), hot_rows=HOT_ROWS).drop("date", "linked_count")
 
 
 def export_conversations(spark, folder):
     source = derived_source(spark, folder)
     documents = ex.export_conversations(ex.export_messages(source), source.chat)
     return ex.by_size(documents).select(
-        "id", "title", "message_count", F.to_json("messages").alias("messages")
+        "id", "title", "message_count", F.to_json("messages", KEEP_NULLS).alias("messages")
     )
 
 
+def export_sizes(spark, folder):
+    source = derived_source(spark, folder)
+    documents = ex.export_conversations(ex.export_messages(source), source.chat)
+    return ex.by_size(documents).select("id", "message_count", "linked_count")
+
+
+def _fresh_folder(spark) -> str:
+    return f"{require_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+
+
+def prepared_examples(spark, folder):
+    """The training files as the job writes them, read back."""
+    path = _fresh_folder(spark)
+    run_prepare(_cleaned(spark, folder), path, val_ratio=VAL_RATIO, seed=SEED)
+    kind = "id string, messages array<struct<role: string, content: string>>"
+    lines = spark.read.text(f"{path}/examples").filter("trim(value) <> ''")
+    example = F.from_json("value", kind)
+    return lines.select(example["id"].alias("conversation_id"), "split", F.to_json(example).alias("example"))
+
+
+def exported_documents(spark, folder):
+    """The documents as the job writes them, read back."""
+    target = run_export(derived_source(spark, folder), _fresh_folder(spark))
+    return read_documents(spark, target.documents).select(
+        "id", "title", "message_count", F.to_json("messages", KEEP_NULLS).alias("messages")
+    )
+
+
+def _stored_twice(spark, folder) -> MessageStore:
+    """A store after two rounds of extract and clean, the first of which saw half of the messages."""
+    source = derived_source(spark, folder)
+    store = MessageStore(spark, f"log_{uuid.uuid4().hex[:12]}", _fresh_folder(spark))
+    store.create()
+    half = source.message.selectExpr("percentile_approx(row_id, 0.5)").first()[0]
+    for part in (replace(source, message=source.message.filter(F.col("row_id") <= half)), source):
+        run_extract(part, store)
+        run_clean(store, index_scope="conversation")
+    return store
+
+
+def stored_messages_two_runs(spark, folder):
+    return _shown(_stored_twice(spark, folder).read("extract")).drop("batch_id")
+
+
+def stored_cleaned_two_runs(spark, folder):
+    return _shown(_stored_twice(spark, folder).read("clean")).drop("batch_id")
+
+
 def full_conversations(spark, folder):
     source = derived_source(spark, folder)
     documents = ex.export_conversations(ex.export_messages(source), source.chat)
@@ -292,6 +346,11 @@ QUERIES = {
     "export_messages": export_messages,
     "export_messages_hot_chats": export_messages_hot_chats,
     "export_conversations": export_conversations,
+    "export_sizes": export_sizes,
+    "prepared_examples": prepared_examples,
+    "exported_documents": exported_documents,
+    "stored_messages_two_runs": stored_messages_two_runs,
+    "stored_cleaned_two_runs": stored_cleaned_two_runs,
     "full_conversations": full_conversations,
     "normalize_roles": normalize_roles,
     "reply_pairs": reply_pairs,

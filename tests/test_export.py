@@ -124,7 +124,10 @@ def test_export_job(spark, tmp_path, derived):
     assert documents.count() == 5 and documents.filter("part is not null").count() == 0
     pairs_written = [json.loads(r.value) for r in spark.read.text(target.message_pairs).collect()]
     assert len(pairs_written) == 10
-    whole = [json.loads(r.value) for r in spark.read.text(target.full_conversations).collect()]
+    texts = [r.value for r in spark.read.text(target.documents).collect() if r.value.strip()]
+    assert all("contact_id" in m for t in texts for m in json.loads(t)["messages"])
+    lines = [r.value for r in spark.read.text(target.full_conversations).collect()]
+    whole = [json.loads(line) for line in lines if line.strip()]
     assert len(whole) == 5
     variants = spark.read.json(target.prompts).orderBy("variant").collect()
     assert len(variants) == 4
@@ -134,7 +137,7 @@ def test_export_job(spark, tmp_path, derived):
 
 def test_by_size_orders_documents(spark, derived):
     documents = ex.export_conversations(ex.export_messages(derived), derived.chat)
-    counts = [r.message_count for r in ex.by_size(documents).collect()]
+    counts = [r.linked_count for r in ex.by_size(documents).collect()]
     assert counts == sorted(counts, reverse=True)
 
 

@@ -15,29 +15,6 @@ def apply(spark, function, values, kind="string"):
     return [row["r"] for row in found]
 
 
-PREFIXES = ("Liked", "Loved", "Laughed at", "Emphasized", "Disliked", "Questioned", "Reacted")
-
-
-def expected_clean(text):
-    if not text or text.startswith(PREFIXES):
-        return ""
-    lowered = text.lower()
-    if "emphasized" in lowered or "reacted with" in lowered:
-        return ""
-    return text.replace("\ufffc", "").strip()
-
-
-def expected_body(body):
-    if body is None:
-        return None
-    text = body.decode("utf-8", errors="replace")
-    if "NSString" not in text:
-        return None
-    start = text.find('NSString$V"') + 11
-    end = text.find('"', start)
-    return text[start:end] if end > start else None
-
-
 def test_clean_text_cases(spark):
     cases = {
         "Hello": "Hello",
@@ -69,49 +46,57 @@ def test_clean_text_strips_every_white_space(spark):
     assert apply(spark, tx.clean_text, texts) == [text.strip() for text in texts]
 
 
-def test_clean_text_random(spark):
+def test_clean_text_properties(spark):
+    """No placeholder and no outer white space is left, and inner text is kept."""
     rng = random.Random(7)
-    pieces = [*PREFIXES, "emphasized", "Reacted with", "\ufffc", " ", "\n", "\xa0", "hello", "😀", "Ké"]
-    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 4))) for _ in range(400)]
-    assert apply(spark, tx.clean_text, texts) == [expected_clean(text) for text in texts]
-
-
-BODIES = [
-    b'bplist00\xd4\x01\x02\x03\x04\x05\x06\x07\x08ZNSString$V"Test Message"',
-    b"Invalid",
-    None,
-    b"",
-    b'xNSString$V""',
-    b'xNSString$V"" and NSString$V"later"',
-    b'xNSString$V"first" and NSString$V"later"',
-    b'xNSString$V"open',
-    b'abcNSStringxx"yy"zz',
-    b'NSStringxxx"y"',
-    b'NSStringxxxxxxxxx',
-    b'\xe2\x82NSString$V"ab"',
-    b'\xff\xfe\xc0\x80NSString$V"\xed\xa0\x80\xf0\x9f\x98\x80"',
-    b'\xf0\x9f\x98\x80\xf0\x9f\x98\x80NSString12345"q"',
-    'NSString$V"é😀\nü"'.encode(),
-    b'"NSString$V"a"',
-]
+    pieces = ["Liked", "Questioned", "emphasized", "Reacted with", "\ufffc", " ", "\n", "\xa0", "hello", "😀", "Ké"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 5))) for _ in range(400)]
+    once = apply(spark, tx.clean_text, texts)
+    assert all("\ufffc" not in text and text == text.strip() for text in once)
+    assert all(not text or text in before.replace("\ufffc", "") for text, before in zip(once, texts))
+    assert 50 < sum(map(bool, once)) < 350
+
+
+# What stands between the marker's opening quote, eleven places behind its start, and the next quote.
+BODIES = {
+    b'head\x01\x02NSString$V"see you at nine"tail': "see you at nine",
+    b"no marker": None,
+    None: None,
+    b"": None,
+    b'xNSString$V""': None,
+    b'xNSString$V"" and NSString$V"later"': None,
+    b'xNSString$V"first" and NSString$V"later"': "first",
+    b'xNSString$V"open': None,
+    b'abcNSStringxx"yy"zz': "gxx",
+    b'NSStringxxx"y"': "x",
+    b"NSStringxxxxxxxxx": None,
+    b'\xe2\x82NSString$V"ab"': "ab",
+    b'\xff\xfeNSString$V"\xf0\x9f\x98\x80"': "😀",
+    'NSString$V"é😀\nü"'.encode(): "é😀\nü",
+    b'"NSString$V"a"': "a",
+}
 
 
 def test_decode_body_cases(spark):
-    assert apply(spark, tx.decode_body, BODIES, "binary") == [expected_body(b) for b in BODIES]
-    assert expected_body(BODIES[8]) == "gxx"
+    assert apply(spark, tx.decode_body, BODIES, "binary") == list(BODIES.values())
 
 
-def test_decode_body_random(spark):
+def test_decode_body_properties(spark):
+    """A text without quotes comes back from between any bytes that hold no marker."""
     rng = random.Random(11)
-    pieces = [b'NSString$V"', b"NSString", b'"', b"abc", b"\xe2\x82", b"\xff", "é".encode(), b"\n"]
-    bodies = [b"".join(rng.choices(pieces, k=rng.randint(0, 7))) for _ in range(600)]
-    assert apply(spark, tx.decode_body, bodies, "binary") == [expected_body(b) for b in bodies]
+    around = [b"abc", b"\xff", "é".encode(), b"\n", b"NSStr"]
+    texts = ["".join(rng.choices("ab é😀\n$V", k=rng.randint(1, 9))) for _ in range(300)]
+    bodies = [
+        b"".join(rng.choices(around, k=3)) + b'NSString$V"' + text.encode() + b'"' + b"".join(rng.choices(around, k=3))
+        for text in texts
+    ]
+    assert apply(spark, tx.decode_body, bodies, "binary") == texts
 
 
 def test_decode_long_body(spark):
     long = b"x" * 300_000
     bodies = [long + b'NSString$V"' + long + b'"', long + b"NSString" + long, long]
-    assert apply(spark, tx.decode_body, bodies, "binary") == [expected_body(b) for b in bodies]
+    assert apply(spark, tx.decode_body, bodies, "binary") == ["x" * 300_000, None, None]
 
 
 @pytest.mark.parametrize("value,digits", [(62.5, 0), (63.5, 0), (0.125, 2), (0.155, 2),
@@ -162,11 +147,12 @@ def test_dates_do_not_depend_on_the_session_zone(spark):
 
 def test_keep_clean_follows_clean_text(spark):
     rng = random.Random(9)
-    pieces = [*PREFIXES, "EMPHASIZED", "reacted with", "\ufffc", " ", "\xa0", "hello", "\u0130"]
+    pieces = ["Loved", "Laughed at", "EMPHASIZED", "reacted with", "\ufffc", " ", "\xa0", "hello", "\u0130"]
     texts = ["".join(rng.choices(pieces, k=rng.randint(0, 4))) for _ in range(300)] + [None]
     rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
     found = {r.n: r.text for r in keep_clean(rows).collect()}
-    assert found == {n: expected_clean(t) for n, t in enumerate(texts) if expected_clean(t)}
+    cleaned = apply(spark, tx.clean_text, texts)
+    assert found == {n: text for n, text in enumerate(cleaned) if text}
 
 
 def test_notice_letters_have_no_other_lower_case_source():

@@ -38,8 +38,26 @@ def test_parts_of_a_long_conversation_make_the_whole(spark):
     parts = lines_of(cv.training_examples(rows, PROMPT, part_messages=3))
     assert [p.get("part", 0) for p in parts] == [0, 1, 2]
     assert sum((p["messages"] for p in parts), []) == whole["messages"]
-    with pytest.raises(ValueError):
-        cv.training_examples(rows, PROMPT, part_messages=2)
+    smaller = lines_of(cv.training_examples(rows, PROMPT, part_messages=2))
+    assert sum((p["messages"] for p in smaller), []) == whole["messages"]
+
+
+def test_restarting_indexes_do_not_lengthen_a_part(spark):
+    rows = [data.cleaned_row(10 * batch + n, 1, n, f"{batch}.{n}") for batch in range(5) for n in range(4)]
+    parts = lines_of(cv.training_examples(data.cleaned(spark, rows), PROMPT, part_messages=3))
+    assert [len(p["messages"]) for p in parts] == [4, 3, 3, 3, 3, 3, 2]  # the first has the system message
+    late = [data.cleaned_row(99, 2, 10_000)]
+    assert not lines_of(cv.training_examples(data.cleaned(spark, late), PROMPT, part_messages=3))
+
+
+def test_a_very_long_conversation_is_one_line(spark, tmp_path):
+    rows = [data.cleaned_row(n, 1, n, f"m{n}") for n in range(10_001)]
+    run_prepare(data.cleaned(spark, rows), str(tmp_path), hot_rows=1000)
+    (line,) = [r.value for r in spark.read.text(f"{tmp_path}/examples").collect() if r.value.strip()]
+    found = json.loads(line)
+    assert found["messages"][0]["role"] == "system"
+    assert [m["content"] for m in found["messages"][1:]] == [f"m{n}" for n in range(10_001)]
+    assert spark.read.json(f"{tmp_path}/metadata").first().num_examples == 1
 
 
 def test_colliding_indexes_of_two_batches_interleave(spark):
@@ -80,7 +98,7 @@ def test_prepare_job(spark, tmp_path, derived):
     run_prepare(cleaned, str(tmp_path))
     counts = {}
     for side in ("train", "validation"):
-        lines = spark.read.text(f"{tmp_path}/examples/split={side}").collect()
+        lines = spark.read.text(f"{tmp_path}/examples/split={side}").filter("trim(value) <> ''").collect()
         counts[side] = len(lines)
         assert all(set(json.loads(r.value)) == {"id", "messages"} for r in lines)
     assert counts == {"train": 11, "validation": 2}
