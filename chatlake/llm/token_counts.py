@@ -28,6 +28,8 @@ from chatlake.llm.common import id_text, partitions, stored
 from chatlake.llm.tokens import WordPieces
 
 LIMIT = 2048
+#: Between the words of a list: white space, which no pre-token holds, as NUL may.
+_BREAK = "\n"
 #: Code points of text in a block; a longer text is a block of its own.
 BLOCK_CHARS = 1 << 23
 
@@ -75,7 +77,7 @@ class _Block:
         lists: dict[int, list[str]] = {}
         for i in order:
             lists.setdefault(owners[i], []).append(words[i])
-        packed = [zstandard.compress("\0".join(v).encode("utf-8", "surrogatepass"), 3) for v in lists.values()]
+        packed = [zstandard.compress(_BREAK.join(v).encode("utf-8", "surrogatepass"), 3) for v in lists.values()]
         numbers = number_of[np.array(self.words, np.int64)] if self.words else np.zeros(0)
         row = {
             "block": number,
@@ -131,7 +133,7 @@ def _piece_counts(blocks: DataFrame, vocabulary: str) -> DataFrame:
         for batch in source:
             out = []
             for data in batch.column("list").to_pylist():
-                words = zstandard.decompress(data).decode("utf-8", "surrogatepass").split("\0")
+                words = zstandard.decompress(data).decode("utf-8", "surrogatepass").split(_BREAK)
                 for word in words:
                     if word not in known:
                         known[word] = pieces.count(word)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, part int, size string, node string, score string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, part int, size string, node string, score string, _block string, kept_text string"
 
 LONG = " ".join(f"word{i % 977}x{i % 13}" for i in range(30_000))
 PASSAGE = "It was agreed that the committee would meet again on the second Tuesday of each month to hear what had been found. "
@@ -24,13 +24,14 @@ ROWS = [
     (None, "no id here at all", "en", "b"),
     (11, "One Two THREE four five six seven", "en", "a"),
     (12, "one two three FOUR five six seven", "fr", "z"),
+    (13, "nul \x00 in!\x00! words \x00\x00 a\x00b", "en", "z"),
 ]
 
 
 @pytest.fixture(scope="session")
 def docs(spark):
     """`documents` with extra columns that are named like internal ones."""
-    rows = [(i, t, g, s, len(t or ""), 7, "x", "y", "z") for i, t, g, s in ROWS]
+    rows = [(i, t, g, s, len(t or ""), 7, "x", "y", "z", "b", "k") for i, t, g, s in ROWS]
     return spark.createDataFrame(rows, SCHEMA).repartition(5)
 
 
