@@ -109,13 +109,13 @@ def pack(items: DataFrame, capacity: int = LENGTH) -> DataFrame:
 
     Lengths are 1 to capacity. Equal lengths are ordered by doc_id and piece. Items are
     stored once, because their number and sum decide how many groups there are. Repeated
-    items are items of their own; no items give no rows.
+    items are items of their own, and are dealt to groups by their place in the stored table; no items give no rows.
     """
-    items = stored(items)
+    names = items.columns
+    items = stored(items.withColumn("_row", F.monotonically_increasing_id()))
     size = items.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
     groups = max(1, ceil(size[0] / GROUP_TOKENS), ceil(size[1] / GROUP_PIECES))
-    names = items.columns
-    dealt = items.withColumn("g", F.pmod(F.xxhash64(*names), F.lit(groups)).cast("long"))
+    dealt = items.withColumn("g", F.pmod(F.xxhash64(*names, "_row"), F.lit(groups)).cast("long")).drop("_row")
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(source, "g"):
@@ -129,7 +129,7 @@ def pack(items: DataFrame, capacity: int = LENGTH) -> DataFrame:
                 out = part.drop_columns(["g"]).append_column("sequence_id", pa.array(bins + (int(groups[low]) << 32)))
                 yield from out.append_column("offset", pa.array(offsets)).to_batches(max_chunksize=1 << 16)
 
-    fields = [f"`{n}` {k}" for n, k in items.dtypes]
+    fields = [f"`{n}` {k}" for n, k in items.dtypes if n != "_row"]
     schema = ", ".join([*fields, "sequence_id long", "offset long"])
     return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(batches, schema)
 
