@@ -368,7 +368,7 @@ def repeats(groups: np.ndarray, entries: list[tuple[Run, int, bytes]], length: i
     entry = np.repeat(order, counts)
     offset = np.arange(len(entry)) - np.repeat(np.cumsum(counts) - counts, counts) + ahead[entry]
     value = sums[entry, wide - offset + length] - sums[entry, wide - offset]
-    key = mixed(value ^ mixed((groups[entry] * 256 + offset).astype(np.uint64)))
+    key = mixed(value ^ mixed((groups[entry] * (wide + 1) + offset).astype(np.uint64)))
     by_key = np.argsort(key, kind="stable")
     later = np.zeros(len(entry), bool)
     later[by_key[1:]] = key[by_key[1:]] == key[by_key[:-1]]
@@ -475,7 +475,7 @@ def deduplicated(
     kept_text leaves out what is left of characters that were cut. Null texts are empty. A null doc_id is
     smaller than any other. Rows with equal doc_id and text are one document, with one
     result for all of them; rows with equal doc_id only are in order of their text. No rows give no rows. Other columns are carried along, except
-    those named like a result, which are replaced.
+    those named like a result, which are replaced, and one named _block, which is left out.
     """
     spark = docs.sparkSession
     names = [c for c in docs.columns if c not in RESULTS and c != "_block"]

@@ -135,6 +135,15 @@ def test_packed_documents(docs):
     assert len(bins) <= -(-sum(r.length for r in found) // 64) + 1
 
 
+def test_repeated_rows_are_dealt_to_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 8)
+    items = spark.range(64).select(F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(30).cast("long").alias("length"))
+    found = packing.pack(items, 64).collect()
+    assert found[0].asDict().keys() == {"doc_id", "piece", "length", "sequence_id", "offset"}
+    assert len(found) == 64 and len({r.sequence_id >> 32 for r in found}) > 1
+    assert len({(r.sequence_id, r.offset) for r in found}) == 64 and {r.offset for r in found} == {0, 30}
+
+
 def test_best_fit_takes_the_tightest_open_bin():
     rng = random.Random(5)
     sizes = sorted((rng.randint(1, 50) for _ in range(400)), reverse=True)
@@ -231,7 +240,7 @@ def test_repeated_strings_go(docs, hot):
     found = suffix_dedup.deduplicated(docs, hot=hot, chunk=3, block_bytes=1 << 10)
     expected = _plain_dedup([(i, t) for i, t, _, _ in ROWS])
     rows = found.collect()
-    assert len(rows) == len(ROWS) and found.columns[: len(docs.columns)] == docs.columns
+    assert len(rows) == len(ROWS) and found.columns == [*(c for c in docs.columns if c not in ("_block", "kept_text")), *suffix_dedup.RESULTS]
     for r in rows:
         key = -1 if r.doc_id is None else r.doc_id, (r.text or "").encode()
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected[key]
