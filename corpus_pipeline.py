@@ -37,9 +37,12 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Cut out byte strings that occur earlier; documents of which nothing is left go."""
     from chatlake.llm.suffix_dedup import deduplicated
 
-    rest = deduplicated(docs).filter("n_removed < n_bytes or n_bytes = 0")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return rest.withColumns({"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}).select(*docs.columns)
+    # Packed, so that no column can have the name of one of the operator's.
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_document"))
+    rest = deduplicated(rows).filter("n_removed < n_bytes or n_bytes = 0")
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("_document")["text"])
+    new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
+    return rest.select(*[new[c].alias(c) if c in new else F.col("_document")[c].alias(c) for c in docs.columns])
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
