@@ -19,24 +19,27 @@ def has_content(text, body, attachments):
     return text.isNotNull() | (body.isNotNull() & (attachments == 0))
 
 
+def considered(message: DataFrame) -> DataFrame:
+    """Source messages with content and neither flag set."""
+    text, body = F.col("text"), F.col("attributedBody")
+    return message.filter(has_content(text, body, F.col("cache_has_attachments"))).filter(
+        (F.col("is_system_message") == 0) & (F.col("is_emote") == 0)
+    )
+
+
 def new_messages(source: ChatSource, after: int | None = None) -> DataFrame:
     """Messages above the mark with content and neither flag set, text resolved."""
     message = source.message
     if after is not None:
         message = message.filter(F.col("row_id") > F.lit(after))
-    text, body = F.col("text"), F.col("attributedBody")
-    return (
-        message.filter(has_content(text, body, F.col("cache_has_attachments")))
-        .filter((F.col("is_system_message") == 0) & (F.col("is_emote") == 0))
-        .select(
-            F.col("row_id").alias("message_id"),
-            tx.once(tx.resolve_text(text, body)).alias("text"),
-            source_timestamp(F.col("date")).alias("timestamp"),
-            "is_from_me",
-            "handle_id",
-            F.col("cache_has_attachments").alias("has_media"),
-            "cache_roomnames",
-        )
+    return considered(message).select(
+        F.col("row_id").alias("message_id"),
+        tx.once(tx.resolve_text(F.col("text"), F.col("attributedBody"))).alias("text"),
+        source_timestamp(F.col("date")).alias("timestamp"),
+        "is_from_me",
+        "handle_id",
+        F.col("cache_has_attachments").alias("has_media"),
+        "cache_roomnames",
     )
 
 

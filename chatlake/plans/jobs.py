@@ -33,12 +33,12 @@ def run_extract(source: ChatSource, store: MessageStore) -> int:
     seen = Observation()
     considered = candidates(source, after=mark).observe(seen, F.max("message_id").alias("last_id"))
     rows = considered.filter(F.col("text").isNotNull())
-    store.write_batch(EXTRACT, rows, mark)
-    row_count, _ = store.batch_summary(EXTRACT, mark)
+    attempt = store.write_batch(EXTRACT, rows, mark)
+    row_count, _ = store.batch_summary(EXTRACT, mark, attempt)
     if row_count == 0:
-        store.drop_batch(EXTRACT, mark)
+        store.drop_attempt(EXTRACT, mark, attempt)
         return 0
-    store.commit(EXTRACT, mark, seen.get["last_id"], row_count)
+    store.commit(EXTRACT, mark, attempt, seen.get["last_id"], row_count)
     return row_count
 
 
@@ -49,12 +49,12 @@ def run_clean(
     mark = store.mark(CLEAN)
     earlier = store.sizes_before(mark) if index_scope == "conversation" else None
     rows = clean(store.read(EXTRACT, after=mark), after=mark, earlier=earlier, hot_rows=hot_rows)
-    store.write_batch(CLEAN, rows, mark)
-    row_count, last_id = store.batch_summary(CLEAN, mark)
+    attempt = store.write_batch(CLEAN, rows, mark)
+    row_count, last_id = store.batch_summary(CLEAN, mark, attempt)
     if row_count == 0:
-        store.drop_batch(CLEAN, mark)
+        store.drop_attempt(CLEAN, mark, attempt)
         return 0
-    store.commit(CLEAN, mark, last_id, row_count)
+    store.commit(CLEAN, mark, attempt, last_id, row_count)
     return row_count
 
 

@@ -64,6 +64,7 @@ CLEANED = _schema(
 CHAT_SIZES = _schema(chat_id=LongType(), message_count=LongType())
 PROGRESS = _schema(
     batch_id=LongType(),
+    attempt=StringType(),
     last_id=LongType(),
     row_count=LongType(),
     updated_at=TimestampType(),

@@ -60,3 +60,10 @@ def stored(frame: DataFrame) -> DataFrame:
     path = f"{require_checkpoint_dir(frame.sparkSession)}/stored-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark knows; none is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    folder.getFileSystem(conf).delete(folder, True)

@@ -1,12 +1,15 @@
 """Stored tables, batches and progress marks.
 
-Each run writes one partition `batch_id` and then commits it with a row in `progress`.
-Readers see committed batches only. The batch id is the mark the run started from, so a
-run that is repeated after a failure replaces what the failed one left behind.
+Each run writes one partition (`batch_id`, `attempt`) and then commits it with a row in
+`progress`. Readers see the newest committed attempt of each batch only. The batch id is the
+mark the run started from, so a run that is repeated after a failure takes the place of the
+failed one; until it is committed, what was committed before stays as it is.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +21,7 @@ from chatlake.operators.keys import DuplicateMessageError, duplicate_ids, ids_al
 
 EXTRACT = "extract"
 CLEAN = "clean"
+WAIT = "wait"
 
 
 @dataclass(frozen=True)
@@ -29,11 +33,15 @@ class Stage:
 STAGES = {
     EXTRACT: Stage(EXTRACT, "messages"),
     CLEAN: Stage(CLEAN, "cleaned_messages"),
+    WAIT: Stage(WAIT, "waiting_messages"),
 }
 _SIZES = "chat_sizes"
+#: The batch of a mark that was taken over from elsewhere; it has no rows.
+_IMPORTED = -1
 _TABLE_SCHEMAS = {
     "messages": schemas.EXTRACTED,
     "cleaned_messages": schemas.CLEANED,
+    "waiting_messages": schemas.MESSAGE,
     _SIZES: schemas.CHAT_SIZES,
 }
 
@@ -88,22 +96,22 @@ class MessageStore:
         else:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
         for table, schema in _TABLE_SCHEMAS.items():
-            self._create_table(table, schema, "batch_id BIGINT")
-        self._create_table("progress", schemas.PROGRESS, "stage STRING")
+            self._create_table(table, schema, {"batch_id": "BIGINT", "attempt": "STRING"})
+        self._create_table("progress", schemas.PROGRESS, {"stage": "STRING"})
 
     def _create_table(self, table, schema, partition):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        name = partition.split()[0]
+        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
+        columns += [f"{name} {kind}" for name, kind in partition.items()]
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({columns}, {partition}) "
-            f"USING parquet PARTITIONED BY ({name})"
+            f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({', '.join(columns)}) "
+            f"USING parquet PARTITIONED BY ({', '.join(partition)})"
         )
 
     def reset(self, include_raw: bool = False) -> None:
-        """Forget the cleaned rows, with `include_raw` also the extracted ones."""
+        """Forget the cleaned rows, with `include_raw` also the extracted and the waiting ones."""
         self.create()
         for stage in STAGES.values():
-            if stage.name == EXTRACT and not include_raw:
+            if stage.name != CLEAN and not include_raw:
                 continue
             self.spark.sql(
                 f"ALTER TABLE {self._name('progress')} "
@@ -119,7 +127,11 @@ class MessageStore:
         return self.spark.table(self._name(table))
 
     def progress(self, stage: str) -> DataFrame:
-        return self._table("progress").filter(F.col("stage") == stage)
+        """The valid row of each batch, which is its newest."""
+        columns = [name for name in schemas.PROGRESS.fieldNames() if name != "batch_id"]
+        newest = F.max_by(F.struct(*columns), F.struct("updated_at", "attempt"))
+        rows = self._table("progress").filter(F.col("stage") == stage)
+        return rows.groupBy("batch_id").agg(newest.alias("_")).select("batch_id", "_.*")
 
     def mark(self, stage: str) -> int:
         return latest_mark(self.progress(stage)).first()["last_id"]
@@ -128,15 +140,30 @@ class MessageStore:
         """Committed rows of a stage; `after` leaves out batches that end at or below it."""
         return self._committed(self._table(STAGES[stage].table), stage, after)
 
-    def read_batch(self, stage: str, batch_id: int) -> DataFrame:
-        """Rows of one batch, committed or not."""
-        return self._table(STAGES[stage].table).filter(F.col("batch_id") == batch_id)
+    def import_mark(self, stage: str, status: DataFrame) -> int:
+        """Go on behind the newest mark of an older status table; returns that mark.
+
+        `status` has `last_id`, as a number or as little-endian bytes, and `updated_at`.
+        """
+        last_id = F.col("last_id")
+        if dict(status.dtypes)["last_id"] == "binary":
+            last_id = decode_legacy_mark(last_id)
+        mark = latest_mark(status.select(last_id.cast("long").alias("last_id"), "updated_at"))
+        found = mark.first()["last_id"]
+        self.commit(stage, _IMPORTED, "imported", found, 0)
+        return found
+
+    def read_batch(self, stage: str, batch_id: int, attempt: str) -> DataFrame:
+        """Rows of one attempt at a batch, committed or not."""
+        is_attempt = (F.col("batch_id") == batch_id) & (F.col("attempt") == attempt)
+        return self._table(STAGES[stage].table).filter(is_attempt).drop("attempt")
 
     def _committed(self, table, stage, after=None):
         batches = self.progress(stage)
         if after is not None:
             batches = batches.filter(F.col("last_id") > after)
-        return table.join(batches.select("batch_id"), "batch_id", "left_semi")
+        valid = batches.select("batch_id", "attempt")
+        return table.join(valid, ["batch_id", "attempt"], "left_semi").drop("attempt")
 
     def sizes_before(self, batch_id: int) -> DataFrame:
         """`chat_sizes` of the committed cleaned batches other than this one.
@@ -147,24 +174,44 @@ class MessageStore:
         table = self._table(_SIZES).filter(F.col("batch_id") != batch_id)
         return self._committed(table, CLEAN)
 
-    def write_batch(self, stage: str, rows: DataFrame, batch_id: int) -> None:
-        """Write a batch, replacing an earlier attempt, and check its keys."""
+    def write_batch(self, stage: str, rows: DataFrame, batch_id: int) -> str:
+        """Write an attempt at a batch, check its keys and return the attempt's name."""
+        attempt = uuid.uuid4().hex
         # Ids in order within each file keep its statistics narrow for mark and key filters.
         ordered = rows.sortWithinPartitions("message_id")
-        self._overwrite(STAGES[stage].table, ordered, batch_id)
-        self._check_keys(stage, batch_id)
+        self._write(STAGES[stage].table, ordered, batch_id, attempt)
+        self._check_keys(stage, batch_id, attempt)
         if stage == CLEAN:
-            self._overwrite(_SIZES, chat_sizes(self.read_batch(CLEAN, batch_id)), batch_id)
+            sizes = chat_sizes(self.read_batch(CLEAN, batch_id, attempt))
+            self._write(_SIZES, sizes, batch_id, attempt)
+        return attempt
 
-    def _overwrite(self, table, rows, batch_id):
+    def _write(self, table, rows, batch_id, attempt):
         self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self._name(table)} PARTITION (batch_id = {int(batch_id)}) "
+            f"INSERT INTO {self._name(table)} "
+            f"PARTITION (batch_id = {int(batch_id)}, attempt = '{attempt}') "
             "SELECT * FROM {rows}",
             rows=rows.select(*_TABLE_SCHEMAS[table].fieldNames()),
         )
 
-    def _check_keys(self, stage, batch_id):
-        batch = self.read_batch(stage, batch_id)
+    def waiting_before(self, batch_id: int) -> DataFrame:
+        """Messages that had no chat when the last batch before this one was committed."""
+        earlier = self.progress(WAIT).filter(F.col("batch_id") < batch_id)
+        last = earlier.agg(F.max_by(F.struct("batch_id", "attempt"), "batch_id").alias("_"))
+        found = last.select("_.*").first()
+        return self.read_batch(WAIT, found["batch_id"] or 0, found["attempt"] or "").drop("batch_id")
+
+    def replace_waiting(self, messages: DataFrame, batch_id: int) -> None:
+        """Keep `messages` for the next batch, instead of those that were kept before."""
+        attempt = uuid.uuid4().hex
+        self._write(STAGES[WAIT].table, messages, batch_id, attempt)
+        row_count = self.read_batch(WAIT, batch_id, attempt).count()
+        self.commit(WAIT, batch_id, attempt, 0, row_count)
+        # The batch before stays, for a replay of this one.
+        self._drop_partitions(STAGES[WAIT].table, lambda batch, _: batch < batch_id - 1)
+
+    def _check_keys(self, stage, batch_id, attempt):
+        batch = self.read_batch(stage, batch_id, attempt)
         span = batch.agg(F.min("message_id"), F.max("message_id")).first()
         if span[0] is None:
             return
@@ -176,31 +223,42 @@ class MessageStore:
         known = ids_already_stored(batch, others).limit(5)
         found = [row["message_id"] for row in repeated.union(known).take(5)]
         if found:
-            self.drop_batch(stage, batch_id)
+            self.drop_attempt(stage, batch_id, attempt)
             raise DuplicateMessageError(f"message ids repeated in {stage} batch: {found}")
 
-    def drop_batch(self, stage: str, batch_id: int) -> None:
-        self.spark.sql(
-            f"ALTER TABLE {self._name(STAGES[stage].table)} "
-            f"DROP IF EXISTS PARTITION (batch_id = {int(batch_id)})"
-        )
+    def drop_attempt(self, stage: str, batch_id: int, attempt: str) -> None:
+        self._drop_partitions(STAGES[stage].table, lambda *found: found == (batch_id, attempt))
+
+    def _drop_partitions(self, table: str, unwanted: Callable[[int, str], bool]) -> None:
+        for row in self.spark.sql(f"SHOW PARTITIONS {self._name(table)}").collect():
+            batch, attempt = (part.split("=")[1] for part in row["partition"].split("/"))
+            if unwanted(int(batch), attempt):
+                self.spark.sql(
+                    f"ALTER TABLE {self._name(table)} "
+                    f"DROP IF EXISTS PARTITION (batch_id = {batch}, attempt = '{attempt}')"
+                )
 
-    def batch_summary(self, stage: str, batch_id: int) -> tuple[int, int | None]:
-        """Rows and highest id of a written batch."""
+    def batch_summary(self, stage: str, batch_id: int, attempt: str) -> tuple[int, int | None]:
+        """Rows and highest id of a written attempt."""
         row = (
-            self.read_batch(stage, batch_id)
+            self.read_batch(stage, batch_id, attempt)
             .agg(F.count(F.lit(1)).alias("n"), F.max("message_id").alias("last"))
             .first()
         )
         return row["n"], row["last"]
 
-    def commit(self, stage: str, batch_id: int, last_id: int, row_count: int) -> None:
-        """Append the mark, which makes the batch visible."""
+    def commit(
+        self, stage: str, batch_id: int, attempt: str, last_id: int, row_count: int
+    ) -> None:
+        """Append the mark, which makes the attempt visible; other attempts at the batch go."""
         row = self.spark.range(1).select(
             F.lit(int(batch_id)).cast("long").alias("batch_id"),
+            F.lit(attempt).alias("attempt"),
             F.lit(int(last_id)).cast("long").alias("last_id"),
             F.lit(int(row_count)).cast("long").alias("row_count"),
             F.current_timestamp().alias("updated_at"),
             F.lit(stage).alias("stage"),
         )
         row.write.insertInto(f"{self.database}.progress")
+        for table in (STAGES[stage].table, *([_SIZES] if stage == CLEAN else [])):
+            self._drop_partitions(table, lambda batch, other: batch == batch_id and other != attempt)

@@ -1,7 +1,8 @@
 """Extract and clean as one Structured Streaming job over new message files.
 
 The checkpoint takes the place of the progress mark: each message file is read once, so
-late rows with low ids are picked up, which the mark would skip. Every micro-batch becomes
+late rows with low ids are picked up, which the mark would skip. A message whose chat is not
+known yet waits in the store, and is tried again with every later micro-batch. Every micro-batch becomes
 one committed batch of the store, under the stream's batch number; a batch that is replayed
 after a failure replaces itself. Use a store for the stream or for the batch jobs, not both.
 """
@@ -11,12 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chatlake.operators.clean import clean
-from chatlake.operators.extract import extract
+from chatlake.operators.extract import considered, extract, with_chat_names
 from chatlake.operators.numbering import HOT_ROWS
+from chatlake.session import delete_folder
 from chatlake.sources.store import CLEAN, EXTRACT, MessageStore
 from chatlake.sources.tables import ChatSource
 
@@ -28,23 +31,40 @@ def process_batch(
     store: MessageStore,
     hot_rows: int = HOT_ROWS,
 ) -> None:
-    """Extract and clean one micro-batch; the index goes on behind the stored rows."""
+    """Extract and clean one micro-batch and the waiting messages; the index goes on behind
+    the stored rows."""
     store = store.on(messages.sparkSession)
-    source = replace(tables(), message=messages)
-    store.write_batch(EXTRACT, extract(source), batch_id)
-    _commit(store, EXTRACT, batch_id)
-    earlier = store.sizes_before(batch_id)
-    extracted = store.read_batch(EXTRACT, batch_id)
-    store.write_batch(CLEAN, clean(extracted, earlier=earlier, hot_rows=hot_rows), batch_id)
-    _commit(store, CLEAN, batch_id)
+    waiting = store.waiting_before(batch_id)
+    source = tables()
+    links = source.link.filter(_between_ids(messages) | _between_ids(waiting))
+    source = replace(source, message=messages.unionByName(waiting), link=links)
+    attempt = store.write_batch(EXTRACT, extract(source), batch_id)
+    extracted = store.read_batch(EXTRACT, batch_id, attempt)
+    _commit(store, EXTRACT, batch_id, attempt)
+    cleaned = clean(extracted, earlier=store.sizes_before(batch_id), hot_rows=hot_rows)
+    _commit(store, CLEAN, batch_id, store.write_batch(CLEAN, cleaned, batch_id))
+    linked = with_chat_names(links, source.chat).select(F.col("message_id").alias("row_id"))
+    store.replace_waiting(considered(source.message).join(linked, "row_id", "left_anti"), batch_id)
 
 
-def _commit(store: MessageStore, stage: str, batch_id: int) -> None:
-    row_count, last_id = store.batch_summary(stage, batch_id)
+def _between_ids(messages: DataFrame) -> Column:
+    """Whether a link's message lies between the bounds, as literals that reach the link scan."""
+    bounds = messages.agg(F.min("row_id"), F.max("row_id")).first()
+    return F.lit(False) if bounds[0] is None else F.col("message_id").between(*bounds)
+
+
+def _commit(store: MessageStore, stage: str, batch_id: int, attempt: str) -> None:
+    row_count, last_id = store.batch_summary(stage, batch_id, attempt)
     if row_count == 0:
-        store.drop_batch(stage, batch_id)
+        store.drop_attempt(stage, batch_id, attempt)
     else:
-        store.commit(stage, batch_id, last_id, row_count)
+        store.commit(stage, batch_id, attempt, last_id, row_count)
+
+
+def reset(store: MessageStore, checkpoint: str) -> None:
+    """Forget all rows and what the stream has read, so that the next start reads everything."""
+    store.reset(include_raw=True)
+    delete_folder(store.spark, checkpoint)
 
 
 def start(

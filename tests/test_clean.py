@@ -8,8 +8,8 @@ from tests import data
 
 
 def store_messages(store, rows, batch_id, last_id):
-    store.write_batch(EXTRACT, rows, batch_id)
-    store.commit(EXTRACT, batch_id, last_id, rows.count())
+    attempt = store.write_batch(EXTRACT, rows, batch_id)
+    store.commit(EXTRACT, batch_id, attempt, last_id, rows.count())
 
 
 def test_clean_fixture(spark):

@@ -2,6 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from chatlake import schemas
 from chatlake.sources.store import EXTRACT, decode_legacy_mark, latest_mark
 from chatlake.sources.tables import (
     conform,
@@ -17,23 +18,19 @@ from tests import data
 def test_create_makes_tables_with_exact_columns(spark, store):
     store.create()
     names = {r.table_name for r in list_tables(spark, store.database).collect()}
-    assert names == {"messages", "cleaned_messages", "chat_sizes", "progress"}
+    assert names == {"messages", "cleaned_messages", "waiting_messages", "chat_sizes", "progress"}
     columns = {r.column_name for r in
                list_columns(spark, f"{store.database}.messages").collect()}
-    assert columns - {"batch_id"} == {
-        "message_id", "chat_id", "text", "timestamp", "is_from_me", "contact_id",
-        "has_media", "processed_at", "chat_name", "room_name"}
+    assert columns - {"batch_id", "attempt"} == set(schemas.EXTRACTED.fieldNames())
     columns = {r.column_name for r in
                list_columns(spark, f"{store.database}.cleaned_messages").collect()}
-    assert columns - {"batch_id"} == {
-        "message_id", "chat_id", "text", "timestamp", "is_from_me", "contact_id",
-        "has_media", "cleaned_at", "conversation_id", "message_index"}
+    assert columns - {"batch_id", "attempt"} == set(schemas.CLEANED.fieldNames())
 
 
 def test_mark_defaults_to_zero_and_takes_the_newest(spark, store):
     assert store.mark(EXTRACT) == 0
-    store.commit(EXTRACT, 0, 250, 3)
-    store.commit(EXTRACT, 250, 100, 1)
+    store.commit(EXTRACT, 0, "a", 250, 3)
+    store.commit(EXTRACT, 250, "b", 100, 1)
     assert store.mark(EXTRACT) == 100
     rows = [(5, datetime(2024, 1, 2)), (9, datetime(2024, 1, 1))]
     status = spark.createDataFrame(rows, "last_id long, updated_at timestamp")
@@ -48,6 +45,13 @@ def test_legacy_mark(spark):
         (True,)]
 
 
+def test_a_status_table_is_taken_over(spark, store):
+    rows = [(bytearray((300).to_bytes(8, "little")), datetime(2024, 1, 2)),
+            (bytearray((900).to_bytes(8, "little")), datetime(2024, 1, 1))]
+    assert store.import_mark(EXTRACT, spark.createDataFrame(rows, "last_id binary, updated_at timestamp")) == 300
+    assert store.mark(EXTRACT) == 300 and store.read(EXTRACT).count() == 0
+
+
 def test_source_readers(spark, tmp_path):
     source = data.source(spark)
     for name, frame in (("message", source.message), ("chat", source.chat),

@@ -1,6 +1,9 @@
+import pytest
+
 from chatlake import schemas
 from chatlake.operators.clean import clean
 from chatlake.operators.extract import extract
+from chatlake.operators.keys import DuplicateMessageError
 from chatlake.sources.store import CLEAN, EXTRACT
 from chatlake.streaming import available_now
 from tests import data
@@ -49,6 +52,51 @@ def test_replayed_batch_replaces_itself(spark, store):
     assert sorted(r.message_index for r in store.read(CLEAN).collect()) == [0, 0, 1]
 
 
+def test_a_failed_replay_leaves_the_committed_batch(spark, store):
+    source = data.source(spark)
+    available_now.process_batch(source.message, 0, lambda: source, store)
+    before = {tuple(r) for r in store.read(EXTRACT).collect()}
+    doubled = data.source(spark, links=[*data.LINKS, (2, data.LINKS[0][1])])
+    with pytest.raises(DuplicateMessageError):
+        available_now.process_batch(source.message, 0, lambda: doubled, store)
+    assert {tuple(r) for r in store.read(EXTRACT).collect()} == before
+    assert store.read(CLEAN).count() == 3
+
+
+def test_messages_wait_for_their_links(spark, store):
+    messages = [data.message(n, f"text {n}", date=n * 10**9) for n in range(1, 5)]
+    early = data.source(spark, messages, [(1, 1), (1, 2), (7, 4)])
+    late = data.source(spark, messages, [(1, n) for n in range(1, 5)])
+    available_now.process_batch(early.message.filter("row_id < 4"), 0, lambda: early, store)
+    available_now.process_batch(early.message.filter("row_id = 4"), 1, lambda: early, store)
+    assert {r.row_id for r in store.waiting_before(2).collect()} == {3, 4}
+    nothing = late.message.limit(0)
+    for _ in range(2):  # the second time as a replay
+        available_now.process_batch(nothing, 2, lambda: late, store)
+        assert sorted(r.message_id for r in store.read(CLEAN).collect()) == [1, 2, 3, 4]
+    assert store.waiting_before(3).count() == 0
+
+
+def test_links_are_read_between_the_ids_of_the_batch(spark, store, tmp_path):
+    source = data.source(spark)
+    source.link.write.parquet(str(tmp_path / "link"))
+    links = spark.read.parquet(str(tmp_path / "link"))
+    near = available_now._between_ids(source.message.filter("row_id in (2, 3)"))
+    plan = links.filter(near)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(message_id,2)" in plan and "LessThanOrEqual(message_id,3)" in plan
+
+
+def test_reset_reads_everything_again(spark, store, tmp_path):
+    source = data.source(spark)
+    folder, checkpoint = str(tmp_path / "message"), str(tmp_path / "checkpoint")
+    source.message.coalesce(1).write.parquet(folder)
+    run(spark, folder, store, checkpoint, lambda: source)
+    available_now.reset(store, checkpoint)
+    assert store.read(EXTRACT).count() == 0
+    run(spark, folder, store, checkpoint, lambda: source)
+    assert store.read(EXTRACT).count() == 3
+
+
 def test_late_low_ids_are_taken(spark, store):
     source = data.source(spark)
     for batch_id, ids in enumerate(([6], [1, 2])):
