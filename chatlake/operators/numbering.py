@@ -45,7 +45,8 @@ def number_rows(
         return _number_by_window(rows, key, order, position, total)
 
     # At most (all rows / hot_rows) keys, so the set is small enough to broadcast.
-    hot = stored(hot)
+    # The rows are stored too: three readers, one of which samples them, would compute them each.
+    hot, rows = stored(hot), stored(rows)
     cold_rows = rows.join(F.broadcast(hot), key, "left_anti")
     hot_rows_only = rows.join(F.broadcast(hot), key, "left_semi")
     return _number_by_window(cold_rows, key, order, position, total).unionByName(

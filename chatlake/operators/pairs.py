@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatlake.functions import text as tx
 from chatlake.operators.conversations import chat_message
-from chatlake.operators.numbering import BLOCK_ROWS, block_window, neighbour_blocks, previous
+from chatlake.operators.numbering import (
+    BLOCK_ROWS,
+    HOT_ROWS,
+    block_window,
+    neighbour_blocks,
+    number_rows,
+    previous,
+)
 
 
 def reply_pairs(
@@ -63,6 +71,22 @@ def reply_pairs(
     )
 
 
+def cleaned_pairs(cleaned: DataFrame, block_rows: int = BLOCK_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """`reply_pairs` of cleaned messages, of however many batches, in order of time and id.
+
+    `position` counts all of a chat's messages; `message_index` may restart with every batch.
+    """
+    rows = cleaned.select(
+        "chat_id",
+        "timestamp",
+        "message_id",
+        tx.party_role(F.col("is_from_me")).alias("role"),
+        F.col("text").alias("content"),
+    )
+    placed = number_rows(rows, "chat_id", ("timestamp", "message_id"), hot_rows=hot_rows)
+    return reply_pairs(placed, position="position", block_rows=block_rows)
+
+
 def pair_messages(prompt: Column | str) -> Column:
     """System message, context, question and reply as one array."""
     return F.concat(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
+from chatlake.functions.clock import integer_div
 from chatlake.operators.numbering import (
     BLOCK_ROWS,
     HOT_ROWS,
@@ -42,10 +43,20 @@ def mark_runs(
         .withColumn("_starts", starts.cast("int"))
         .filter("is_own")
     )
-    # One row per block of `block_rows` messages.
-    totals = flagged.groupBy("block").agg(F.sum("_starts").alias("_n"))
-    ahead = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("block", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    # One row per block of `block_rows` messages, and one per stretch of `block_rows` blocks.
+    totals = (
+        flagged.groupBy("block")
+        .agg(F.sum("_starts").alias("_n"))
+        .withColumn("_stretch", integer_div(F.col("block"), block_rows))
+    )
+    stretches = totals.groupBy("_stretch").agg(F.sum("_n").alias("_n"))
+    ahead = stretches.select("_stretch", _sum_before(Window.orderBy("_stretch")).alias("_ahead"))
+    inside = _sum_before(Window.partitionBy("_stretch").orderBy("block"))
+    offsets = (
+        totals.select("block", "_stretch", inside.alias("_within"))
+        .join(ahead, "_stretch")
+        .select("block", (F.col("_ahead") + F.col("_within")).alias("_before"))
+    )
 
     so_far = window.rowsBetween(Window.unboundedPreceding, 0)
     return (
@@ -55,6 +66,11 @@ def mark_runs(
     )
 
 
+def _sum_before(window: WindowSpec) -> Column:
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+
+
 def conversation_runs(
     messages: DataFrame,
     order: Sequence[str] = ("timestamp", "message_id"),

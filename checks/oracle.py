@@ -425,3 +425,49 @@ ORACLE["prepared_examples"] = (
 ORACLE["exported_documents"] = ORACLE["export_conversations"]
 ORACLE["stored_messages_two_runs"] = ORACLE["extract_messages"]
 ORACLE["stored_cleaned_two_runs"] = ORACLE["cleaned_messages"]
+
+_HALF = "(SELECT coalesce(max(row_id) // 2, 0) FROM message)"
+_RESTARTING = (
+    EXTRACTED + "," + _clean("early", f"message_id <= {_HALF}") + ","
+    + _clean("late", f"message_id > {_HALF}") + f""",
+      cleaned AS (
+        SELECT {_NUMBERED_MESSAGES} FROM early UNION ALL SELECT {_NUMBERED_MESSAGES} FROM late
+      )"""
+)
+ORACLE["stored_cleaned_restarting"] = _RESTARTING + "SELECT * FROM cleaned"
+ORACLE["training_examples_two_batches"] = _RESTARTING + f"""
+      SELECT conversation_id, to_json(struct_pack(id := conversation_id, messages :=
+          [{_SYSTEM}] || list({_CHAT_MESSAGE} ORDER BY message_index, message_id)))::VARCHAR AS example
+      FROM cleaned GROUP BY conversation_id HAVING count(*) >= 3"""
+ORACLE["reply_pairs_two_batches"] = ORACLE["reply_pairs_cleaned"]
+# Candidates are extracted rows before the text rules, which the mark counts too.
+ORACLE["job_results"] = CLEANED + f""",
+      candidates AS (
+        SELECT m.row_id FROM message m
+        JOIN link l ON l.message_id = m.row_id JOIN chat c ON c.row_id = l.chat_id
+        WHERE (m.text IS NOT NULL OR (m.body IS NOT NULL AND m.attached = 0))
+          AND m.is_system = 0 AND m.is_emote = 0
+      ),
+      n AS (
+        SELECT (SELECT count(*) FROM extracted) AS e, (SELECT count(*) FROM cleaned) AS c,
+          (SELECT count(*) FROM extracted WHERE message_id <= {_HALF}) AS e1,
+          (SELECT count(*) FROM cleaned WHERE message_id <= {_HALF}) AS c1,
+          (SELECT max(row_id) FROM candidates) AS em, (SELECT max(message_id) FROM cleaned) AS cm
+      )
+      SELECT '00 extracted' AS step, e1::BIGINT AS result FROM n
+      UNION ALL SELECT '01 cleaned', c1 FROM n
+      UNION ALL SELECT '02 extracted', e - e1 FROM n
+      UNION ALL SELECT '03 cleaned', c - c1 FROM n
+      UNION ALL SELECT '04 extracted', 0
+      UNION ALL SELECT '05 cleaned', 0
+      UNION ALL SELECT '06 extract_mark', em FROM n
+      UNION ALL SELECT '07 clean_mark', cm FROM n
+      UNION ALL SELECT '08 processed_at', e FROM n
+      UNION ALL SELECT '09 cleaned_at', c FROM n
+      UNION ALL SELECT '10 extracted_kept', e FROM n
+      UNION ALL SELECT '11 cleaned_kept', 0
+      UNION ALL SELECT '12 extracted_anew', e FROM n
+      UNION ALL SELECT '13 cleaned_anew', c FROM n"""
+ORACLE["imported_marks"] = ORACLE["latest_marks"]
+ORACLE["written_metadata"] = ORACLE["dataset_metadata"]
+ORACLE["written_prompts"] = ORACLE["prompt_variants"]

@@ -17,7 +17,7 @@ from chatlake.operators.clean import chat_sizes, clean
 from chatlake.operators.extract import chat_lookup, extract
 from chatlake.operators.keys import duplicate_ids, ids_already_stored
 from chatlake.operators.runs import conversation_runs
-from chatlake.plans.jobs import run_clean, run_export, run_extract, run_prepare
+from chatlake.plans.jobs import run_clean, run_export, run_extract, run_from_scratch, run_prepare
 from chatlake.session import require_checkpoint_dir
 from chatlake.sources.documents import KEEP_NULLS, read_documents
 from chatlake.sources.derived import derived_source, run_marks, with_second_links
@@ -234,15 +234,24 @@ def exported_documents(spark, folder):
     )
 
 
-def _stored_twice(spark, folder) -> MessageStore:
-    """A store after two rounds of extract and clean, the first of which saw half of the messages."""
-    source = derived_source(spark, folder)
+def _fresh_store(spark) -> MessageStore:
     store = MessageStore(spark, f"log_{uuid.uuid4().hex[:12]}", _fresh_folder(spark))
     store.create()
-    half = source.message.selectExpr("percentile_approx(row_id, 0.5)").first()[0]
-    for part in (replace(source, message=source.message.filter(F.col("row_id") <= half)), source):
+    return store
+
+
+def _first_half(source):
+    half = source.message.selectExpr("max(row_id) div 2").first()[0] or 0
+    return replace(source, message=source.message.filter(F.col("row_id") <= half))
+
+
+def _stored_twice(spark, folder, index_scope="conversation") -> MessageStore:
+    """A store after two rounds of extract and clean, the first of which saw half of the ids."""
+    source = derived_source(spark, folder)
+    store = _fresh_store(spark)
+    for part in (_first_half(source), source):
         run_extract(part, store)
-        run_clean(store, index_scope="conversation")
+        run_clean(store, index_scope=index_scope)
     return store
 
 
@@ -254,6 +263,79 @@ def stored_cleaned_two_runs(spark, folder):
     return _shown(_stored_twice(spark, folder).read("clean")).drop("batch_id")
 
 
+def stored_cleaned_restarting(spark, folder):
+    """The index as it is by default, which restarts with every batch."""
+    return _shown(_stored_twice(spark, folder, "batch").read("clean")).drop("batch_id")
+
+
+def training_examples_two_batches(spark, folder):
+    """Examples of two batches with restarting indexes: in order of index, then id."""
+    examples = cv.training_examples(
+        _stored_twice(spark, folder, "batch").read("clean"), style.PLAIN_PROMPT
+    )
+    return examples.select("conversation_id", cv.example_line().alias("example"))
+
+
+def reply_pairs_two_batches(spark, folder):
+    found = pairs.cleaned_pairs(
+        _stored_twice(spark, folder, "batch").read("clean"), BLOCK_ROWS, HOT_ROWS
+    )
+    return _pairs_shown(found.withColumnRenamed("position", "message_index"))
+
+
+def job_results(spark, folder):
+    """What each run of the jobs reports, the marks behind them, and the audit columns filled."""
+    source = derived_source(spark, folder)
+    store, results = _fresh_store(spark), []
+
+    def note(**values):
+        results.extend((f"{len(results):02d} {name}", value) for name, value in values.items())
+
+    for part in (_first_half(source), source, source):
+        note(extracted=run_extract(part, store))
+        note(cleaned=run_clean(store))
+    note(extract_mark=store.mark("extract"))
+    note(clean_mark=store.mark("clean"))
+    note(processed_at=store.read("extract").filter("processed_at is not null").count())
+    note(cleaned_at=store.read("clean").filter("cleaned_at is not null").count())
+    store.reset()
+    note(extracted_kept=store.read("extract").count())
+    note(cleaned_kept=store.read("clean").count())
+    scratch = run_from_scratch(source, store)
+    note(extracted_anew=scratch[0])
+    note(cleaned_anew=scratch[1])
+    return spark.createDataFrame(results, "step string, result long")
+
+
+def imported_marks(spark, folder):
+    """Marks of an older status table, taken over into a store."""
+    status = run_marks(spark.read.parquet(f"{folder}/conversations.parquet"))
+    store = _fresh_store(spark)
+    for stage in ("extract", "clean"):
+        store.import_mark(stage, status.filter(F.col("stage") == stage))
+    return store.progress("extract").select(F.lit("extract").alias("stage"), "last_id").unionByName(
+        store.progress("clean").select(F.lit("clean").alias("stage"), "last_id")
+    )
+
+
+def written_metadata(spark, folder):
+    """The metadata file as the job writes it, read back."""
+    path = _fresh_folder(spark)
+    run_prepare(_cleaned(spark, folder), path, val_ratio=VAL_RATIO, seed=SEED)
+    kinds = (
+        "num_conversations long, num_examples long, num_training_examples long, "
+        "num_validation_examples long, created_at string"
+    )
+    written = spark.read.schema(kinds).json(f"{path}/metadata")
+    return written.filter(F.col("created_at").isNotNull()).drop("created_at")
+
+
+def written_prompts(spark, folder):
+    """The prompt file as the job writes it, read back."""
+    target = run_export(derived_source(spark, folder), _fresh_folder(spark))
+    return spark.read.schema("variant int, prompt string").json(target.prompts)
+
+
 def full_conversations(spark, folder):
     source = derived_source(spark, folder)
     documents = ex.export_conversations(ex.export_messages(source), source.chat)
@@ -351,6 +433,13 @@ QUERIES = {
     "exported_documents": exported_documents,
     "stored_messages_two_runs": stored_messages_two_runs,
     "stored_cleaned_two_runs": stored_cleaned_two_runs,
+    "stored_cleaned_restarting": stored_cleaned_restarting,
+    "training_examples_two_batches": training_examples_two_batches,
+    "reply_pairs_two_batches": reply_pairs_two_batches,
+    "job_results": job_results,
+    "imported_marks": imported_marks,
+    "written_metadata": written_metadata,
+    "written_prompts": written_prompts,
     "full_conversations": full_conversations,
     "normalize_roles": normalize_roles,
     "reply_pairs": reply_pairs,
