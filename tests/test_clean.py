@@ -15,13 +15,13 @@ def store_messages(store, rows, batch_id, last_id):
 def test_clean_fixture(spark):
     rows = clean(data.extracted(spark)).orderBy("message_id").collect()
     assert [(r.message_id, r.conversation_id, r.message_index) for r in rows] == [
-        (1, "convo_1", 0), (3, "convo_1", 1), (4, "convo_1", 2),
-        (7, "convo_3", 0), (8, "convo_3", 1), (9, "convo_3", 2)]
+        (31, "convo_5", 0), (34, "convo_5", 1), (35, "convo_5", 2),
+        (38, "convo_8", 0), (39, "convo_8", 1)]
 
 
 def test_conversation_stats(spark):
     stats = conversation_stats(clean(data.extracted(spark))).orderBy("conversation_id")
-    assert [tuple(r) for r in stats.collect()] == [("convo_1", 3, 1, 0), ("convo_3", 3, 0, 0)]
+    assert [tuple(r) for r in stats.collect()] == [("convo_5", 3, 1, 1), ("convo_8", 2, 1, 0)]
 
 
 def test_index_follows_time_then_id(spark):
@@ -35,28 +35,28 @@ def test_index_follows_time_then_id(spark):
 
 
 def test_incremental_runs_with_both_index_scopes(spark, store):
-    store_messages(store, data.extracted(spark), 0, 9)
-    assert run_clean(store) == 6
-    assert store.mark(CLEAN) == 9
+    store_messages(store, data.extracted(spark), 0, 39)
+    assert run_clean(store) == 5
+    assert store.mark(CLEAN) == 39
     assert run_clean(store) == 0
-    new = data.extracted(spark, [data.extracted_row(10, 1, "New message", minute=5)])
-    store_messages(store, new, 9, 10)
+    new = data.extracted(spark, [data.extracted_row(40, 5, "Two cups, then", minute=50)])
+    store_messages(store, new, 39, 40)
     assert run_clean(store, index_scope="conversation") == 1
-    row = store.read(CLEAN).filter("message_id = 10").first()
-    assert (row.conversation_id, row.message_index) == ("convo_1", 3)
+    row = store.read(CLEAN).filter("message_id = 40").first()
+    assert (row.conversation_id, row.message_index) == ("convo_5", 3)
 
 
 def test_batch_scope_starts_over(spark, store):
-    store_messages(store, data.extracted(spark), 0, 9)
+    store_messages(store, data.extracted(spark), 0, 39)
     run_clean(store)
-    new = data.extracted(spark, [data.extracted_row(10, 1, "New message", minute=5)])
-    store_messages(store, new, 9, 10)
+    new = data.extracted(spark, [data.extracted_row(40, 5, "Two cups, then", minute=50)])
+    store_messages(store, new, 39, 40)
     assert run_clean(store) == 1
-    assert store.read(CLEAN).filter("message_id = 10").first().message_index == 0
+    assert store.read(CLEAN).filter("message_id = 40").first().message_index == 0
 
 
 def test_mark_is_the_last_surviving_id(spark, store):
-    rows = [data.extracted_row(1, 1, "Hello"), data.extracted_row(2, 1, "someone reacted with x")]
+    rows = [data.extracted_row(1, 1, "still here"), data.extracted_row(2, 1, "someone reacted with x")]
     store_messages(store, data.extracted(spark, rows), 0, 2)
     assert run_clean(store) == 1
     assert store.mark(CLEAN) == 1

@@ -11,11 +11,11 @@ def test_three_of_seven_rows(spark):
     rows = extract(data.source(spark)).orderBy("message_id").collect()
     assert [(r.message_id, r.text, r.chat_name, r.room_name, r.has_media, r.is_from_me)
             for r in rows] == [
-        (1, "Hello", "Test Chat", "Test Room", 0, 0),
-        (2, "Test Message", "Test Chat", "Test Room", 0, 1),
-        (6, "Group message", "Group Chat", "Group Room", 0, 0),
+        (11, "See you at nine", "Neighbours", "garden", 0, 0),
+        (12, "On my way", "Neighbours", "garden", 0, 1),
+        (21, "Who brings the cake?", "Cooks", "kitchen", 0, 0),
     ]
-    assert str(rows[0].timestamp) == "2032-01-02 00:00:00"
+    assert str(rows[0].timestamp) == "2021-03-04 05:06:07"
     assert [r.contact_id for r in rows] == [data.PHONE_A, data.PHONE_A, data.PHONE_B]
 
 
@@ -41,23 +41,23 @@ def test_chat_lookup(spark):
     source = data.source(spark, chats=[*data.CHATS])
     rows = chat_lookup(spark.createDataFrame([(1,), (2,), (9,)], "chat_id long"), source.chat)
     assert {r.chat_id: (r.chat_room_name, r.chat_name) for r in rows.collect()} == {
-        1: ("Test Room", "Test Chat"), 2: ("Group Room", "Group Chat"), 9: (None, None)}
+        1: ("garden", "Neighbours"), 2: ("kitchen", "Cooks"), 9: (None, None)}
 
 
 def test_incremental_runs(spark, store):
     assert run_extract(data.source(spark), store) == 3
-    # Message 6 is the last one that passes the flags; 7 is a system message.
-    assert store.mark(EXTRACT) == 6
+    # Message 21 is the last one that passes the flags; 24 is a system message.
+    assert store.mark(EXTRACT) == 21
     assert run_extract(data.source(spark), store) == 0
-    more = [*data.MESSAGES, data.message(8, "New message")]
-    source = data.source(spark, more, [*data.LINKS, (1, 8)])
+    more = [*data.MESSAGES, data.message(30, "I do, with cherries")]
+    source = data.source(spark, more, [*data.LINKS, (1, 30)])
     assert run_extract(source, store) == 1
     assert store.read(EXTRACT).count() == 4
-    assert store.mark(EXTRACT) == 8
+    assert store.mark(EXTRACT) == 30
 
 
 def test_mark_counts_rows_the_text_rules_drop(spark, store):
-    messages = [data.message(1, "Hello"), data.message(2, "Loved it")]
+    messages = [data.message(1, "still here"), data.message(2, "Loved it")]
     source = data.source(spark, messages, [(1, 1), (1, 2)])
     assert run_extract(source, store) == 1
     assert store.mark(EXTRACT) == 2
@@ -70,8 +70,8 @@ def test_mark_stays_when_nothing_survives(spark, store):
 
 
 def test_message_in_two_chats_is_rejected(spark, store):
-    source = data.source(spark, links=[*data.LINKS, (2, 1)])
-    assert [r.message_id for r in duplicate_ids(extract(source)).collect()] == [1]
+    source = data.source(spark, links=[*data.LINKS, (2, 11)])
+    assert [r.message_id for r in duplicate_ids(extract(source)).collect()] == [11]
     with pytest.raises(DuplicateMessageError):
         run_extract(source, store)
     assert store.read(EXTRACT).count() == 0 and store.mark(EXTRACT) == 0

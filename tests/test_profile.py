@@ -57,9 +57,9 @@ def test_top_senders_merge_equal_labels(spark):
 def test_conversation_reports(spark):
     source = data.source(spark, chats=[(1, None, ""), (2, None, "B")])
     assert [tuple(r) for r in profile.top_conversations(source).collect()] == [
-        (1, "Unnamed Chat", 5), (2, "B", 2)]
+        (2, "B", 4), (1, "Unnamed Chat", 3)]
     assert tuple(profile.oldest_conversation(source).first()) == (
-        1, "Unnamed Chat", "2032-01-02 00:00:00", 5)
+        1, "Unnamed Chat", "2021-03-04 05:06:07", 3)
 
 
 def test_recent_messages(spark):

@@ -118,4 +118,4 @@ def test_jdbc_reads_are_partitioned_on_the_row_number(spark):
     reads = [options for options in fake.seen if "partitionColumn" in options]
     assert len(reads) == 4
     assert all(r["numPartitions"] == "5" and r["driver"] == "d" for r in reads)
-    assert (reads[0]["lowerBound"], reads[0]["upperBound"]) == ("1", "7")
+    assert (reads[0]["lowerBound"], reads[0]["upperBound"]) == ("11", "24")

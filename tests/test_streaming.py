@@ -81,9 +81,9 @@ def test_links_are_read_between_the_ids_of_the_batch(spark, store, tmp_path):
     source = data.source(spark)
     source.link.write.parquet(str(tmp_path / "link"))
     links = spark.read.parquet(str(tmp_path / "link"))
-    near = available_now._between_ids(source.message.filter("row_id in (2, 3)"))
+    near = available_now._between_ids(source.message.filter("row_id in (12, 15)"))
     plan = links.filter(near)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(message_id,2)" in plan and "LessThanOrEqual(message_id,3)" in plan
+    assert "GreaterThanOrEqual(message_id,12)" in plan and "LessThanOrEqual(message_id,15)" in plan
 
 
 def test_reset_reads_everything_again(spark, store, tmp_path):
@@ -99,7 +99,7 @@ def test_reset_reads_everything_again(spark, store, tmp_path):
 
 def test_late_low_ids_are_taken(spark, store):
     source = data.source(spark)
-    for batch_id, ids in enumerate(([6], [1, 2])):
+    for batch_id, ids in enumerate(([21], [11, 12])):
         rows = source.message.filter(source.message.row_id.isin(ids))
         available_now.process_batch(rows, batch_id, lambda: source, store)
     assert store.read(CLEAN).count() == 3

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatlake.operators import conversations as cv
-from chatlake.operators import split
+from chatlake.operators import pairs, split
 from chatlake.operators.clean import clean
 from chatlake.operators.extract import extract
 from chatlake.plans.jobs import run_prepare
@@ -120,3 +120,11 @@ def test_normalize_roles(spark, tmp_path):
     for row in normal.collect():
         assert [m.role for m in row.messages] == ["user", "assistant", "user"]
         assert set(row.messages[0].asDict()) == {"role", "content"}
+
+
+def test_pairs_of_batches_with_restarting_indexes(spark):
+    rows = [data.extracted_row(n, 1, f"m{n}", own=(n + 1) % 2) for n in range(1, 7)]
+    batches = [clean(data.extracted(spark, part)) for part in (rows[:3], rows[3:])]
+    found = pairs.cleaned_pairs(batches[0].unionByName(batches[1])).collect()
+    assert sorted((r.position, r.question, r.reply) for r in found) == [
+        (0, "m1", "m2"), (2, "m3", "m4"), (4, "m5", "m6")]
