@@ -350,8 +350,8 @@ def merged(runs: list[Run]) -> Iterator[tuple[int, Run, int]]:
 def repeats(groups: np.ndarray, entries: list[tuple[Run, int, bytes]], length: int, gram: int):
     """(entry, first start, last start) in the document: runs of strings that an earlier entry of the group has.
 
-    Strings of a group are equal if their anchors' offsets and their bytes are; bytes are
-    compared by 64-bit polynomial hashes within the chunk.
+    Strings of a group are equal if their anchors' offsets and their bytes are. Polynomial
+    hashes bring equal ones together, and then their bytes are compared.
     """
     wide = length - gram
     rows = [run.left(i).rjust(wide, b"\0") + suffix.ljust(length, b"\0") for run, i, suffix in entries]
@@ -371,7 +371,19 @@ def repeats(groups: np.ndarray, entries: list[tuple[Run, int, bytes]], length: i
     key = mixed(value ^ mixed((groups[entry] * (wide + 1) + offset).astype(np.uint64)))
     by_key = np.argsort(key, kind="stable")
     later = np.zeros(len(entry), bool)
-    later[by_key[1:]] = key[by_key[1:]] == key[by_key[:-1]]
+    pairs = np.flatnonzero(key[by_key[1:]] == key[by_key[:-1]])
+    later[by_key[pairs + 1]] = True
+    strings = np.lib.stride_tricks.sliding_window_view(bytes_of, length, axis=1)
+    for low in range(0, len(pairs), 1 << 15):
+        a, b = by_key[pairs[low : low + (1 << 15)]], by_key[pairs[low : low + (1 << 15)] + 1]
+        differ = (groups[entry[a]] != groups[entry[b]]) | (offset[a] != offset[b])
+        differ |= (strings[entry[a], wide - offset[a]] != strings[entry[b], wide - offset[b]]).any(axis=1)
+        for value in np.unique(key[a[differ]]):  # a chance agreement
+            seen: set = set()
+            for i in by_key[key[by_key] == value]:
+                string = groups[entry[i]], offset[i], strings[entry[i], wide - offset[i]].tobytes()
+                later[i] = string in seen
+                seen.add(string)
     hit = np.flatnonzero(later)
     starts = place[entry[hit]] - offset[hit]
     # Offsets of an entry go up, so starts go down; a break begins another run.
