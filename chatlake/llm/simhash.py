@@ -39,6 +39,8 @@ BLOCK = 2048
 CROWD = 4096
 #: Probability that a pair at the radius of a similarity meets in a bucket.
 RECALL = 0.99
+#: Standard deviations that the radius of a similarity lies above the bits to expect there.
+SLACK = 1.0
 
 _ONE = np.uint64(1)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -67,7 +69,9 @@ def _majority(hashes: np.ndarray) -> int:
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)]
         bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
+        # Eight counters of a byte are added as one word; 255 rows cannot overflow them.
+        sums = np.add.reduceat(bits.view(np.uint64), np.arange(0, len(part), 255), axis=0)
+        ones += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
     return int(sum(1 << bit for bit in np.flatnonzero(2 * ones > len(hashes)).tolist()))
 
 
@@ -218,10 +222,10 @@ def _random_masks(nodes: int, radius: int, width: int) -> list[list[int]]:
     return masks
 
 
-def similarity_radius(similarity: float, width: int) -> int:
-    """Differing bits to expect at a Jaccard similarity of sets of equal size, and half a deviation more."""
-    share = acos(2 * similarity / (1 + similarity)) / pi
-    return round(64 * width * share + 0.5 * (64 * width * share * (1 - share)) ** 0.5)
+def similarity_radius(similarity: float, width: int, slack: float = SLACK) -> int:
+    """Differing bits to expect at a Jaccard similarity of sets of equal size, and `slack` deviations more."""
+    n_bits, share = 64 * width, acos(2 * similarity / (1 + similarity)) / pi
+    return round(n_bits * share + slack * (n_bits * share * (1 - share)) ** 0.5)
 
 
 def _signed(value: int) -> int:

@@ -28,7 +28,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     from chatlake.llm.simhash import near_duplicates
 
-    found = near_duplicates(docs, shingle=5, similarity=0.8, width=4)
+    found = near_duplicates(docs, shingle=5, similarity=0.8, width=8)
     gone = stored(found.filter("doc_id <> component_id").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -189,7 +189,7 @@ def test_simhash_components(docs):
         assert Counter((r.doc_id, r.component_id) for r in found) == expected
 
 
-@pytest.mark.parametrize("width,radius", [(1, 0), (1, 4), (1, 7), (4, 42)])
+@pytest.mark.parametrize("width,radius", [(1, 0), (1, 4), (1, 7), (4, 42), (8, 86)])
 def test_bit_planes_count_differing_bits(width, radius):
     rng = np.random.default_rng(1)
     fps = rng.integers(0, 2**63, (150, width), dtype=np.uint64)
@@ -214,10 +214,28 @@ def test_similar_texts_meet(spark):
     near = [*base[:200], "new", *base[201:]]
     other = [f"v{rng.randint(0, 9999)}" for _ in range(400)]
     rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(other))]
-    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8, width=4)
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8, width=8)
     assert {r.doc_id: r.component_id for r in found.collect()} == {1: 1, 2: 1, 3: 3}
 
 
+def test_similarity_decides(spark):
+    """Pairs of exact similarity 0.86 link, pairs of 0.57 do not."""
+    rng, rows, far = random.Random(6), [], {}
+    for n in range(40):
+        base = [f"u{n}x{rng.randint(0, 10**9)}" for _ in range(304)]
+        edited = list(base)
+        for at in range(0, 300, 300 // (11 if n % 2 else 4)):
+            edited[at + 4] += "e"
+        shingles = [{tuple(t[i : i + 5]) for i in range(300)} for t in (base, edited)]
+        similarity = len(shingles[0] & shingles[1]) / len(shingles[0] | shingles[1])
+        assert similarity < 0.7 if n % 2 else similarity > 0.83
+        far[2 * n + 1] = bool(n % 2)
+        rows += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(edited))]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8, width=8)
+    of = {r.doc_id: r.component_id for r in found.collect()}
+    assert of == {i: i if i % 2 == 0 or far[i] else i - 1 for i in of}
+
+
 # suffix dedup ---------------------------------------------------------------------------------
 
 
@@ -247,6 +265,24 @@ def test_repeated_strings_go(docs, hot):
     assert any(n for _, n, _, _ in expected.values())
 
 
+@pytest.mark.parametrize("bits", [64, 4, 0])
+def test_chance_agreements_of_hashes_are_told_apart(monkeypatch, bits):
+    rng = random.Random(7)
+    texts = [bytes(rng.choice(b"xyz") for _ in range(40)) for _ in range(6)]
+    entries, groups = [], []
+    for block in range(9):
+        text = texts[block % 6] if block != 8 else texts[2][:25] + b"?" * 15
+        one = suffix_dedup.Entry(text[12:24], text[2:12], 2, 0, block, 12)
+        run = suffix_dedup.Run(suffix_dedup.encode_run([one]), block)
+        run.advance()
+        entries.append((run, 0, run.suffix))
+        groups.append(block % 6 if block != 8 else 2)
+    real = suffix_dedup.mixed
+    monkeypatch.setattr(suffix_dedup, "mixed", lambda v: real(v) & np.uint64((1 << bits) - 1))
+    found = suffix_dedup.repeats(np.array(groups), entries, 12, 2)
+    assert [x.tolist() for x in found] == [[6, 7, 8], [2, 2, 2], [10, 10, 10]]
+
+
 def test_loser_tree_merges_and_knows_prefixes():
     rng = random.Random(4)
     runs, everything = [], []
