@@ -40,7 +40,7 @@ CROWD = 4096
 #: Probability that a pair at the radius of a similarity meets in a bucket.
 RECALL = 0.99
 #: Standard deviations that the radius of a similarity lies above the bits to expect there.
-SLACK = 1.0
+SLACK = 0.5
 
 _ONE = np.uint64(1)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
