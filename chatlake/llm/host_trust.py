@@ -3,13 +3,15 @@
 Hosts are seeded with the share of their pages that rules allow and block. Trust flows along
 links, as personalised PageRank; distrust flows against them, from a blocked host to those that
 link to it. Both are one table of flows between hosts, aggregated before the first step, and each step is one
-join and one sum over hosts, stored so that lineage stays short.
+join and one sum over hosts, stored so that lineage stays short. A step passes on what the step
+before added, until what is added to all hosts together is too little to matter.
 """
 
 from __future__ import annotations
 
 import string
 from collections.abc import Sequence
+from math import ceil, log
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +19,10 @@ from pyspark.sql import functions as F
 
 from chatlake.llm.common import discard, stored
 
-DAMPING, STEPS, THRESHOLD = 0.85, 10, 0.05
+DAMPING, THRESHOLD = 0.85, 0.05
+#: Sum of what a step may add to all hosts, in seeds, when spreading ends. A step adds at most `damping` times
+#: what the step before added, so no host lacks more than damping / (1 - damping) times this.
+TOLERANCE = 1e-6
 LINK = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -89,11 +94,18 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
+def spread(
+    links: DataFrame,
+    seeds: DataFrame,
+    damping: float = DAMPING,
+    steps: int | None = None,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
     """`(kind, host, score)` from `links(src, dst, n)` and `seeds(kind, host, seed)`.
 
     kind 'trust' moves from src to dst, in proportion to n over all that leaves src; kind
-    'distrust' from dst to src, over all that arrives at dst.
+    'distrust' from dst to src, over all that arrives at dst. Without a number of steps, they go on
+    until one adds at most `tolerance` seeds to all hosts together, however long the paths are.
     """
     ways = F.array(
         F.struct(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to")),
@@ -103,23 +115,32 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps:
     totals = stored(flows.groupBy("kind", "host").agg(F.sum("n").alias("total")))
     shares = stored(flows.join(totals, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("share")))
     discard(flows, totals)
-    base = seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("score"))
-    scores = stored(base)
-    for _ in range(steps if not shares.isEmpty() else 0):
-        moved = shares.join(scores, ["kind", "host"]).select(
-            "kind", F.col("to").alias("host"), (damping * F.col("share") * F.col("score")).alias("score")
+    scores = stored(seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("score")).withColumn("added", F.col("score")))
+    added, done, enough = _added(scores) if damping else 0.0, 0, tolerance * (1 - damping)
+    # The steps of the slowest decay there can be, and a few for rounding.
+    most = 3 + max(0, ceil(log(enough / added) / log(damping))) if added else 0
+    while added and done != steps and (steps is not None or added > enough):
+        if steps is None and done == most:
+            raise RuntimeError(f"scores did not settle in {most} steps")
+        moved = shares.join(scores.filter("added > 0"), ["kind", "host"]).select(
+            "kind", F.col("to").alias("host"), (damping * F.col("share") * F.col("added")).alias("added")
         )
-        following = stored(moved.unionByName(base).groupBy("kind", "host").agg(F.sum("score").alias("score")))
+        both = moved.withColumn("score", F.col("added")).unionByName(scores.withColumn("added", F.lit(0.0)))
+        following = stored(both.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("added").alias("added")))
         discard(scores)
-        scores = following
-    return scores
+        scores, done = following, done + 1
+        added = _added(scores)
+    return scores.select("kind", "host", "score")
+
+
+def _added(scores: DataFrame) -> float:
+    return scores.agg(F.sum("added")).first()[0] or 0.0
 
 
 def filtered_urls(
     pages: DataFrame,
     rules: Sequence[Rule] = RULES,
     damping: float = DAMPING,
-    steps: int = STEPS,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """`page_id, host, path, rule, verdict` of every row of `pages(page_id, url, html)`.
@@ -142,7 +163,7 @@ def filtered_urls(
     seeds = stored(
         counts.unpivot("host", ["trust", "distrust"], "kind", "seed").filter("seed > 0").select("kind", "host", "seed")
     )
-    scores = spread(host_links(pages), seeds, damping, steps)
+    scores = spread(host_links(pages), seeds, damping)
     one = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
     # Scores hold 1 - damping of a seed; divided by it, a host on its own has its seed.
     hosts = stored(

@@ -119,5 +119,23 @@ def test_ranks_against_a_matrix(spark):
     assert all(found.get(str(i), 0.0) == pytest.approx(score[i]) for i in range(1, 10))
 
 
+def test_spread_goes_on_until_nothing_is_added(spark):
+    schema = "src string, dst string, n long"
+    seed = spark.createDataFrame([("distrust", "a", 1.0)], "kind string, host string, seed double")
+    pair = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], schema)
+    found = {r.host: r.score / 0.15 for r in host_trust.spread(pair, seed).collect()}
+    assert found["a"] == pytest.approx(1 / (1 - 0.85**2), abs=1e-5)
+    assert found["b"] == pytest.approx(0.85 / (1 - 0.85**2), abs=1e-5)
+
+
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    pages = [(0, "http://bad.example.org/es/1", "")]
+    pages += [(i, f"http://h{i}.net/", f'<a href="http://h{i - 1}.net/">') for i in range(2, 21)]
+    pages += [(1, "http://h1.net/", '<a href="http://bad.example.org/">')]
+    found = {r.page_id: r for r in host_trust.filtered_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(found[i].distrust == pytest.approx(0.85**i) for i in range(1, 21))
+    assert [i for i in range(21) if found[i].verdict == "block"] == list(range(19))
+
+
 def test_no_pages(spark):
     assert host_trust.filtered_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
