@@ -4,7 +4,7 @@
 2. Equal fingerprints are one node. Nodes are put into buckets by some of their bits:
    - within a small radius r, exactly: two fingerprints agree on at least m - r of m chunks of their
      bits, so there is one bucket for every choice of m - r chunks, and no pair is missed whatever m is;
-   - for a similarity, where r is a sixth of the bits: as many random choices of bits as meet with the
+   - for a similarity, where r is a fifth of the bits: as many random choices of bits as meet with the
      given probability for pairs at the radius.
    The number of bits follows from the number of nodes, so that buckets of unrelated texts stay small.
 3. Large buckets are cut into blocks by hash, and each pair of blocks is a group of its own.
@@ -12,6 +12,11 @@
    compared with 64 others by one XOR for each plane, whose bits are summed by carry-save adders in
    counter words; words in which all counters exceed the radius are abandoned every eight planes.
 5. Links of a group leave it as a spanning forest, and components are found over all groups.
+
+For a similarity, fingerprints are of sets of shingles and only propose pairs; a pair links if the Jaccard
+similarity of the two sets, of 64-bit hashes, is high enough. A few choices of bits give forests that join most
+near copies first; then every pair met that is not yet in one component is tried. Sets so small that few
+shingles decide a bit meet by their smallest shingles instead: two similar ones share one of these.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from random import Random
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatlake.llm.common import discard, id_text, mixed, stored, whole_groups
@@ -40,7 +45,11 @@ CROWD = 4096
 #: Probability that a pair at the radius of a similarity meets in a bucket.
 RECALL = 0.99
 #: Standard deviations that the radius of a similarity lies above the bits to expect there.
-SLACK = 0.5
+SLACK = 3.0
+#: Shingles up to which a set also meets others by its smallest shingles, and the deviations allowed there.
+SMALL, SMALL_SLACK = 32, 6.0
+#: Choices of bits that are used for the first forests.
+FIRST = 8
 
 _ONE = np.uint64(1)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -51,16 +60,25 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, width: int = 1) -> lis
 
     The first word is of the shingles' XXH64, the others of hashes made from it.
     """
+    return _print(_shingles(text, shingle), width)
+
+
+def _shingles(text: str | None, shingle: int) -> np.ndarray:
     terms = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not terms:
-        return [0] * width
+        return np.zeros(0, np.uint64)
     line = b" ".join(terms)
     ends = (np.cumsum(np.fromiter(map(len, terms), np.int64, len(terms)) + 1) - 1).tolist()
     starts = [0, *(end + 1 for end in ends[:-1])]
     last = ends[shingle - 1 :] or ends[-1:]
-    hashes = np.fromiter(
+    return np.fromiter(
         (xxhash.xxh64_intdigest(line[i:j], SEED) for i, j in zip(starts, last)), np.uint64, len(last)
     )
+
+
+def _print(hashes: np.ndarray, width: int) -> list[int]:
+    if not len(hashes):
+        return [0] * width
     return [_majority(hashes if i == 0 else mixed(hashes + np.uint64(i))) for i in range(width)]
 
 
@@ -88,6 +106,29 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, width: int = 1) -> Dat
     return id_text(docs).mapInArrow(batches, "doc_id long, fp array<long>")
 
 
+def shingle_sets(docs: DataFrame, shingle: int, width: int) -> DataFrame:
+    """`(doc_id, digest, n, fp, terms)` of every row: the set of its shingles' hashes in order, their
+    number, a digest and a fingerprint of the set."""
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            sets = [np.unique(_shingles(x.as_py(), shingle)) for x in batch.column("text")]
+            digests = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
+            prints = np.array([_print(x, width) for x in sets], np.uint64).reshape(-1).view(np.int64)
+            ends = np.cumsum([0, *map(len, sets)])
+            terms = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+            columns = [
+                batch.column("doc_id"),
+                pa.array(digests, pa.binary()),
+                pa.array(np.diff(ends).astype(np.int32)),
+                pa.ListArray.from_arrays(np.arange(0, width * len(sets) + 1, width, dtype=np.int32), pa.array(prints)),
+                pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(terms)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "n", "fp", "terms"])
+
+    return id_text(docs).mapInArrow(batches, "doc_id long, digest binary, n int, fp array<long>, terms array<long>")
+
+
 def within(planes: np.ndarray, query: np.ndarray, word: np.ndarray, masks: np.ndarray, radius: int):
     """For each (query, word): the bits of those of the word's 64 fingerprints within the radius.
 
@@ -136,6 +177,15 @@ def links(groups: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np
 
     fps has a row of 64-bit words for each fingerprint.
     """
+    label = np.arange(len(fps))
+    for left, right in close_pairs(groups, fps, radius):
+        _join(label, left, right)
+    child = np.flatnonzero(label != np.arange(len(label)))
+    return child, label[child]
+
+
+def close_pairs(groups: np.ndarray, fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows of a group within the radius, the smaller row first."""
     starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
     sizes = np.diff(np.r_[starts, len(groups)])
     n_words = (sizes + 63) // 64
@@ -162,7 +212,6 @@ def links(groups: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np
     query = np.repeat(np.arange(len(fps)), per_row)
     word = np.arange(len(query)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
     word += np.repeat(np.repeat(first_word, sizes), per_row)
-    label = np.arange(len(fps))
     for low in range(0, len(query), 1 << 16):
         some, column, bits = within(planes, query[low : low + (1 << 16)], word[low : low + (1 << 16)], masks, radius)
         bits = bits & real[column]
@@ -173,9 +222,7 @@ def links(groups: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np
             left = some[at : at + (1 << 14)][i]
             right = row_at[column[at : at + (1 << 14)][i] * 64 + bit]
             apart = left < right
-            _join(label, left[apart], right[apart])
-    child = np.flatnonzero(label != np.arange(len(label)))
-    return child, label[child]
+            yield left[apart], right[apart]
 
 
 def _join(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
@@ -276,6 +323,100 @@ def _portions(groups: np.ndarray, rows: int = 4096) -> Iterator[tuple[int, int]]
             low = end
 
 
+def candidates(nodes: DataFrame, keys: Column, radius: int, similarity: float, forest: bool, block: int = BLOCK) -> DataFrame:
+    """`(a, b)`, with repeats: pairs of `nodes(node, fp, n, part)` that share one of their `keys`, are of different
+    parts, are within the radius and not too different in size; or, as a forest, some pairs that join them."""
+    keyed = nodes.select("node", "fp", "n", "part", F.explode(keys).alias("key"))
+    crowded = stored(
+        nodes.select("part", F.explode(keys).alias("key"))
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("part").alias("low"), F.max("part").alias("high"))
+        .filter("low < high")
+        .select("key", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
+    )
+    dealt = (
+        keyed.join(crowded, "key")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("node", "fp", "n", "part", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("g"))
+    )
+
+    def compare(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(source, "g"):
+            groups, node, n, of = (table.column(c).to_numpy() for c in ("g", "node", "n", "part"))
+            fps = table.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(groups), -1)
+            for low, high in _portions(groups):
+                here = groups[low:high], fps[low:high], radius
+                for left, right in [links(*here)] if forest else close_pairs(*here):
+                    left, right = left + low, right + low
+                    alike = (of[left] != of[right]) & (
+                        np.minimum(n[left], n[right]) >= similarity * np.maximum(n[left], n[right]) - 1e-9
+                    )
+                    a, b = node[left[alike]], node[right[alike]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"]
+                    )
+
+    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(compare, "a long, b long")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The distinct `pairs(a, b)` whose `sets(node, terms)` have at least this Jaccard similarity."""
+    pairs = stored(pairs.distinct())
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = stored(sets.join(nodes, "node", "left_semi"))
+    both = pairs.join(needed.select(F.col("node").alias("a"), F.col("terms").alias("x")), "a").join(
+        needed.select(F.col("node").alias("b"), F.col("terms").alias("y")), "b"
+    )
+    shared = F.size(F.array_intersect("x", "y"))
+    found = stored(both.filter(shared / (F.size("x") + F.size("y") - shared) >= similarity).select("a", "b"))
+    discard(pairs, needed)
+    return found
+
+
+def similar_sets(docs: DataFrame, shingle: int, similarity: float, width: int, block: int = BLOCK) -> DataFrame:
+    """`(doc_id, fp, component_id)` of every row: links are pairs of sets of at least this similarity."""
+    prints = stored(shingle_sets(docs, shingle, width).withColumn("row", F.monotonically_increasing_id()))
+    nodes = stored(
+        prints.groupBy("digest").agg(
+            F.min("row").alias("node"), F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("n").alias("n")
+        )
+    )
+    sets = prints.select(F.col("row").alias("node"), "terms")
+    bare = nodes.select("node", "fp", "n", F.col("node").alias("part"))
+    radius = similarity_radius(similarity, width)
+    masks = _random_masks(nodes.count(), radius, width)
+    keys = [
+        F.xxhash64(F.lit(i), *[F.col("fp")[at].bitwiseAND(F.lit(_signed(w))) for at, w in enumerate(m) if w])
+        for i, m in enumerate(masks)
+    ]
+    near = similarity_radius(similarity, width, 0)
+    first = similar(candidates(bare, F.array(*keys[:FIRST]), near, similarity, True, block), sets, similarity)
+    parts = connected_components(first)
+    joined = stored(
+        bare.drop("part").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    )
+    # Sorted by hash, two sets of this similarity share one of so many of their first hashes.
+    leading = (F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).cast("int")
+    small = stored(
+        joined.filter((F.col("n") > 0) & (F.col("n") <= int(SMALL / similarity + 1e-9)))
+        .join(sets, "node")
+        .select("node", "fp", "n", "part", F.slice("terms", F.lit(1), leading).alias("leading"))
+    )
+    met = candidates(joined, F.array(*keys), radius, similarity, False, block).unionAll(
+        candidates(small, F.col("leading"), similarity_radius(similarity, width, SMALL_SLACK), similarity, False, block)
+    )
+    more = similar(met, sets, similarity)
+    found = connected_components(first.unionAll(more))
+    rooted = stored(
+        nodes.join(found, "node", "left").select("digest", "first", F.coalesce("component", "node").alias("root"))
+    )
+    least = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
+    by_set = stored(rooted.join(least, "root").select("digest", "component_id"))
+    discard(nodes, first, parts, joined, small, more, found, rooted, least)
+    return prints.join(by_set, "digest").select("doc_id", "fp", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -286,9 +427,10 @@ def near_duplicates(
 ) -> DataFrame:
     """`(doc_id, fp, component_id)` of every row of `docs(doc_id, text)`; fp is the array of `width` words.
 
-    Links are pairs of fingerprints of one word with at most `radius` differing bits, all of which are found; or, where a
-    similarity is given, pairs with at most as many bits as texts of this Jaccard similarity differ in, of which
-    each at the very limit is found with probability RECALL, and closer ones almost surely.
+    Links are pairs of fingerprints of one word with at most `radius` differing bits, all of which are found. Where a
+    similarity is given, they are pairs of rows whose sets of shingles have at least this Jaccard similarity, and
+    fp is of the set: no other pair links, and a pair at the very limit is missed only if its fingerprints differ by
+    SLACK deviations more than expected, or meet in no bucket (RECALL, for pairs at the radius).
 
     component_id is the smallest doc_id that can be reached over links, the row's own included.
     Null and empty texts have fingerprint 0 and link like any other. Repeated rows stay
@@ -296,8 +438,8 @@ def near_duplicates(
     give no rows; other columns are ignored.
     """
     if similarity is not None:
-        radius = similarity_radius(similarity, width)
-    elif width != 1:
+        return similar_sets(docs, shingle, similarity, width, block)
+    if width != 1:
         raise ValueError("a radius is for fingerprints of one word")
     prints = stored(fingerprints(docs, shingle, width))
     nodes = stored(
@@ -306,10 +448,7 @@ def near_duplicates(
         .select(F.monotonically_increasing_id().alias("node"), "fp", "first")
     )
     n_nodes = nodes.count()
-    if similarity is None:
-        masks = _masks(_chunks(n_nodes, radius), radius)
-    else:
-        masks = _random_masks(n_nodes, radius, width)
+    masks = _masks(_chunks(n_nodes, radius), radius)
     found = connected_components(linked(nodes.select("node", "fp"), masks, radius, block))
     rooted = stored(
         nodes.join(found, "node", "left").select("fp", "first", F.coalesce("component", "node").alias("root"))

@@ -236,6 +236,44 @@ def test_similarity_decides(spark):
     assert of == {i: i if i % 2 == 0 or far[i] else i - 1 for i in of}
 
 
+def _with_shared(rng, n, shared):
+    """Two texts with `shared` of n shingles of five words each in common: runs of words, others in between."""
+    words = lambda k: [f"q{rng.randint(0, 10**12)}" for _ in range(k)]
+    head = words(shared + 4)
+    return [" ".join(head + words(n - shared)) for _ in range(2)]
+
+
+def test_exact_similarity_decides_at_the_limit(spark):
+    """Pairs of 0.78 stay apart, pairs of 0.80 and 0.82 link; small sets and repeated shingles too."""
+    rng, rows, linked = random.Random(8), [], {}
+    sizes = [(445, 390), (450, 400), (455, 410)]  # 390 / 500, 400 / 500, 410 / 500
+    for k, (n, shared) in enumerate(sizes * 40):
+        pair = _with_shared(rng, n, shared)
+        rows += [(2 * k, pair[0]), (2 * k + 1, pair[1])]
+        linked[2 * k + 1] = shared >= 400
+    low = 2 * len(linked)
+    for k in range(low, low + 80, 2):  # 4 of 5 shingles
+        text = " ".join(f"s{rng.randint(0, 10**12)}" for _ in range(9))
+        rows += [(k, text), (k + 1, text.rsplit(" ", 1)[0])]
+        linked[k + 1] = True
+    line = "one line that comes again and again "
+    rows += [(900, "a start " + line * 3), (901, "a start " + line * 300), (902, line * 99 + _with_shared(rng, 90, 9)[0])]
+    linked[901], linked[902] = True, False
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8, width=4)
+    of = {r.doc_id: r.component_id for r in found.collect()}
+    wanted = {i: (900 if i == 901 else i - 1) if linked.get(i) else i for i, _ in rows}
+    assert of == wanted
+
+
+def test_family_of_shared_boilerplate_stays(spark):
+    """300 texts of pairwise similarity 0.6, none of which is a near copy."""
+    rng = random.Random(9)
+    head = " ".join(f"h{rng.randint(0, 10**12)}" for _ in range(154))
+    rows = [(i, head + " " + " ".join(f"f{rng.randint(0, 10**12)}" for _ in range(50))) for i in range(300)]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8, width=4)
+    assert all(r.doc_id == r.component_id for r in found.collect())
+
+
 # suffix dedup ---------------------------------------------------------------------------------
 
 
