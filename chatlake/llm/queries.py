@@ -89,6 +89,18 @@ def op10_mixing(spark, folder):
     return mix(read_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_alignment_of(docs):
+    from chatlake.llm.alignment import alignments
+
+    found = alignments(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op13_alignment(spark, folder):
+    return op13_alignment_of(read_table(spark, folder, "documents"))
+
+
 LLM_QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_token_counts": op2_token_counts,
@@ -100,6 +112,7 @@ LLM_QUERIES = {
     "op8_hilbert": op8_hilbert,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
+    "op13_alignment": op13_alignment,
 }
 
 #: SQL for the queries that it can express on whole tables.
