@@ -89,6 +89,14 @@ def op10_mixing(spark, folder):
     return mix(read_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_nnls_packing(spark, folder):
+    from chatlake.llm.histogram_packing import packed_windows
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    found = packed_windows(read_table(spark, folder, "documents"), path)
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op13_alignment_of(docs):
     from chatlake.llm.alignment import alignments
 
@@ -112,6 +120,7 @@ LLM_QUERIES = {
     "op8_hilbert": op8_hilbert,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
+    "op12_nnls_packing": op12_nnls_packing,
     "op13_alignment": op13_alignment,
 }
 

@@ -106,3 +106,48 @@ class WordPieces:
             return 1
         letters = "".join(map(self.letters.__getitem__, pretoken.encode("utf-8")))
         return len(self.tokenizer.model.tokenize(letters))
+
+
+class _Words(dict):
+    """Ids of words as bytes, found when first asked for."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.find(word)
+        return found
+
+
+class WordIds:
+    """Ids of a word BPE file as `Tokenizer.encode(text, add_special_tokens=False)` gives them.
+
+    No pre-token holds white space, so the ids of what lies between white space are found once and kept;
+    more than `keep` words are forgotten after the text that brought them.
+    """
+
+    def __init__(self, path: str, keep: int):
+        self.pieces, self.tokenizer, self.keep = WordPieces(path), library(path), keep
+        self.pretokens, self.words = _Words(self._pretoken), _Words(self._word)
+
+    def _pretoken(self, pretoken: str) -> bytes:
+        letters = "".join(map(self.pieces.letters.__getitem__, pretoken.encode("utf-8")))
+        return np.array([token.id for token in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return b"".join(map(self.pretokens.__getitem__, self.pieces.split(word)))
+
+    def ids(self, text: str) -> np.ndarray:
+        special, out = self.pieces.special, []
+        for part in special.parts(text):
+            if part in special.ids:
+                out.append(np.array([special.ids[part]], "<u4").tobytes())
+            elif self.pieces.plain(part):
+                out.append(b"".join(map(self.words.__getitem__, part.lower().split())))
+            else:
+                out.append(np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes())
+        for kept in (self.pretokens, self.words):
+            if len(kept) > self.keep:
+                kept.clear()
+        return np.frombuffer(b"".join(out), "<u4")

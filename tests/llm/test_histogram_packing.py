@@ -1,0 +1,150 @@
+"""Least squares, patterns and packed windows against plain versions."""
+
+from __future__ import annotations
+
+import itertools
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from chatlake.llm import histogram_packing as hp
+from chatlake.llm.tokens import WordIds
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_least_squares_against_all_active_sets():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        a, b = rng.normal(size=(5, 4)), rng.normal(size=5)
+        best = np.inf
+        for size in range(5):
+            for own in map(list, itertools.combinations(range(4), size)):
+                x = np.zeros(4)
+                x[own] = np.linalg.lstsq(a[:, own], b, rcond=None)[0]
+                if (x >= 0).all():
+                    best = min(best, ((a @ x - b) ** 2).sum())
+        found = hp.least_squares(a, b)
+        assert (found >= 0).all()
+        assert ((a @ found - b) ** 2).sum() == pytest.approx(best, abs=1e-9)
+
+
+def test_least_squares_with_equal_and_zero_columns():
+    a = np.array([[1.0, 1.0, 0.0], [1.0, 1.0, 0.0]])
+    found = hp.least_squares(a, np.array([2.0, 2.0]))
+    assert a @ found == pytest.approx([2, 2])
+    assert hp.least_squares(a, np.zeros(2)).tolist() == [0, 0, 0]
+
+
+def test_patterns():
+    plain = {
+        tuple(sorted(p, reverse=True))
+        for depth in (1, 2, 3)
+        for p in itertools.product(range(1, 13), repeat=depth)
+        if sum(p) == 12
+    }
+    assert sorted(hp.patterns(12)) == sorted(plain)
+
+
+def test_repeats_use_up_what_fits():
+    histogram = np.zeros(8, int)
+    histogram[[4, 2]] = 10  # classes 5 and 3 fill a window of 8
+    assert hp.repeats(histogram) == [((5, 3), 10)]
+    assert hp.repeats(np.zeros(8, int)) == []
+
+
+def _check(lengths, window, sequences):
+    cover = defaultdict(list)
+    for sequence in sequences:
+        total = sum(length for length, _, _ in sequence)
+        assert 0 < total <= window and total & (total - 1) == 0
+        for length, item, start in sequence:
+            assert length > 0
+            cover[item].append((start, length))
+    assert sorted(cover) == [i for i, n in enumerate(lengths) if n]
+    for item, pieces in cover.items():
+        reached = 0
+        for start, length in sorted(pieces):
+            assert start == reached
+            reached += length
+        assert reached == lengths[item]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 31), max_size=60), st.sampled_from([1, 2, 4, 8, 64]))
+def test_any_lengths(lengths, classes):
+    lengths = np.array(lengths, np.int64)
+    sequences = hp.pack(lengths, 32, classes)
+    _check(lengths, 32, sequences)
+    # As few as there can be, but for the tail in powers of two.
+    assert sum(sum(p[0] for p in s) == 32 for s in sequences) == lengths.sum() // 32
+
+
+def test_many_lengths():
+    lengths = np.random.default_rng(1).integers(1, 4096, 20_000)
+    _check(lengths, 4096, hp.pack(lengths))
+
+
+@pytest.mark.parametrize("tokens,window", [(1 << 22, 4096), (50, 16)])
+def test_documents(spark, docs, tokens, window):
+    rows = docs.select("doc_id", "text").collect()
+    library, plain = Tokenizer.from_file(PATH), defaultdict(list)
+    for i, text in rows:
+        plain[i].append([*library.encode(text or "", add_special_tokens=False).ids, 2])
+    found = hp.packed_windows(docs, PATH, window, group_tokens=tokens).collect()
+    again = hp.packed_windows(docs, PATH, window, group_tokens=tokens).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+    places = defaultdict(list)
+    pieces = defaultdict(list)
+    for r in found:
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        assert len(ids) == r.length
+        places[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id, r.doc_tokens].append((r.start, ids))
+    for own in places.values():
+        reached = 0
+        for offset, length in sorted(own):
+            assert offset == reached
+            reached += length
+        assert reached <= window and reached & (reached - 1) == 0
+    # Rows that share an id are told apart by their length; repeated rows have the same ids.
+    for i, texts in plain.items():
+        for n in {len(ids) for ids in texts}:
+            same = [ids for ids in texts if len(ids) == n]
+            at = [token for start, ids in sorted(pieces[i, n]) for token in enumerate(ids, start)]
+            assert sorted(at) == sorted(token for ids in same for token in enumerate(ids))
+
+
+def test_window_has_to_be_a_power_of_two(no_docs):
+    with pytest.raises(ValueError):
+        hp.packed_windows(no_docs, PATH, 3000)
+
+
+def test_no_documents(no_docs):
+    assert hp.packed_windows(no_docs, PATH).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t.,'sab1²_\x1c　é日<|endoftext|>"), st.characters(exclude_categories=["Cs"])), max_size=30))
+def test_ids_are_the_library_s(text):
+    words = _words()
+    assert words.ids(text).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def _words(kept=[]):
+    if not kept:
+        kept.append(WordIds(PATH, 3))
+    return kept[0]
+
+
+def test_ids_of_each_code_point():
+    words = _words()
+    for low in range(0, 0x3000, 64):
+        points = [chr(p) for p in range(low, low + 64)]
+        for text in (" ".join(points), "x".join(points), "".join(points), " x".join(points) + " "):
+            assert words.ids(text).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
