@@ -89,6 +89,19 @@ def op10_mixing(spark, folder):
     return mix(read_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_whitening_of(vectors):
+    from chatlake.llm.whitening import whitened
+
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("_at", "_")
+    return whitened(vectors).select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("_at") + 1).alias("component"), "n", "deviation", "_.whitened", "_.explained", "identity_error"
+    )
+
+
+def op11_whitening(spark, folder):
+    return op11_whitening_of(read_table(spark, folder, "embeddings"))
+
+
 def op12_nnls_packing(spark, folder):
     from chatlake.llm.histogram_packing import packed_windows
 
@@ -120,6 +133,7 @@ LLM_QUERIES = {
     "op8_hilbert": op8_hilbert,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
     "op12_nnls_packing": op12_nnls_packing,
     "op13_alignment": op13_alignment,
 }
