@@ -37,7 +37,7 @@ CLASSES, DEPTH = 64, 3
 #: Tokens and documents of a group at most, but for what its last document adds.
 GROUP_TOKENS, GROUP_DOCS = 1 << 22, 1 << 16
 #: Words whose ids a task keeps.
-KEPT_WORDS = 1 << 18
+KEPT_WORDS = 1 << 19
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 

@@ -129,13 +129,18 @@ class WordIds:
 
     def __init__(self, path: str, keep: int):
         self.pieces, self.tokenizer, self.keep = WordPieces(path), library(path), keep
+        self.model = self.tokenizer.model
         self.pretokens, self.words = _Words(self._pretoken), _Words(self._word)
 
     def _pretoken(self, pretoken: str) -> bytes:
-        letters = "".join(map(self.pieces.letters.__getitem__, pretoken.encode("utf-8")))
-        return np.array([token.id for token in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        # Printable ASCII stands for itself.
+        if not (pretoken.isascii() and pretoken.isprintable()):
+            pretoken = "".join(map(self.pieces.letters.__getitem__, pretoken.encode("utf-8")))
+        return np.array([token.id for token in self.model.tokenize(pretoken)], "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.pretokens[word]
         return b"".join(map(self.pretokens.__getitem__, self.pieces.split(word)))
 
     def ids(self, text: str) -> np.ndarray:
