@@ -116,17 +116,17 @@ class Aligner:
 
     def _align(self, chunks: list[str]) -> None:
         whole = [chunk.encode() for chunk in chunks]
-        ids_a = [self.a.encode_ordinary(chunk) for chunk in chunks]
+        ids_a = [self.a.encode_ordinary(chunk) for chunk in chunks]  # a byte-level vocabulary loses nothing
         ids_b = self.b.encode([chunk[1:] for chunk in chunks], num_threads=1)
-        sound = np.ones(len(chunks), bool)
-        if not (self._gives(self.a_bytes, ids_a, whole) and self._gives(self.b_bytes, ids_b, whole)):
-            joined = [[b"".join(map(t.__getitem__, i)) for i in ids] for t, ids in ((self.a_bytes, ids_a), (self.b_bytes, ids_b))]
-            sound = np.array([x == y == z for x, y, z in zip(whole, *joined)])
-            ids_a, ids_b = ([i if ok else [] for i, ok in zip(ids, sound)] for ids in (ids_a, ids_b))
         (a, n_a), (b, n_b) = _flat(ids_a), _flat(ids_b)
+        sound = np.ones(len(chunks), bool)
+        if not self._gives(b, n_b, whole):
+            table = self.b_bytes.__getitem__
+            sound = np.array([b"".join(map(table, ids)) == own for ids, own in zip(ids_b, whole)])
+            (a, n_a), (b, n_b) = (_flat([i if ok else [] for i, ok in zip(ids, sound)]) for ids in (ids_a, ids_b))
         # Both sides cover the same bytes of every piece, so ends are compared over all of them at once.
         end_a, end_b = self.a_lengths[a].cumsum(), self.b_lengths[b].cumsum()
-        last_a, last_b = (np.isin(x, y, assume_unique=True) for x, y in ((end_a, end_b), (end_b, end_a)))
+        last_a, last_b = _found(end_a, end_b), _found(end_b, end_a)
         owner = np.repeat(np.arange(len(chunks)), n_a)[last_a]
         self.pairs = np.concatenate([self.pairs, a[last_a] << 32 | b[last_b]])
         self.owners = np.concatenate([self.owners, owner + len(self.groups)])
@@ -134,15 +134,13 @@ class Aligner:
         self.numbers = np.concatenate([self.numbers, np.stack([n_a, n_b, n_groups, ~sound], axis=1)])
         self.groups += self._texts(a, b, last_a, last_b, n_a + n_b) if self.texts else [""] * len(chunks)
 
-    @staticmethod
-    def _gives(table: list[bytes], ids: list[list[int]], whole: list[bytes]) -> bool:
-        """Whether the tokens of all pieces are the pieces' bytes, with no more than their own each."""
-        if b"".join(map(table.__getitem__, chain.from_iterable(ids))) != b"".join(whole):
-            return False
-        flat, counts = _flat(ids)
-        reached = np.append(0, np.fromiter(map(len, map(table.__getitem__, flat.tolist())), np.int64, len(flat)).cumsum())
+    def _gives(self, ids: np.ndarray, counts: np.ndarray, whole: list[bytes]) -> bool:
+        """Whether the tokens of all pieces together are the pieces' bytes, and of each as many as it has."""
+        reached = np.append(0, self.b_lengths[ids].cumsum())
         ends = counts.cumsum()
-        return np.array_equal(reached[ends] - reached[ends - counts], [len(piece) for piece in whole])
+        if not np.array_equal(reached[ends] - reached[ends - counts], [len(piece) for piece in whole]):
+            return False
+        return b"".join(map(self.b_bytes.__getitem__, ids.tolist())) == b"".join(whole)
 
     def _texts(self, a, b, last_a, last_b, sizes) -> list[str]:
         """Each piece's groups as text, put together from prepared texts of single tokens."""
@@ -153,6 +151,13 @@ class Aligner:
         return ["".join(texts[low:high])[:-1] for low, high in zip([0, *ends], ends)]
 
 
+def _found(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which of the rising values are among others that rise."""
+    if not len(among):
+        return np.zeros(len(values), bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+
+
 def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All ids in one array, and how many each list has."""
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
