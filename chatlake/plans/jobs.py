@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from chatlake.functions import text as tx
 from chatlake.operators import conversations as cv
 from chatlake.operators import export as ex
-from chatlake.operators import pairs, split, style
+from chatlake.operators import pairs, profile, split, style
 from chatlake.operators.clean import clean
 from chatlake.operators.extract import candidates
 from chatlake.operators.numbering import HOT_ROWS, number_rows
 from chatlake.session import stored
 from chatlake.sources import documents as docs
 from chatlake.sources.store import CLEAN, EXTRACT, MessageStore
-from chatlake.sources.tables import ChatSource
+from chatlake.sources.tables import ChatSource, take_snapshot
 
 IndexScope = Literal["batch", "conversation"]
 
@@ -27,9 +27,10 @@ def run_extract(source: ChatSource, store: MessageStore) -> int:
     """Extract messages above the mark; returns the number of rows stored.
 
     The new mark is the highest id before the text rules. It is observed while the batch is
-    written; a repeated task cannot change a maximum.
+    written; a repeated task cannot change a maximum. All tables are read as of the start of the run.
     """
     mark = store.mark(EXTRACT)
+    source = take_snapshot(source).of(source)
     seen = Observation()
     considered = candidates(source, after=mark).observe(seen, F.max("message_id").alias("last_id"))
     rows = considered.filter(F.col("text").isNotNull())
@@ -97,6 +98,20 @@ def run_prepare(
     )
 
 
+def run_profile(source: ChatSource) -> dict[str, DataFrame]:
+    """All reports, as of the start of the run.
+
+    Messages are read once, for the facts behind seven reports, and links once. The two reports on single
+    messages read the few columns they order by.
+    """
+    source = take_snapshot(source).of(source)
+    found = profile.reports(source, stored(profile.message_facts(source)), stored(profile.link_facts(source)))
+    return found | {
+        "oldest_conversation": profile.oldest_conversation(source),
+        "recent_messages": profile.recent_messages(source),
+    }
+
+
 @dataclass(frozen=True)
 class Export:
     """Where a full export lies, below one folder."""
@@ -136,8 +151,9 @@ def run_export(
     """Write documents, whole conversations, reply pairs and prompts below `path`.
 
     The flat rows are written first: four outputs read them, and joining and numbering them
-    once costs less than doing it for each.
+    once costs less than doing it for each. All tables are read as of the start of the run.
     """
+    source = take_snapshot(source).of(source)
     spark = source.message.sparkSession
     target = Export(path)
     ex.export_messages(source, min_linked, min_clean, self_role, hot_rows).write.mode(

@@ -471,3 +471,51 @@ ORACLE["job_results"] = CLEANED + f""",
 ORACLE["imported_marks"] = ORACLE["latest_marks"]
 ORACLE["written_metadata"] = ORACLE["dataset_metadata"]
 ORACLE["written_prompts"] = ORACLE["prompt_variants"]
+
+
+def _report_rows(name: str, query: str, *columns: str) -> str:
+    values = [f"{c}::VARCHAR" for c in columns] + ["NULL::VARCHAR"] * (4 - len(columns))
+    shown = ", ".join(f"{value} AS value_{at}" for at, value in enumerate(values, 1))
+    return f"SELECT '{name}' AS report, {shown} FROM ({ORACLE[query]})"
+
+
+ORACLE["profile_in_one_scan"] = " UNION ALL ".join(
+    [
+        _report_rows("basic_counts", "basic_counts", "label", "n"),
+        _report_rows("count_by_service", "by_service", "service", "n"),
+        _report_rows("time_range", "time_range", "first_message", "last_message"),
+        _report_rows("length_stats", "length_stats", "avg_length", "min_length", "max_length", "count_with_text"),
+        _report_rows("messages_by_month", "by_month", "month", "n"),
+        _report_rows("messages_by_hour", "by_hour", "hour", "n"),
+        _report_rows("top_senders", "top_senders", "sender", "n"),
+        _report_rows("top_conversations", "top_conversations", "chat_id", "title", "message_count"),
+        _report_rows("oldest_conversation", "oldest_conversation", "chat_id", "title", "first_message", "message_count"),
+        _report_rows("recent_messages", "recent_messages", "message_id", "sent_at", "sender", "text_sample"),
+        _report_rows("length_histogram", "length_histogram", "bin", "lower_edge", "n"),
+    ]
+)
+ORACLE["snapshot_read"] = ORACLE["extract_messages"]
+
+_COLUMNS = {
+    "message": (
+        "row_id bigint, text string, attributedBody binary, date bigint, is_from_me int, handle_id bigint, "
+        "cache_has_attachments int, cache_roomnames string, service string, is_emote int, is_system_message int"
+    ),
+    "chat": "row_id bigint, room_name string, display_name string",
+    "handle": "row_id bigint, id string",
+    "chat_message_join": "chat_id bigint, message_id bigint",
+}
+_LISTED = ", ".join(
+    f"('{table}', '{name}', '{kind}')"
+    for table, columns in _COLUMNS.items()
+    for name, kind in (column.split() for column in columns.split(", "))
+)
+ORACLE["source_tables"] = SOURCE + f"""
+  listed (table_name, column_name, data_type) AS (VALUES {_LISTED}),
+  sizes AS (
+    SELECT 'message' AS table_name, count(*) AS row_count FROM message UNION ALL
+    SELECT 'chat', count(*) FROM chat UNION ALL
+    SELECT 'handle', count(*) FROM handle UNION ALL
+    SELECT 'chat_message_join', count(*) FROM link
+  )
+  SELECT table_name, column_name, data_type, row_count FROM listed JOIN sizes USING (table_name)"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,20 @@ from chatlake.operators.clean import chat_sizes, clean
 from chatlake.operators.extract import chat_lookup, extract
 from chatlake.operators.keys import duplicate_ids, ids_already_stored
 from chatlake.operators.runs import conversation_runs
-from chatlake.plans.jobs import run_clean, run_export, run_extract, run_from_scratch, run_prepare
-from chatlake.session import require_checkpoint_dir
+from chatlake.plans.jobs import run_clean, run_export, run_extract, run_from_scratch, run_prepare, run_profile
+from chatlake.session import require_checkpoint_dir, stored
 from chatlake.sources.documents import KEEP_NULLS, read_documents
 from chatlake.sources.derived import derived_source, run_marks, with_second_links
 from chatlake.sources.store import MessageStore, decode_legacy_mark, latest_mark, latest_marks
+from chatlake.sources.tables import (
+    SOURCE_SCHEMAS,
+    ChatSource,
+    list_columns,
+    list_tables,
+    read_source,
+    source_from_catalog,
+    take_snapshot,
+)
 
 SEED, VAL_RATIO, MARK = 42, 0.1, 100
 
@@ -85,8 +95,8 @@ def duplicate_key_check(spark, folder):
 def stored_key_check(spark, folder):
     """Ids above the mark that are stored already, when the batch starts below it."""
     source = derived_source(spark, folder)
-    stored = extract(source, after=MARK)
-    return ids_already_stored(extract(source), stored)
+    known = extract(source, after=MARK)
+    return ids_already_stored(extract(source), known)
 
 
 def latest_mark_query(spark, folder):
@@ -396,6 +406,80 @@ def length_histogram(spark, folder):
     return histogram.withColumn("lower_edge", F.round("lower_edge", 6))
 
 
+def profile_in_one_scan(spark, folder):
+    """All reports of a profile run as rows, lengths rounded as in the single reports."""
+    found = run_profile(derived_source(spark, folder))
+    found["length_stats"] = found["length_stats"].withColumn("avg_length", F.round("avg_length", 6))
+    found["length_histogram"] = found["length_histogram"].withColumn("lower_edge", F.round("lower_edge", 6))
+    values = {
+        name: frame.select(F.lit(name).alias("report"), *_as_text(frame)) for name, frame in found.items()
+    }
+    return reduce(DataFrame.unionAll, values.values())
+
+
+def _as_text(frame):
+    """Up to four columns as text; missing ones are null."""
+    names = [*frame.columns, *[None] * (4 - len(frame.columns))]
+    return [
+        (F.col(name).cast("string") if name else F.lit(None).cast("string")).alias(f"value_{at}")
+        for at, name in enumerate(names, 1)
+    ]
+
+
+def _written_source(spark, folder, source) -> str:
+    path = _fresh_folder(spark)
+    _append_source(source, path)
+    return path
+
+
+def _append_source(source, path) -> None:
+    tables = {"message": source.message, "chat": source.chat, "handle": source.handle, "chat_message_join": source.link}
+    for name, frame in tables.items():
+        frame.write.mode("append").parquet(f"{path}/{name}")
+
+
+def _later(source):
+    """The same rows once more under higher ids, as if written later, linked to the same chats and to new ones."""
+    highest = take_snapshot(source)
+    up = {name: max(getattr(highest, name), 0) for name in ("message", "chat", "handle")}
+    message = source.message.withColumn("row_id", F.col("row_id") + up["message"])
+    chat = source.chat.withColumn("row_id", F.col("row_id") + up["chat"])
+    handle = source.handle.withColumn("row_id", F.col("row_id") + up["handle"])
+    moved = source.link.withColumn("message_id", F.col("message_id") + up["message"])
+    new_chats = moved.withColumn("chat_id", F.col("chat_id") + up["chat"])
+    return ChatSource(message, chat, handle, moved.unionByName(new_chats))
+
+
+def snapshot_read(spark, folder):
+    """Messages extracted from files, of which more were written once the snapshot had been taken."""
+    source = derived_source(spark, folder)
+    path = _written_source(spark, folder, source)
+    snapshot = take_snapshot(read_source(spark, path))
+    _append_source(_later(source), path)
+    return _shown(extract(read_source(spark, path, snapshot=snapshot)))
+
+
+def source_tables(spark, folder):
+    """Names, columns and types of source tables in the catalog, and rows read from there."""
+    source, database = derived_source(spark, folder), f"source_{uuid.uuid4().hex[:12]}"
+    path = _written_source(spark, folder, source)
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        for name in SOURCE_SCHEMAS:
+            spark.catalog.createTable(f"{database}.{name}", f"{path}/{name}", "parquet")
+        known = source_from_catalog(spark, database)
+        sizes = {"message": known.message, "chat": known.chat, "handle": known.handle, "chat_message_join": known.link}
+        sizes = [frame.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name)) for name, frame in sizes.items()]
+        columns = [
+            list_columns(spark, f"{database}.{row.table_name}").withColumn("table_name", F.lit(row.table_name))
+            for row in list_tables(spark, database).collect()
+        ]
+        listed = reduce(DataFrame.unionAll, columns)
+        return stored(listed.join(reduce(DataFrame.unionByName, sizes), "table_name"))
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def _report(function):
     return lambda spark, folder: function(derived_source(spark, folder))
 
@@ -459,4 +543,7 @@ QUERIES = {
     "oldest_conversation": _report(profile.oldest_conversation),
     "recent_messages": _report(profile.recent_messages),
     "length_histogram": length_histogram,
+    "profile_in_one_scan": profile_in_one_scan,
+    "snapshot_read": snapshot_read,
+    "source_tables": source_tables,
 }

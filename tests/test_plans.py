@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from chatlake.operators import conversations as cv
 from chatlake.operators import export as ex
 from chatlake.operators import extract as ext
-from chatlake.operators import pairs, split
+from chatlake.operators import pairs, profile, split
 from chatlake.operators.clean import clean
 from chatlake.operators.keys import duplicate_ids
-from chatlake.sources.tables import read_source
+from chatlake.sources.tables import read_source, take_snapshot
 
 
 @contextlib.contextmanager
@@ -194,3 +194,28 @@ def test_messages_without_contact_are_not_shuffled_for_one(spark, derived):
         assert len(contacts) == 300_000
         assert sum(r.contact_id is not None for r in contacts) == 27_272
         assert "handle_id" in plan(found) and "<= 299999" in plan(found)
+
+
+def scans(frame) -> list[str]:
+    """The columns of each scan of the plan."""
+    return re.findall(r"Scan parquet[\s\S]*?ReadSchema: struct<(.*?)>", plan(frame))
+
+
+def test_reports_read_messages_and_links_once(big_source):
+    facts, links = profile.message_facts(big_source), profile.link_facts(big_source)
+    assert len(scans(facts)) == len(scans(links)) == 1
+    assert "attributedBody" not in scans(facts)[0]
+    assert len(shuffles(plan(facts))) == len(shuffles(plan(links))) == 1
+    found = profile.reports(big_source, facts.filter("false"), links.filter("false"))
+    assert len(found) == 9
+
+
+def test_the_histogram_reads_texts_once(big_source):
+    assert len(scans(profile.length_histogram(big_source))) == 1
+
+
+def test_a_snapshot_bounds_every_scan(big_source):
+    bounded = take_snapshot(big_source).of(big_source)
+    text = plan(ext.extract(bounded, after=100))
+    assert "GreaterThan(row_id,100)" in text
+    assert len(re.findall(r"LessThanOrEqual\((?:row_id|message_id|chat_id),\d+\)", text)) >= 4

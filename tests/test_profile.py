@@ -68,3 +68,20 @@ def test_recent_messages(spark):
     assert [r.message_id for r in rows] == [48, 49, 50, 51, 52]
     assert [r.sender for r in rows] == [data.PHONE_A, "Me"] * 2 + [data.PHONE_A]
     assert rows[1].text_sample == "y" * 49 and rows[4].text_sample == "y" * 50 + "..."
+
+
+def test_all_reports_from_facts_equal_the_single_ones(spark):
+    hour = 3600 * 10**9
+    texts = ["a" * 5, "b" * 999, "c" * 1000, "", None, "😀", "a" * 5]
+    dates = [0, None, -5, hour, 25 * hour, 24 * hour * 40, hour]
+    services = [None, "", "A", "A", None, "B", ""]
+    messages = [data.message(n, t, date=d, service=s, own=n % 2, handle=n % 4 or None, media=n % 3)
+                for n, (t, d, s) in enumerate(zip(texts, dates, services))]
+    for rows in (messages, []):
+        source = data.source(spark, rows, [(1, n) for n in range(4)] + [(2, 4), (5, 5)])
+        found = profile.reports(source, profile.message_facts(source), profile.link_facts(source))
+        assert len(found) == 9
+        for name, frame in found.items():
+            single = getattr(profile, name)(source)
+            assert frame.columns == single.columns
+            assert sorted(map(str, frame.collect())) == sorted(map(str, single.collect())), name

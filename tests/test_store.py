@@ -1,8 +1,10 @@
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from chatlake import schemas
+from chatlake.plans.jobs import run_extract
 from chatlake.sources.store import EXTRACT, decode_legacy_mark, latest_mark
 from chatlake.sources.tables import (
     conform,
@@ -11,6 +13,7 @@ from chatlake.sources.tables import (
     read_source,
     source_from_catalog,
     source_from_jdbc,
+    take_snapshot,
 )
 from tests import data
 
@@ -77,10 +80,13 @@ def test_source_from_catalog(spark, tmp_path):
 
 
 class FakeReader:
-    """Stands in for the JDBC reader; answers with the rows of a frame."""
+    """Stands in for the JDBC reader; answers the reader's statements from frames.
 
-    def __init__(self, frames, seen):
-        self.frames, self.seen, self.set = frames, seen, {}
+    `later` are the tables as they are once the bounds have been read.
+    """
+
+    def __init__(self, session):
+        self.session, self.set = session, {}
 
     def format(self, name):
         assert name == "jdbc"
@@ -91,31 +97,125 @@ class FakeReader:
         return self
 
     def load(self):
-        self.seen.append(self.set)
-        query = self.set["dbtable"]
-        table = query.removesuffix(") AS source_rows").rsplit(" ", 1)[1]
-        frame = self.frames[table]
-        if "min(ROWID)" in query:
-            return frame.agg(F.min("row_id").alias("low"), F.max("row_id").alias("high"))
-        return frame
+        session = self.session
+        session.seen.append(self.set)
+        query = self.set["dbtable"].removeprefix("(").removesuffix(") AS source_rows")
+        if query.startswith("SELECT (SELECT min(ROWID)"):
+            ends = {}
+            for table, frame in session.frames.items():
+                ends[f"{table}_min"], ends[f"{table}_max"] = frame.agg(F.min("row_id"), F.max("row_id")).first()
+            assert set(re.findall(r"AS (\w+)", query)) == set(ends)
+            return session.spark.createDataFrame([tuple(ends.values())], ", ".join(f"{n} long" for n in ends))
+        table, where = re.fullmatch(r"SELECT ROWID AS row_id, .* FROM (\w+) WHERE (.*)", query).groups()
+        return session.later[table].withColumn("ROWID_", F.col("row_id")).filter(re.sub("ROWID", "ROWID_", where))
 
 
 class FakeSession:
-    def __init__(self, frames):
-        self.frames, self.seen = frames, []
+    def __init__(self, spark, source, later=None):
+        self.spark, self.seen = spark, []
+        self.frames, self.later = self.tables(source), self.tables(later or source)
+
+    @staticmethod
+    def tables(source):
+        return {"message": source.message, "chat": source.chat, "handle": source.handle,
+                "chat_message_join": source.link.withColumn("row_id", F.col("message_id"))}
 
     @property
     def read(self):
-        return FakeReader(self.frames, self.seen)
+        return FakeReader(self)
+
+
+def grown(spark):
+    """The small source after more was written to each of its tables."""
+    return data.source(
+        spark,
+        [*data.MESSAGES, data.message(30, "written later", handle=3)],
+        [*data.LINKS, (2, 30), (3, 30)],
+        [*data.CHATS, (3, "cellar", "Later")],
+        [*data.HANDLES, (3, "+15550000003")],
+    )
+
+
+def rows(source):
+    return {name: sorted(map(tuple, getattr(source, name).collect())) for name in ("message", "chat", "handle", "link")}
 
 
 def test_jdbc_reads_are_partitioned_on_the_row_number(spark):
-    source = data.source(spark)
-    fake = FakeSession({"message": source.message, "chat": source.chat, "handle": source.handle,
-                        "chat_message_join": source.link.withColumn("row_id", F.col("message_id"))})
+    fake = FakeSession(spark, data.source(spark))
     back = source_from_jdbc(fake, "jdbc:x:y", partitions=5, driver="d")
     assert back.message.count() == 7 and back.link.columns == ["chat_id", "message_id"]
     reads = [options for options in fake.seen if "partitionColumn" in options]
     assert len(reads) == 4
     assert all(r["numPartitions"] == "5" and r["driver"] == "d" for r in reads)
     assert (reads[0]["lowerBound"], reads[0]["upperBound"]) == ("11", "24")
+
+
+def test_jdbc_reads_all_tables_as_of_one_statement(spark):
+    fake = FakeSession(spark, data.source(spark), later=grown(spark))
+    assert rows(source_from_jdbc(fake, "jdbc:x:y")) == rows(data.source(spark))
+    statements = [options["dbtable"] for options in fake.seen]
+    assert len(statements) == 5 and statements[0].count("SELECT") == 9
+    bounds = dict(re.search(r"FROM (\w+) WHERE (.*)\) AS", statement).groups() for statement in statements[1:])
+    assert bounds == {
+        "message": "ROWID <= 24",
+        "chat": "ROWID <= 2",
+        "handle": "ROWID <= 2",
+        "chat_message_join": "ROWID <= 24 AND message_id <= 24 AND chat_id <= 2",
+    }
+
+
+def test_jdbc_reads_above_the_mark_only(spark):
+    fake = FakeSession(spark, data.source(spark))
+    back = source_from_jdbc(fake, "jdbc:x:y", after=16)
+    assert sorted(r.row_id for r in back.message.collect()) == [18, 21, 24]
+    assert sorted(r.message_id for r in back.link.collect()) == [18, 21, 24]
+    message = next(o for o in fake.seen if " FROM message WHERE" in o["dbtable"])
+    assert (message["lowerBound"], message["upperBound"]) == ("17", "24")
+
+
+def test_jdbc_reads_empty_tables(spark):
+    fake = FakeSession(spark, data.source(spark, [], [], [], []), later=grown(spark))
+    assert rows(source_from_jdbc(fake, "jdbc:x:y")) == {"message": [], "chat": [], "handle": [], "link": []}
+
+
+def test_a_snapshot_does_not_change(spark, tmp_path):
+    def add(source):
+        for name, frame in (("message", source.message), ("chat", source.chat),
+                            ("handle", source.handle), ("chat_message_join", source.link)):
+            frame.write.mode("append").parquet(str(tmp_path / name))
+
+    before = data.source(spark)
+    add(before)
+    snapshot = take_snapshot(read_source(spark, str(tmp_path)))
+    assert (snapshot.message, snapshot.chat, snapshot.handle) == (24, 2, 2)
+    add(data.source(spark, [data.message(30, "later", handle=3)], [(2, 30), (3, 30)], [(3, "", "Later")], [(3, "x")]))
+    assert read_source(spark, str(tmp_path)).message.count() == 8
+    again = read_source(spark, str(tmp_path), snapshot=snapshot)
+    assert rows(again) == rows(before)
+    for frame, bound in ((again.message, "LessThanOrEqual(row_id,24)"), (again.link, "LessThanOrEqual(message_id,24)"),
+                         (again.chat, "LessThanOrEqual(row_id,2)"), (again.handle, "LessThanOrEqual(row_id,2)")):
+        assert bound in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_snapshot_of_nothing_is_empty(spark):
+    empty = data.source(spark, [], [], [], [])
+    assert rows(take_snapshot(empty).of(grown(spark))) == {"message": [], "chat": [], "handle": [], "link": []}
+
+
+def test_a_run_sees_the_source_as_it_was_at_its_start(spark, store, tmp_path):
+    """Rows that arrive once the run has begun wait for the next run."""
+    now, calls = data.source(spark), []
+
+    class Growing:
+        """Shows more messages after the snapshot's query."""
+
+        chat, handle, link = now.chat, now.handle, grown(spark).link
+
+        @property
+        def message(self):
+            calls.append(1)
+            return now.message if len(calls) == 1 else grown(spark).message
+
+    assert run_extract(Growing(), store) == 3
+    assert store.mark(EXTRACT) == 21
+    assert run_extract(grown(spark).__class__(grown(spark).message, now.chat, now.handle, grown(spark).link.filter("chat_id < 3")), store) == 1
