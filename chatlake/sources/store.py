@@ -9,7 +9,6 @@ failed one; until it is committed, what was committed before stays as it is.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +16,13 @@ from pyspark.sql import functions as F
 
 from chatlake import schemas
 from chatlake.operators.clean import chat_sizes
-from chatlake.operators.keys import DuplicateMessageError, duplicate_ids, ids_already_stored
+from chatlake.operators.keys import (
+    DuplicateMessageError,
+    duplicate_ids,
+    id_runs,
+    ids_already_stored,
+    in_runs,
+)
 
 EXTRACT = "extract"
 CLEAN = "clean"
@@ -35,14 +40,14 @@ STAGES = {
     CLEAN: Stage(CLEAN, "cleaned_messages"),
     WAIT: Stage(WAIT, "waiting_messages"),
 }
-_SIZES = "chat_sizes"
+_TOTALS = "chat_totals"
 #: The batch of a mark that was taken over from elsewhere; it has no rows.
 _IMPORTED = -1
 _TABLE_SCHEMAS = {
     "messages": schemas.EXTRACTED,
     "cleaned_messages": schemas.CLEANED,
     "waiting_messages": schemas.MESSAGE,
-    _SIZES: schemas.CHAT_SIZES,
+    _TOTALS: schemas.CHAT_SIZES,
 }
 
 
@@ -118,7 +123,7 @@ class MessageStore:
                 f"DROP IF EXISTS PARTITION (stage = '{stage.name}')"
             )
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(stage.table)}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(_SIZES)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(_TOTALS)}")
         self.create()
 
     def _table(self, table: str) -> DataFrame:
@@ -166,13 +171,24 @@ class MessageStore:
         return table.join(valid, ["batch_id", "attempt"], "left_semi").drop("attempt")
 
     def sizes_before(self, batch_id: int) -> DataFrame:
-        """`chat_sizes` of the committed cleaned batches other than this one.
+        """Cleaned rows of each chat in the committed batches other than this one.
 
-        Kept beside the messages, so that going on with an index reads one row per chat and
-        batch and not all that was ever cleaned.
+        Each batch leaves the totals as they are after it, so going on with an index reads one row
+        for each chat, however many batches there were.
         """
-        table = self._table(_SIZES).filter(F.col("batch_id") != batch_id)
-        return self._committed(table, CLEAN)
+        found = self._newest_batches(CLEAN, 1, but=batch_id)
+        is_last = F.lit(False)
+        for row in found:
+            is_last = (F.col("batch_id") == row["batch_id"]) & (F.col("attempt") == row["attempt"])
+        return self._table(_TOTALS).filter(is_last).drop("batch_id", "attempt")
+
+    def _newest_batches(self, stage: str, count: int, but: int | None = None) -> list:
+        """Ids and attempts of the batches committed last."""
+        batches = self.progress(stage).filter(F.col("batch_id") != _IMPORTED)
+        if but is not None:
+            batches = batches.filter(F.col("batch_id") != but)
+        newest = batches.orderBy(F.desc("updated_at"), F.desc("attempt"))
+        return newest.limit(count).select("batch_id", "attempt").collect()
 
     def write_batch(self, stage: str, rows: DataFrame, batch_id: int) -> str:
         """Write an attempt at a batch, check its keys and return the attempt's name."""
@@ -182,8 +198,10 @@ class MessageStore:
         self._write(STAGES[stage].table, ordered, batch_id, attempt)
         self._check_keys(stage, batch_id, attempt)
         if stage == CLEAN:
-            sizes = chat_sizes(self.read_batch(CLEAN, batch_id, attempt))
-            self._write(_SIZES, sizes, batch_id, attempt)
+            own = chat_sizes(self.read_batch(CLEAN, batch_id, attempt))
+            totals = own.unionByName(self.sizes_before(batch_id)).groupBy("chat_id")
+            summed = totals.agg(F.sum("message_count").alias("message_count"))
+            self._write(_TOTALS, summed, batch_id, attempt)
         return attempt
 
     def _write(self, table, rows, batch_id, attempt):
@@ -208,35 +226,48 @@ class MessageStore:
         row_count = self.read_batch(WAIT, batch_id, attempt).count()
         self.commit(WAIT, batch_id, attempt, 0, row_count)
         # The batch before stays, for a replay of this one.
-        self._drop_partitions(STAGES[WAIT].table, lambda batch, _: batch < batch_id - 1)
+        for older in self._newest_batches(WAIT, 3)[2:]:
+            self.drop_attempt(WAIT, older["batch_id"], older["attempt"])
 
     def _check_keys(self, stage, batch_id, attempt):
         batch = self.read_batch(stage, batch_id, attempt)
-        span = batch.agg(F.min("message_id"), F.max("message_id")).first()
-        if span[0] is None:
-            return
-        # Literal bounds, so that stored files outside the batch's range are not opened.
-        others = self.read(stage, after=span[0] - 1).filter(
-            (F.col("batch_id") != batch_id) & F.col("message_id").between(*span)
-        )
         repeated = duplicate_ids(batch).select("message_id").limit(5)
-        known = ids_already_stored(batch, others).limit(5)
+        known = ids_already_stored(batch, self._stored_near(stage, batch, batch_id)).limit(5)
         found = [row["message_id"] for row in repeated.union(known).take(5)]
         if found:
             self.drop_attempt(stage, batch_id, attempt)
             raise DuplicateMessageError(f"message ids repeated in {stage} batch: {found}")
 
+    def _stored_near(self, stage: str, ids: DataFrame, batch_id: int) -> DataFrame:
+        """Rows of other batches whose ids lie in the runs of the given ids.
+
+        The runs are literals, so a late low id opens the stored files around it, and not all between it and
+        the others.
+        """
+        runs = id_runs(ids)
+        others = self.read(stage, after=runs[0][0] - 1 if runs else None)
+        return others.filter((F.col("batch_id") != batch_id) & in_runs(F.col("message_id"), runs))
+
     def drop_attempt(self, stage: str, batch_id: int, attempt: str) -> None:
-        self._drop_partitions(STAGES[stage].table, lambda *found: found == (batch_id, attempt))
+        for table in self._tables(stage):
+            self._drop_partition(table, batch_id, attempt)
 
-    def _drop_partitions(self, table: str, unwanted: Callable[[int, str], bool]) -> None:
-        for row in self.spark.sql(f"SHOW PARTITIONS {self._name(table)}").collect():
-            batch, attempt = (part.split("=")[1] for part in row["partition"].split("/"))
-            if unwanted(int(batch), attempt):
-                self.spark.sql(
-                    f"ALTER TABLE {self._name(table)} "
-                    f"DROP IF EXISTS PARTITION (batch_id = {batch}, attempt = '{attempt}')"
-                )
+    def _tables(self, stage: str) -> tuple[str, ...]:
+        return (STAGES[stage].table, _TOTALS) if stage == CLEAN else (STAGES[stage].table,)
+
+    def _drop_partition(self, table: str, batch_id: int, attempt: str) -> None:
+        self.spark.sql(
+            f"ALTER TABLE {self._name(table)} "
+            f"DROP IF EXISTS PARTITION (batch_id = {int(batch_id)}, attempt = '{attempt}')"
+        )
+
+    def _drop_other_attempts(self, table: str, batch_id: int, attempt: str) -> None:
+        """Drop what earlier attempts at a batch left; only the batch's own partitions are listed."""
+        found = self.spark.sql(f"SHOW PARTITIONS {self._name(table)} PARTITION (batch_id = {int(batch_id)})")
+        for row in found.collect():
+            other = row["partition"].rsplit("=", 1)[1]
+            if other != attempt:
+                self._drop_partition(table, batch_id, other)
 
     def batch_summary(self, stage: str, batch_id: int, attempt: str) -> tuple[int, int | None]:
         """Rows and highest id of a written attempt."""
@@ -260,5 +291,9 @@ class MessageStore:
             F.lit(stage).alias("stage"),
         )
         row.write.insertInto(f"{self.database}.progress")
-        for table in (STAGES[stage].table, *([_SIZES] if stage == CLEAN else [])):
-            self._drop_partitions(table, lambda batch, other: batch == batch_id and other != attempt)
+        for table in self._tables(stage) if batch_id != _IMPORTED else ():
+            self._drop_other_attempts(table, batch_id, attempt)
+        if stage == CLEAN:
+            # The totals before this batch stay, for a replay of it.
+            for older in self._newest_batches(CLEAN, 3)[2:]:
+                self._drop_partition(_TOTALS, older["batch_id"], older["attempt"])

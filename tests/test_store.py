@@ -1,11 +1,14 @@
 import re
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from chatlake import schemas
 from chatlake.plans.jobs import run_extract
-from chatlake.sources.store import EXTRACT, decode_legacy_mark, latest_mark
+from chatlake.operators.clean import clean
+from chatlake.operators.keys import DuplicateMessageError, id_runs
+from chatlake.sources.store import CLEAN, EXTRACT, decode_legacy_mark, latest_mark
 from chatlake.sources.tables import (
     conform,
     list_columns,
@@ -21,7 +24,7 @@ from tests import data
 def test_create_makes_tables_with_exact_columns(spark, store):
     store.create()
     names = {r.table_name for r in list_tables(spark, store.database).collect()}
-    assert names == {"messages", "cleaned_messages", "waiting_messages", "chat_sizes", "progress"}
+    assert names == {"messages", "cleaned_messages", "waiting_messages", "chat_totals", "progress"}
     columns = {r.column_name for r in
                list_columns(spark, f"{store.database}.messages").collect()}
     assert columns - {"batch_id", "attempt"} == set(schemas.EXTRACTED.fieldNames())
@@ -219,3 +222,74 @@ def test_a_run_sees_the_source_as_it_was_at_its_start(spark, store, tmp_path):
     assert run_extract(Growing(), store) == 3
     assert store.mark(EXTRACT) == 21
     assert run_extract(grown(spark).__class__(grown(spark).message, now.chat, now.handle, grown(spark).link.filter("chat_id < 3")), store) == 1
+
+
+def commit(store, stage, ids, batch_id):
+    rows = data.extracted(store.spark, [data.extracted_row(n, 1 + n % 3, f"text {n}") for n in ids])
+    if stage == CLEAN:
+        rows = clean(rows)
+    attempt = store.write_batch(stage, rows, batch_id)
+    store.commit(stage, batch_id, attempt, max(ids), len(ids))
+    return attempt
+
+
+def rows_read(frame, table):
+    """Rows that the scan of a stored table gives to what follows it."""
+    spark = frame.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = frame.select("*")._jdf.queryExecution()
+        execution.toRdd().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    leaves = execution.executedPlan().collectLeaves()
+    scans = [leaves.apply(at) for at in range(leaves.size())]
+    found = [scan.metrics().apply("numOutputRows").value() for scan in scans if f".{table}" in scan.toString()]
+    assert len(found) == 1
+    return found[0]
+
+
+def test_a_late_id_opens_only_the_files_around_it(spark, store):
+    for number in range(8):
+        commit(store, EXTRACT, range(1000 * number + 2, 1000 * number + 102), 1000 * number)
+    batch = data.extracted(spark, [data.extracted_row(n, 1, "x") for n in [1005, *range(9000, 9100)]])
+    near = store._stored_near(EXTRACT, batch, 9000)
+    assert rows_read(near.select("message_id", "batch_id"), "messages") <= 100
+    with pytest.raises(DuplicateMessageError):
+        store.write_batch(EXTRACT, batch, 9000)
+    assert store.read(EXTRACT).count() == 800
+    commit(store, EXTRACT, [1, *range(9000, 9100)], 9000)
+    assert store.read(EXTRACT).count() == 901
+
+
+@pytest.mark.parametrize("ids", [[], [7], [1, 2, 3], [5, 10**12], list(range(0, 10**9, 10**6)), [-(2**62), 0, 2**62 - 1]])
+def test_runs_hold_all_ids(spark, ids):
+    runs = id_runs(spark.createDataFrame([(n,) for n in ids], "message_id long"), most=8)
+    assert len(runs) <= 8 and all(any(low <= n <= high for low, high in runs) for n in ids)
+    assert all(low in ids and high in ids for low, high in runs)
+    assert all(before[1] < after[0] for before, after in zip(runs, runs[1:]))
+
+
+def test_totals_are_one_row_for_each_chat(spark, store):
+    for number in range(5):
+        commit(store, CLEAN, range(10 * number + 1, 10 * number + 10), 10 * number)
+    totals = {r.chat_id: r.message_count for r in store.sizes_before(50).collect()}
+    assert totals == {1: 15, 2: 15, 3: 15}
+    assert store.sizes_before(50).count() == 3
+    assert rows_read(store.sizes_before(50), "chat_totals") == 3
+    # A replay of the last batch goes on from the totals before it.
+    assert sum(r.message_count for r in store.sizes_before(40).collect()) == 36
+    commit(store, CLEAN, range(41, 50), 40)
+    assert sum(r.message_count for r in store.sizes_before(50).collect()) == 45
+    stored = spark.sql(f"SHOW PARTITIONS {store.database}.chat_totals").collect()
+    assert {r.partition.split("/")[0] for r in stored} == {"batch_id=30", "batch_id=40"}
+    assert len(stored) == 2
+
+
+def test_attempts_that_died_go_with_the_commit(spark, store):
+    rows = data.extracted(spark, [data.extracted_row(1, 1, "x")])
+    store.write_batch(EXTRACT, rows, 0)
+    store.write_batch(EXTRACT, rows, 5)
+    kept = commit(store, EXTRACT, [1], 0)
+    names = {r.partition for r in spark.sql(f"SHOW PARTITIONS {store.database}.messages").collect()}
+    assert len(names) == 2 and f"batch_id=0/attempt={kept}" in names
