@@ -31,6 +31,8 @@ MESSAGE = _schema(
     is_emote=IntegerType(),
     is_system_message=IntegerType(),
 )
+# A message whose link names a chat that is not listed yet.
+WAITING = StructType([*MESSAGE.fields, StructField("chat_id", LongType())])
 CHAT = _schema(row_id=LongType(), room_name=StringType(), display_name=StringType())
 HANDLE = _schema(row_id=LongType(), id=StringType())
 LINK = _schema(chat_id=LongType(), message_id=LongType())

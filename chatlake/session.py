@@ -25,6 +25,10 @@ def build_session(app: str = "chatlake", master: str | None = None, **settings:
         # even when it costs the next operator a shuffle.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # Join state of the stream on the executors' disks instead of in their heaps.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
     }
     overrides = {name.replace("_", "."): value for name, value in settings.items()}
     for name, value in {**defaults, **overrides}.items():

@@ -27,6 +27,7 @@ from chatlake.operators.keys import (
 EXTRACT = "extract"
 CLEAN = "clean"
 WAIT = "wait"
+UNLINKED = "unlinked"
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,7 @@ STAGES = {
     EXTRACT: Stage(EXTRACT, "messages"),
     CLEAN: Stage(CLEAN, "cleaned_messages"),
     WAIT: Stage(WAIT, "waiting_messages"),
+    UNLINKED: Stage(UNLINKED, "unlinked_messages"),
 }
 _TOTALS = "chat_totals"
 #: The batch of a mark that was taken over from elsewhere; it has no rows.
@@ -46,7 +48,8 @@ _IMPORTED = -1
 _TABLE_SCHEMAS = {
     "messages": schemas.EXTRACTED,
     "cleaned_messages": schemas.CLEANED,
-    "waiting_messages": schemas.MESSAGE,
+    "waiting_messages": schemas.WAITING,
+    "unlinked_messages": schemas.MESSAGE,
     _TOTALS: schemas.CHAT_SIZES,
 }
 
@@ -213,22 +216,40 @@ class MessageStore:
         )
 
     def waiting_before(self, batch_id: int) -> DataFrame:
-        """Messages that had no chat when the last batch before this one was committed."""
-        earlier = self.progress(WAIT).filter(F.col("batch_id") < batch_id)
-        last = earlier.agg(F.max_by(F.struct("batch_id", "attempt"), "batch_id").alias("_"))
-        found = last.select("_.*").first()
+        """Messages whose chat was not listed when the last batch before this one was committed."""
+        found = self._last_waiting(batch_id)
         return self.read_batch(WAIT, found["batch_id"] or 0, found["attempt"] or "").drop("batch_id")
 
+    def _last_waiting(self, batch_id: int):
+        earlier = self.progress(WAIT).filter(F.col("batch_id") < batch_id)
+        last = F.max_by(F.struct("batch_id", "attempt", "row_count"), "batch_id")
+        return earlier.agg(last.alias("_")).select("_.*").first()
+
     def replace_waiting(self, messages: DataFrame, batch_id: int) -> None:
-        """Keep `messages` for the next batch, instead of those that were kept before."""
-        attempt = uuid.uuid4().hex
-        self._write(STAGES[WAIT].table, messages, batch_id, attempt)
-        row_count = self.read_batch(WAIT, batch_id, attempt).count()
-        self.commit(WAIT, batch_id, attempt, 0, row_count)
+        """Keep `messages` for the next batch, instead of those that were kept before.
+
+        Nothing is written while there is nothing to keep.
+        """
+        replayed = not self.progress(WAIT).filter(F.col("batch_id") == batch_id).isEmpty()
+        if not replayed and not self._last_waiting(batch_id)["row_count"] and messages.isEmpty():
+            return
+        self._replace(WAIT, messages, batch_id)
         # The batch before stays, for a replay of this one.
         for older in self._newest_batches(WAIT, 3)[2:]:
             self.drop_attempt(WAIT, older["batch_id"], older["attempt"])
 
+    def add_unlinked(self, messages: DataFrame, batch_id: int) -> None:
+        """Keep messages of a batch that got no link in time."""
+        replayed = not self.progress(UNLINKED).filter(F.col("batch_id") == batch_id).isEmpty()
+        if replayed or not messages.isEmpty():
+            self._replace(UNLINKED, messages, batch_id)
+
+    def _replace(self, stage: str, messages: DataFrame, batch_id: int) -> None:
+        attempt = uuid.uuid4().hex
+        self._write(STAGES[stage].table, messages, batch_id, attempt)
+        row_count = self.read_batch(stage, batch_id, attempt).count()
+        self.commit(stage, batch_id, attempt, 0, row_count)
+
     def _check_keys(self, stage, batch_id, attempt):
         batch = self.read_batch(stage, batch_id, attempt)
         repeated = duplicate_ids(batch).select("message_id").limit(5)

@@ -24,7 +24,8 @@ from tests import data
 def test_create_makes_tables_with_exact_columns(spark, store):
     store.create()
     names = {r.table_name for r in list_tables(spark, store.database).collect()}
-    assert names == {"messages", "cleaned_messages", "waiting_messages", "chat_totals", "progress"}
+    assert names == {"messages", "cleaned_messages", "waiting_messages", "unlinked_messages",
+                     "chat_totals", "progress"}
     columns = {r.column_name for r in
                list_columns(spark, f"{store.database}.messages").collect()}
     assert columns - {"batch_id", "attempt"} == set(schemas.EXTRACTED.fieldNames())
