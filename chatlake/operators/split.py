@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chatlake.session import stored
+
 BUCKET_DIGITS = 4  # leading hex digits of the hash: 65,536 buckets
 
 
@@ -79,6 +81,15 @@ def assign_split(
     return rows.withColumn("split", split_label(boundary, seed, identifier))
 
 
+def split_once(
+    ids: DataFrame, val_ratio: float = 0.1, seed: int = 42, identifier: str = "conversation_id"
+) -> DataFrame:
+    """`ids`, each once, with `split`. They are stored, so that what they come from is computed once and
+    the counts, the cut and the labels all read one narrow table."""
+    ids = stored(ids)
+    return assign_split(ids, ids, val_ratio, seed, identifier)
+
+
 def split_sizes(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("split").agg(F.count(F.lit(1)).alias("examples"))
 

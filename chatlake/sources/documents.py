@@ -57,7 +57,9 @@ def write_conversations(
     dealt = messages.repartition("chat_id") if by_range is None else by_range
     kept = [partition] if partition else []
     ordered = dealt.sortWithinPartitions(*kept, *order, "chat_id", "position")
-    writer = ordered.select(*kept, fragment).write.mode("overwrite").option("lineSep", " ")
+    # A line must not be cut between files, whatever the session says.
+    options = {"lineSep": " ", "maxRecordsPerFile": "0"}
+    writer = ordered.select(*kept, fragment).write.mode("overwrite").options(**options)
     (writer.partitionBy(partition) if partition else writer).text(path)
 
 

@@ -180,11 +180,11 @@ _EXPORT_CHAT = (
 )
 
 
-def _pairs(rows: str) -> str:
+def _pairs(rows: str, system: str = _SYSTEM) -> str:
     return f"""
     SELECT chat_id, message_index - 1 AS message_index,
       to_json(struct_pack(messages :=
-        [{_SYSTEM}]
+        [{system}]
         || CASE WHEN r2 = 'self' AND r3 = 'friend' THEN
              [struct_pack(role := 'user', content := c3),
               struct_pack(role := 'assistant', content := c2)]
@@ -193,7 +193,7 @@ def _pairs(rows: str) -> str:
             struct_pack(role := 'assistant', content := content)]
       ))::VARCHAR AS pair
     FROM (
-      SELECT chat_id, message_index, role, content,
+      SELECT *,
         lag(role, 1) OVER w AS r1, lag(content, 1) OVER w AS c1,
         lag(role, 2) OVER w AS r2, lag(content, 2) OVER w AS c2,
         lag(role, 3) OVER w AS r3, lag(content, 3) OVER w AS c3
@@ -519,3 +519,16 @@ ORACLE["source_tables"] = SOURCE + f"""
     SELECT 'chat_message_join', count(*) FROM link
   )
   SELECT table_name, column_name, data_type, row_count FROM listed JOIN sizes USING (table_name)"""
+
+_STYLED = _STYLE + f", rendered AS (SELECT {_PROMPT} AS prompt FROM style) "
+_STYLED_SYSTEM = "struct_pack(role := 'system', content := prompt)"
+ORACLE["written_conversations"] = _STYLED + f"""
+  SELECT 'conversation_' || chat_id::VARCHAR AS id,
+    to_json(struct_pack(id := 'conversation_' || chat_id::VARCHAR, messages :=
+      [any_value({_STYLED_SYSTEM})] || list({_EXPORT_CHAT} ORDER BY message_index)))::VARCHAR AS example
+  FROM exported CROSS JOIN rendered GROUP BY chat_id"""
+ORACLE["written_pairs"] = _STYLED + (
+    f"SELECT pair FROM ({_pairs('(SELECT * FROM exported CROSS JOIN rendered)', _STYLED_SYSTEM)})"
+)
+ORACLE["stored_id_order"] = EXTRACTED + "SELECT count(*) AS messages, 0 AS out_of_order FROM extracted"
+ORACLE["streamed_messages"] = ORACLE["extract_messages"]

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chatlake.functions import text as tx
 from chatlake.functions.clock import clock_text
@@ -32,6 +33,7 @@ from chatlake.sources.tables import (
     source_from_catalog,
     take_snapshot,
 )
+from chatlake.streaming import available_now
 
 SEED, VAL_RATIO, MARK = 42, 0.1, 100
 
@@ -184,7 +186,7 @@ def training_examples_in_parts(spark, folder):
 
 def _labelled_ids(spark, folder):
     sizes = cv.conversation_sizes(_cleaned(spark, folder)).filter(F.col("message_count") >= 3)
-    return split.assign_split(sizes, sizes, VAL_RATIO, SEED)
+    return split.split_once(sizes, VAL_RATIO, SEED)
 
 
 def train_val_split(spark, folder):
@@ -196,7 +198,7 @@ def split_sizes(spark, folder):
 
 
 def dataset_metadata(spark, folder):
-    sizes = cv.conversation_sizes(_cleaned(spark, folder))
+    sizes = stored(cv.conversation_sizes(_cleaned(spark, folder)))
     return split.dataset_metadata(sizes, 3, VAL_RATIO, SEED)
 
 
@@ -346,6 +348,52 @@ def written_prompts(spark, folder):
     return spark.read.schema("variant int, prompt string").json(target.prompts)
 
 
+def written_conversations(spark, folder):
+    """The file of whole conversations as the export writes it, read back."""
+    target = run_export(derived_source(spark, folder), _fresh_folder(spark))
+    kind = "id string, messages array<struct<role: string, content: string>>"
+    lines = spark.read.text(target.full_conversations).filter("trim(value) <> ''")
+    example = F.from_json("value", kind)
+    return lines.select(example["id"].alias("id"), F.to_json(example).alias("example"))
+
+
+def written_pairs(spark, folder):
+    """The file of reply pairs as the export writes it, read back."""
+    target = run_export(derived_source(spark, folder), _fresh_folder(spark))
+    return spark.read.text(target.message_pairs).filter("trim(value) <> ''").select(F.col("value").alias("pair"))
+
+
+def stored_id_order(spark, folder):
+    """Stored messages, and how many of them follow a higher id in their file."""
+    table = f"{_stored_twice(spark, folder).database}.messages"
+    messages = spark.table(table).select("message_id", "_metadata.file_path", "_metadata.row_index")
+    before = F.lag("message_id").over(Window.partitionBy("file_path").orderBy("row_index"))
+    return messages.select("message_id", before.alias("before")).agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if(F.col("before") > F.col("message_id")).alias("out_of_order")
+    )
+
+
+def _parts(frame, path, *order):
+    """Two files, the rows in order of the columns and one file after the other."""
+    halves = frame.withColumn("half", F.ntile(2).over(Window.orderBy(*order)))
+    for half in (1, 2):
+        halves.filter(F.col("half") == half).drop("half").coalesce(1).write.mode("append").parquet(path)
+
+
+def streamed_messages(spark, folder):
+    """Messages that the stream extracted, from files in which half of the links come early and half late."""
+    source, path, store = derived_source(spark, folder), _fresh_folder(spark), _fresh_store(spark)
+    _parts(source.message, f"{path}/message", "row_id")
+    _parts(source.link, f"{path}/chat_message_join", F.desc("message_id"))
+    streams = [
+        spark.readStream.schema(SOURCE_SCHEMAS[name]).option("maxFilesPerTrigger", 1).parquet(f"{path}/{name}")
+        for name in ("message", "chat_message_join")
+    ]
+    query = available_now.start(*streams, lambda: derived_source(spark, folder), store, f"{path}/checkpoint")
+    query.awaitTermination()
+    return _shown(store.read("extract")).drop("batch_id")
+
+
 def full_conversations(spark, folder):
     source = derived_source(spark, folder)
     documents = ex.export_conversations(ex.export_messages(source), source.chat)
@@ -546,4 +594,8 @@ QUERIES = {
     "profile_in_one_scan": profile_in_one_scan,
     "snapshot_read": snapshot_read,
     "source_tables": source_tables,
+    "written_conversations": written_conversations,
+    "written_pairs": written_pairs,
+    "stored_id_order": stored_id_order,
+    "streamed_messages": streamed_messages,
 }

@@ -219,3 +219,10 @@ def test_a_snapshot_bounds_every_scan(big_source):
     text = plan(ext.extract(bounded, after=100))
     assert "GreaterThan(row_id,100)" in text
     assert len(re.findall(r"LessThanOrEqual\((?:row_id|message_id|chat_id),\d+\)", text)) >= 4
+
+
+def test_a_split_computes_its_ids_once(big_source):
+    sizes = cv.conversation_sizes(clean(ext.extract(big_source), sizes=big_source.link))
+    found = split.split_once(sizes)
+    assert all("text" not in columns for columns in scans(found))
+    assert {len(columns.split(",")) for columns in scans(found)} <= {1, 2}
