@@ -21,7 +21,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from chatlake.llm.common import discard, id_text, stored
 
-#: Documents that the scorer is trained on, about: those whose hash is in so large a part of its range.
+#: Distinct texts that the scorer is trained on at most: those with the smallest hashes.
 SAMPLE = 4096
 BUCKET_BITS = 15
 GRAM = 4
@@ -197,12 +197,14 @@ def voted(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
-    """Count votes over all documents, estimate, and train on about `sample` of them."""
+    """Count votes over all documents, estimate, and train on `sample` distinct texts, or all there are.
+
+    Copies of a text are one text here, whatever their number and ids.
+    """
     counts = stored(voted(docs).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")))
     patterns = {r["pattern"]: r["n"] for r in counts.collect()}
     discard(counts)
     posterior = estimate(patterns)
-    total = sum(patterns.values())
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
@@ -215,9 +217,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
             kinds = [pa.binary(), pa.binary(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["b", "v", "y"])
 
-    # A filter where documents are read: nothing is sorted, and only features leave the tasks.
-    last = (1 << 63) - 1 if total <= sample else int(sample / total * (1 << 64)) - (1 << 63)
-    chosen = id_text(docs).filter(F.xxhash64(F.lit("sample"), "doc_id", "text") <= F.lit(last))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    hashed = id_text(docs).select(text.alias("text"), F.xxhash64(F.lit("sample"), text).alias("h"))
+    last = hashed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    chosen = hashed.filter(F.col("h") <= F.lit(last)).groupBy("h").agg(F.min("text").alias("text"))
     rows = chosen.mapInArrow(batches, "b binary, v binary, y double").collect()
     return train(
         [
