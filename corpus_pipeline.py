@@ -14,23 +14,30 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the quality classifier rejects."""
+    """Drop the documents that the quality classifier rejects; the others keep all their columns."""
     from chatlake.llm.quality import judged
 
-    return judged(docs).filter("kept").select(*docs.columns)
+    # Packed, so that no column can have the name of one of the operator's.
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_document"))
+    return judged(rows).filter("kept").select("_document.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of SimHash near-duplicates, on shingles
-    of five words and a similarity of 0.8.
+    """Keep one document of each group of SimHash near-duplicates, with the operator's shingles and bit distance.
 
-    Documents without an id cannot be told apart and stay.
+    Groups are of rows: of those that repeat an id each is judged by its own text. The row with the smallest id
+    stays, a row without an id only if none of its group has one, and one of rows that are equal.
     """
     from chatlake.llm.simhash import near_duplicates
 
-    found = near_duplicates(docs, shingle=5, similarity=0.8, width=4)
-    gone = stored(found.filter("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # Stored, so that a row has the same number for every reader.
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("_document")))
+    numbered = rows.select(F.col("row").alias("doc_id"), F.col("_document")["text"].alias("text"))
+    found = near_duplicates(numbered).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    own_id = F.col("_document")["doc_id"]
+    ordered = rows.select("row", F.struct(own_id.isNull(), own_id.alias("doc_id"), "row").alias("order"))
+    kept = ordered.join(found, "row").groupBy("group").agg(F.min("order").alias("first"))
+    return rows.join(kept.select(F.col("first")["row"].alias("row")), "row", "left_semi").select("_document.*")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
