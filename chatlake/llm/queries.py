@@ -138,5 +138,35 @@ LLM_QUERIES = {
     "op13_alignment": op13_alignment,
 }
 
+#: Every pair of a label by its cosine, and what can be reached over the links.
+_COSINES = """
+WITH RECURSIVE entries AS (
+  SELECT row_number() OVER () AS row, vec_id, label,
+    CASE WHEN len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      THEN embedding::DOUBLE[] END AS e
+  FROM embeddings
+),
+usable AS (
+  SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM entries
+  WHERE label IS NOT NULL AND len(e) > 0 AND list_dot_product(e, e) > 0
+),
+links AS (
+  SELECT a.row AS x, b.row AS y FROM usable a JOIN usable b
+  ON a.label = b.label AND a.row <> b.row AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+),
+reached AS (
+  SELECT row AS node, row AS start FROM entries
+  UNION
+  SELECT links.y, reached.start FROM reached JOIN links ON links.x = reached.node
+),
+least AS (
+  SELECT reached.start AS row, min(entries.vec_id) AS component_id
+  FROM reached JOIN entries ON entries.row = reached.node GROUP BY reached.start
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.x = entries.row) AS n_links, component_id,
+  vec_id = component_id AS kept
+FROM entries JOIN least USING (row)"""
+
 #: SQL for the queries that it can express on whole tables.
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {"op3_pq": _COSINES}

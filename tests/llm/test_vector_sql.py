@@ -1,0 +1,30 @@
+"""Near-duplicate vectors against the registered SQL, on a table that has links."""
+
+from __future__ import annotations
+
+import numpy as np
+
+import __spark_entry__ as contract
+from checks.compare import difference, duck
+
+
+def test_planted_links_equal_sql(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = []
+    for n in range(2400):
+        label = 0 if n % 3 == 0 else int(rng.integers(1, 400))  # one label holds a third
+        rows.append((n, rng.normal(size=16), label))
+    for n in range(2400, 3000):  # near copies, at cosines about the limit, in chains and in groups
+        _, source, label = rows[int(rng.integers(0, 60)) * 3 if n % 2 else int(rng.integers(0, len(rows)))]
+        rows.append((n, source + rng.normal(size=16) * rng.choice([0.01, 0.25, 0.38, 0.45]) * np.linalg.norm(source) / 4, label))
+    rows = [(n, [float(c) for c in v], k) for n, v, k in rows]
+    rows += [(3000, None, 1), (3001, [], 1), (3002, [0.0] * 16, 1), (3003, [float("nan")] * 16, 1), (3004, [None] * 16, 1)]
+    rows += [(3005, rows[0][1], None), (3006, rows[0][1], 0), (3006, rows[0][1], 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    table.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    (part,) = (tmp_path / "embeddings.parquet").glob("*.parquet")
+    connection = duck(str(tmp_path / "none"))
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{part}')")
+    found = contract.queries()["op3_pq"](spark, str(tmp_path))
+    assert found.filter("n_links > 0").count() > 500
+    assert difference(found, contract.oracle_sql()["op3_pq"], connection) is None
