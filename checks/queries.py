@@ -20,7 +20,7 @@ from chatlake.operators.extract import chat_lookup, extract
 from chatlake.operators.keys import duplicate_ids, ids_already_stored
 from chatlake.operators.runs import conversation_runs
 from chatlake.plans.jobs import run_clean, run_export, run_extract, run_from_scratch, run_prepare, run_profile
-from chatlake.session import require_checkpoint_dir, stored
+from chatlake.session import delete_folder, require_checkpoint_dir, stored
 from chatlake.sources.documents import KEEP_NULLS, read_documents
 from chatlake.sources.derived import derived_source, run_marks, with_second_links
 from chatlake.sources.store import MessageStore, decode_legacy_mark, latest_mark, latest_marks
@@ -252,6 +252,14 @@ def _fresh_store(spark) -> MessageStore:
     return store
 
 
+def _taken_from(store: MessageStore, rows: DataFrame) -> DataFrame:
+    """Rows of a store that is not needed any more; its database and files go."""
+    kept = stored(rows)
+    store.spark.sql(f"DROP DATABASE {store.database} CASCADE")
+    delete_folder(store.spark, store.location)
+    return kept
+
+
 def _first_half(source):
     half = source.message.selectExpr("max(row_id) div 2").first()[0] or 0
     return replace(source, message=source.message.filter(F.col("row_id") <= half))
@@ -268,31 +276,32 @@ def _stored_twice(spark, folder, index_scope="conversation") -> MessageStore:
 
 
 def stored_messages_two_runs(spark, folder):
-    return _shown(_stored_twice(spark, folder).read("extract")).drop("batch_id")
+    store = _stored_twice(spark, folder)
+    return _taken_from(store, _shown(store.read("extract")).drop("batch_id"))
 
 
 def stored_cleaned_two_runs(spark, folder):
-    return _shown(_stored_twice(spark, folder).read("clean")).drop("batch_id")
+    store = _stored_twice(spark, folder)
+    return _taken_from(store, _shown(store.read("clean")).drop("batch_id"))
 
 
 def stored_cleaned_restarting(spark, folder):
     """The index as it is by default, which restarts with every batch."""
-    return _shown(_stored_twice(spark, folder, "batch").read("clean")).drop("batch_id")
+    store = _stored_twice(spark, folder, "batch")
+    return _taken_from(store, _shown(store.read("clean")).drop("batch_id"))
 
 
 def training_examples_two_batches(spark, folder):
     """Examples of two batches with restarting indexes: in order of index, then id."""
-    examples = cv.training_examples(
-        _stored_twice(spark, folder, "batch").read("clean"), style.PLAIN_PROMPT
-    )
-    return examples.select("conversation_id", cv.example_line().alias("example"))
+    store = _stored_twice(spark, folder, "batch")
+    examples = cv.training_examples(store.read("clean"), style.PLAIN_PROMPT)
+    return _taken_from(store, examples.select("conversation_id", cv.example_line().alias("example")))
 
 
 def reply_pairs_two_batches(spark, folder):
-    found = pairs.cleaned_pairs(
-        _stored_twice(spark, folder, "batch").read("clean"), BLOCK_ROWS, HOT_ROWS
-    )
-    return _pairs_shown(found.withColumnRenamed("position", "message_index"))
+    store = _stored_twice(spark, folder, "batch")
+    found = pairs.cleaned_pairs(store.read("clean"), BLOCK_ROWS, HOT_ROWS)
+    return _taken_from(store, _pairs_shown(found.withColumnRenamed("position", "message_index")))
 
 
 def job_results(spark, folder):
@@ -316,7 +325,7 @@ def job_results(spark, folder):
     scratch = run_from_scratch(source, store)
     note(extracted_anew=scratch[0])
     note(cleaned_anew=scratch[1])
-    return spark.createDataFrame(results, "step string, result long")
+    return _taken_from(store, spark.createDataFrame(results, "step string, result long"))
 
 
 def imported_marks(spark, folder):
@@ -325,9 +334,8 @@ def imported_marks(spark, folder):
     store = _fresh_store(spark)
     for stage in ("extract", "clean"):
         store.import_mark(stage, status.filter(F.col("stage") == stage))
-    return store.progress("extract").select(F.lit("extract").alias("stage"), "last_id").unionByName(
-        store.progress("clean").select(F.lit("clean").alias("stage"), "last_id")
-    )
+    marks = [store.progress(stage).select(F.lit(stage).alias("stage"), "last_id") for stage in ("extract", "clean")]
+    return _taken_from(store, reduce(DataFrame.unionByName, marks))
 
 
 def written_metadata(spark, folder):
@@ -365,12 +373,15 @@ def written_pairs(spark, folder):
 
 def stored_id_order(spark, folder):
     """Stored messages, and how many of them follow a higher id in their file."""
-    table = f"{_stored_twice(spark, folder).database}.messages"
-    messages = spark.table(table).select("message_id", "_metadata.file_path", "_metadata.row_index")
+    store = _stored_twice(spark, folder)
+    messages = spark.table(f"{store.database}.messages").select(
+        "message_id", "_metadata.file_path", "_metadata.row_index"
+    )
     before = F.lag("message_id").over(Window.partitionBy("file_path").orderBy("row_index"))
-    return messages.select("message_id", before.alias("before")).agg(
+    counts = messages.select("message_id", before.alias("before")).agg(
         F.count(F.lit(1)).alias("messages"), F.count_if(F.col("before") > F.col("message_id")).alias("out_of_order")
     )
+    return _taken_from(store, counts)
 
 
 def _parts(frame, path, *order):
@@ -391,7 +402,7 @@ def streamed_messages(spark, folder):
     ]
     query = available_now.start(*streams, lambda: derived_source(spark, folder), store, f"{path}/checkpoint")
     query.awaitTermination()
-    return _shown(store.read("extract")).drop("batch_id")
+    return _taken_from(store, _shown(store.read("extract")).drop("batch_id"))
 
 
 def full_conversations(spark, folder):

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,15 +21,6 @@ def roles(spark, sequence, chat_id=1):
         rows, "chat_id long, message_index long, role string, content string")
 
 
-def loop_pairs(sequence):
-    found = []
-    for i in range(len(sequence) - 1):
-        if sequence[i] == "F" and sequence[i + 1] == "S":
-            context = i >= 2 and sequence[i - 1] == "S" and sequence[i - 2] == "F"
-            found.append((i, 2 if context else 0, f"F{i}", f"S{i + 1}"))
-    return found
-
-
 @pytest.mark.parametrize("sequence,expected", [
     ("FS", [0]), ("FSFS", [0, 2]), ("FFS", [0]), ("SFS", [0]), ("FSFFS", [0, 0]),
     ("SS", []), ("FF", []), ("", [])])
@@ -38,13 +30,17 @@ def test_pairs_of_short_sequences(spark, sequence, expected):
 
 
 @pytest.mark.parametrize("block_rows", [4, 5, 1000])
-def test_pairs_against_a_loop(spark, block_rows):
+def test_pairs_by_what_they_have_to_be(spark, block_rows):
+    """Each own message right after a friend's is one reply; the four rows up to it decide on the context."""
     import random
     sequence = "".join(random.Random(2).choices("FS", k=200))
-    found = pairs.reply_pairs(roles(spark, sequence), block_rows=block_rows)
-    rows = found.orderBy("message_index").collect()
-    assert [(r.message_index, len(r.context), r.question, r.reply) for r in rows] == \
-        loop_pairs(sequence)
+    found = {r.message_index: r for r in pairs.reply_pairs(roles(spark, sequence), block_rows=block_rows).collect()}
+    replies = {m.start() for m in re.finditer("(?=FS)", sequence)}
+    exchanges = {m.start() + 2 for m in re.finditer("(?=FSFS)", sequence)}
+    assert set(found) == replies and len(replies) > 40 and len(exchanges) > 5
+    for at, row in found.items():
+        assert (row.question, row.reply) == (f"F{at}", f"S{at + 1}")
+        assert [m.content for m in row.context] == ([f"F{at - 2}", f"S{at - 1}"] if at in exchanges else [])
 
 
 def test_pair_line(spark):
