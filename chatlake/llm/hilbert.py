@@ -9,8 +9,6 @@ each window holds at most 64 rows, and a window over each leaf. Runs of equal le
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,14 +18,6 @@ from chatlake.llm.common import discard, stored
 BITS = 6
 DIGIT = 6
 LEAF_BITS = 12
-#: Bytes of a string that tell its step, after the prefix common to all its values.
-STRING_BYTES = 7
-
-
-def string_code(value: Column, skip: int) -> Column:
-    """An order-keeping number of the bytes after the first `skip`."""
-    tail = F.substring(F.encode(value, "UTF-8"), skip + 1, STRING_BYTES)
-    return F.conv(F.rpad(F.hex(tail), 2 * STRING_BYTES, "0"), 16, 10).cast("long")
 
 
 def _step(value: Column, cuts: list, low: int = 0, high: int | None = None) -> Column:
@@ -106,35 +96,69 @@ def curve_index(steps: list[Column], bits: int) -> Column:
     return _let(start, lambda a: _let(gray(a), lambda g: _let(flipped(g), interleaved)))
 
 
+def _string_cuts(rows: DataFrame, column: str, shares: list[float]) -> list[str | None]:
+    """The values up to which these shares of all rows lie; nulls come first.
+
+    Distinct values are counted and sorted, and the counts summed up within and over the sorted pieces,
+    so whole strings are compared and no task holds more than a piece.
+    """
+    first = F.asc_nulls_first(column)
+    counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    ordered = stored(counted.orderBy(first).withColumn("piece", F.spark_partition_id()))
+    over = Window.orderBy("piece")  # a row for each piece
+    pieces = ordered.groupBy("piece").agg(F.sum("n").alias("own")).select(
+        "piece",
+        (F.sum("own").over(over) - F.col("own")).alias("before"),
+        F.sum("own").over(Window.partitionBy()).alias("total"),
+    )
+    within = Window.partitionBy("piece").orderBy(first).rowsBetween(Window.unboundedPreceding, 0)
+    reached = ordered.withColumn("within", F.sum("n").over(within)).join(F.broadcast(pieces), "piece")
+    last = F.col("before") + F.col("within")
+    here = F.filter(
+        F.array(*map(F.lit, shares)),
+        lambda share: (share * F.col("total") > last - F.col("n")) & (share * F.col("total") <= last),
+    )
+    found = reached.select(F.col(column).alias("value"), F.explode(here).alias("share")).collect()
+    discard(ordered)
+    return [row.value for row in sorted(found, key=lambda row: row.share)]
+
+
 def with_curve(rows: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFrame:
     """`rows` with `curve`; dimensions are strings or numbers, nulls come first.
 
-    Two aggregations give the common prefix of each string column and the quantiles; what
-    reaches the driver is 2^bits - 1 numbers for each dimension.
+    The quantiles of numbers come from one aggregation, those of strings from counts of their values; what
+    reaches the driver is 2^bits - 1 values for each dimension.
     """
     kinds = dict(rows.dtypes)
-    strings = [d for d in dimensions if kinds[d] == "string"]
-    skip = {}
-    if strings:
-        ends = rows.agg(*[f(d).alias(f"{i}{k}") for i, d in enumerate(strings) for k, f in (("a", F.min), ("b", F.max))])
-        ends = ends.first()
-        for i, d in enumerate(strings):
-            both = [(ends[f"{i}{k}"] or "").encode() for k in "ab"]
-            skip[d] = len(os.path.commonprefix(both))
-    code = {
-        d: F.coalesce(string_code(F.col(d), skip[d]), F.lit(-1).cast("long"))
-        if d in skip
-        else F.coalesce(F.col(d).cast("double"), F.lit(float("-inf")))
-        for d in dimensions
-    }
     shares = [i / 2**bits for i in range(1, 2**bits)]
-    cuts = rows.agg(*[F.percentile_approx(code[d], shares, 10000).alias(f"q{i}") for i, d in enumerate(dimensions)]).first()
-    steps = [_step(code[d], list(cuts[f"q{i}"] or [])) for i, d in enumerate(dimensions)]
+    numbers = [d for d in dimensions if kinds[d] != "string"]
+    value = {d: F.coalesce(F.col(d).cast("double"), F.lit(float("-inf"))) for d in numbers}
+    cuts = {d: _string_cuts(rows, d, shares) for d in dimensions if d not in value}
+    if numbers:
+        quantiles = [F.percentile_approx(value[d], shares, 10000).alias(f"q{i}") for i, d in enumerate(numbers)]
+        found = rows.agg(*quantiles).first()
+        cuts |= {d: list(found[f"q{i}"] or []) for i, d in enumerate(numbers)}
+
+    def step(d: str) -> Column:
+        if d in value:
+            return _step(value[d], cuts[d])
+        # Cuts at null lie below all strings and not above null itself.
+        known = [cut for cut in cuts[d] if cut is not None]
+        own = F.when(F.col(d).isNull(), F.lit(0).cast("long")).otherwise(_step(F.col(d), known))
+        return own + len(cuts[d]) - len(known)
+
     # The steps are fixed in a row of their own before the curve's expressions refer to them often.
-    stepped = rows.withColumn("_steps", F.array(*steps))
+    stepped = rows.withColumn("_steps", F.array(*map(step, dimensions)))
     return stepped.withColumn("curve", curve_index([F.col("_steps")[i] for i in range(len(dimensions))], bits)).drop("_steps")
 
 
+def _packed(rows: DataFrame, dimensions: list[str]) -> tuple[DataFrame, list[str]]:
+    """The rows as a struct `_row` beside their dimensions, so that no column can have a name that is used here."""
+    names = [f"_d{i}" for i in range(len(dimensions))]
+    own = [F.col(f"`{d}`").alias(n) for d, n in zip(dimensions, names)]
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), *own), names
+
+
 def _offsets(counts: DataFrame, bits: int) -> DataFrame:
     """`(node, before)`: rows in front of each leaf of `counts(node, n)`."""
     levels = [counts]
@@ -160,32 +184,34 @@ def hilbert_shards(
     Shards are runs along the curve; their row counts differ by one at most. Rows are ordered by
     curve index, hash of id, id, and then by all other columns, so that only rows that are equal throughout are
     interchangeable. `rows` should be narrow: it is stored and shuffled. Null ids and null
-    dimensions are ordinary values; no rows give no rows. Input columns must not be named
-    curve, shard or slot.
+    dimensions are ordinary values; no rows give no rows. Columns named curve, shard or slot are replaced;
+    others may have any name.
     """
-    if {"curve", "shard", "slot"} & set(rows.columns):
-        raise ValueError("curve, shard and slot are the names of results")
-    narrow = stored(rows)
-    leaf = F.shiftleft("curve", LEAF_BITS) + F.xxhash64(id_column).bitwiseAND(F.lit((1 << LEAF_BITS) - 1).cast("long"))
-    placed = stored(with_curve(narrow, dimensions, bits).withColumn("node", leaf))
+    packed, names = _packed(rows, dimensions)
+    own_id = F.col("_row").getField(id_column)
+    narrow = stored(packed.withColumn("_id", own_id))
+    leaf = F.shiftleft("curve", LEAF_BITS) + F.xxhash64("_id").bitwiseAND(F.lit((1 << LEAF_BITS) - 1).cast("long"))
+    placed = stored(with_curve(narrow, names, bits).withColumn("node", leaf))
     discard(narrow)
     counts = stored(placed.groupBy("node").agg(F.count(F.lit(1)).alias("n")))
     total = placed.count()
     before = stored(_offsets(counts, bits * len(dimensions) + LEAF_BITS))
     discard(counts)
-    inner = Window.partitionBy("node").orderBy(id_column, *[c for c in rows.columns if c != id_column])
+    inner = Window.partitionBy("node").orderBy("_id", "_row")
     rank = F.row_number().over(inner).cast("long") - 1 + F.col("before")
     numbered = placed.join(before, "node").withColumn("_rank", rank)
     shard = F.expr(f"_rank * {shards} div {max(total, 1)}L")
     first = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
+    kept = [F.col("_row").getField(c).alias(c) for c in rows.columns if c not in ("curve", "shard", "slot")]
     return (
         numbered.withColumn("shard", shard.cast("int"))
         .withColumn("slot", F.col("_rank") - first)
-        .select(*rows.columns, "curve", "shard", "slot")
+        .select(*kept, "curve", "shard", "slot")
     )
 
 
 def write_shards(docs: DataFrame, dimensions: list[str], path: str, shards: int = 16) -> None:
     """Write whole rows in curve order, as about so many files, for pruning by file statistics."""
-    rows = with_curve(docs, dimensions)
-    rows.repartitionByRange(shards, "curve").sortWithinPartitions("curve").drop("curve").write.parquet(path)
+    packed, names = _packed(docs, dimensions)
+    rows = with_curve(packed, names).repartitionByRange(shards, "curve").sortWithinPartitions("curve")
+    rows.select("_row.*").write.parquet(path)

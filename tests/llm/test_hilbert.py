@@ -1,0 +1,69 @@
+"""Steps, ranks and shards of the Hilbert curve against plain versions."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from chatlake.llm import hilbert
+
+
+def _cuts(values, parts):
+    """The values at which each share of the rows is reached; null is the least."""
+    ordered = sorted(values, key=lambda v: (v is not None, v.encode() if v is not None else b""))
+    return [ordered[-(-i * len(ordered) // parts) - 1] for i in range(1, parts)] if ordered else []
+
+
+def _key(value):
+    return (value is not None, (value or "").encode())
+
+
+STRINGS = {
+    "hot": ["web"] * 500 + [f"site{i:03}" for i in range(300)],
+    "long prefixes": [f"https://example.org/{i % 50:02}" for i in range(2000)] + ["arxiv"],
+    "nulls and blanks": [None] * 40 + [""] * 30 + ["a", "b", "é", "日本", "\U0001f600"] * 9,
+    "one": ["x"] * 10,
+    "only null": [None] * 5,
+    "none": [],
+}
+
+
+@pytest.mark.parametrize("name", STRINGS)
+def test_quantiles_of_strings(spark, name):
+    values = STRINGS[name]
+    rows = spark.createDataFrame([(v,) for v in values], "s string").repartition(7)
+    shares = [i / 8 for i in range(1, 8)]
+    assert hilbert._string_cuts(rows, "s", shares) == _cuts(values, 8)
+
+
+@pytest.mark.parametrize("name", ["hot", "long prefixes", "nulls and blanks"])
+def test_steps_and_ranks(spark, name):
+    values = STRINGS[name]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "doc_id long, s string").repartition(5)
+    found = hilbert.hilbert_shards(rows, ["s"], shards=6, bits=3).collect()
+    cuts = _cuts(values, 8)
+    for r in found:  # in one dimension the curve is the step itself
+        assert r.curve == sum(_key(cut) <= _key(r.s) for cut in cuts)
+    hashes = {r.doc_id: r.h for r in rows.select("doc_id", F.xxhash64("doc_id").bitwiseAND(4095).alias("h")).collect()}
+    ordered = sorted(found, key=lambda r: (r.curve, hashes[r.doc_id], r.doc_id))
+    for rank, r in enumerate(ordered):
+        shard = rank * 6 // len(ordered)
+        assert (r.shard, r.slot) == (shard, rank - -(-shard * len(ordered) // 6))
+
+
+def test_values_with_a_common_prefix_are_told_apart(spark):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(STRINGS["long prefixes"])], "doc_id long, s string")
+    found = hilbert.hilbert_shards(rows, ["s"]).groupBy("curve").count().collect()
+    assert len(found) >= 40 and max(r["count"] for r in found) <= 80
+
+
+def test_columns_of_any_name(spark):
+    names = ["doc_id", "s", "node", "before", "curve", "shard", "slot", "_rank", "_id", "_row", "piece", "n", "total", "within"]
+    rows = spark.createDataFrame([(i, f"s{i % 7}", *range(100 * i, 100 * i + 12)) for i in range(60)], names)
+    found = hilbert.hilbert_shards(rows, ["s", "node"], shards=4)
+    assert found.columns == [n for n in names if n not in ("curve", "shard", "slot")] + ["curve", "shard", "slot"]
+    kept = [n for n in names if n not in ("curve", "shard", "slot")]
+    assert Counter(map(tuple, found.select(*kept).collect())) == Counter(map(tuple, rows.select(*kept).collect()))
+    assert sorted(Counter(r.shard for r in found.collect()).values()) == [15] * 4
