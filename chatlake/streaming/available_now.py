@@ -69,6 +69,9 @@ def process_batch(
     rows.select(*schemas.WAITING.fieldNames()).write.parquet(path)
     kept = spark.read.schema(schemas.WAITING).parquet(path)
     linked = kept.filter(F.col("chat_id").isNotNull()).unionByName(store.waiting_before(batch_id))
+    if linked.isEmpty() and kept.isEmpty():  # nothing came, and nothing waits for its chat
+        delete_folder(spark, path)
+        return
     links = linked.select("chat_id", F.col("row_id").alias("message_id"))
     source = replace(tables(), message=linked.drop("chat_id"), link=links)
     attempt = store.write_batch(EXTRACT, extract(source), batch_id)

@@ -373,7 +373,8 @@ def written_pairs(spark, folder):
 
 def stored_id_order(spark, folder):
     """Stored messages, and how many of them follow a higher id in their file."""
-    store = _stored_twice(spark, folder)
+    store = _fresh_store(spark)
+    run_extract(derived_source(spark, folder), store)
     messages = spark.table(f"{store.database}.messages").select(
         "message_id", "_metadata.file_path", "_metadata.row_index"
     )
