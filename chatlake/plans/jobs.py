@@ -73,10 +73,12 @@ def run_prepare(
     val_ratio: float = 0.1,
     seed: int = 42,
     hot_rows: int = HOT_ROWS,
+    part_messages: int | None = HOT_ROWS,
 ) -> None:
     """Write one JSON line per example and split, and metadata, below `path`.
 
-    Sizes are stored once: the split and the metadata both read them.
+    Sizes are stored once: the split and the metadata both read them. `part_messages` is as in
+    `write_conversations`.
     """
     sizes = stored(cv.conversation_sizes(cleaned))
     eligible = sizes.filter(F.col("message_count") >= min_messages)
@@ -91,6 +93,7 @@ def run_prepare(
         order=[],
         lead=cv.chat_message("system", prompt),
         partition="split",
+        part_messages=part_messages,
     )
     metadata = split.dataset_metadata(sizes, min_messages, val_ratio, seed)
     docs.write_metadata(
@@ -147,11 +150,13 @@ def run_export(
     self_role: str = "self",
     template: str = style.STYLE_TEMPLATE,
     hot_rows: int = HOT_ROWS,
+    part_messages: int | None = HOT_ROWS,
 ) -> Export:
     """Write documents, whole conversations, reply pairs and prompts below `path`.
 
     The flat rows are written first: four outputs read them, and joining and numbering them
     once costs less than doing it for each. All tables are read as of the start of the run.
+    `part_messages` is as in `write_conversations`.
     """
     source = take_snapshot(source).of(source)
     spark = source.message.sparkSession
@@ -173,6 +178,7 @@ def run_export(
         message=F.struct("role", "content", "timestamp", "contact_id", "has_media"),
         path=target.documents,
         order=largest_first,
+        part_messages=part_messages,
     )
 
     rendered = style.render_prompt(style.style_stats(rows, self_role), template)
@@ -187,6 +193,7 @@ def run_export(
         path=target.full_conversations,
         order=largest_first,
         lead=cv.chat_message("system", prompt),
+        part_messages=part_messages,
     )
     replies = pairs.reply_pairs(rows, self_role=self_role)
     docs.write_lines(replies, pairs.pair_line(prompt), target.message_pairs)

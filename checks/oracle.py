@@ -422,7 +422,15 @@ ORACLE["prepared_examples"] = (
     f"SELECT e.conversation_id, s.split, e.example FROM ({ORACLE['training_examples']}) e "
     f"JOIN ({ORACLE['train_val_split']}) s USING (conversation_id)"
 )
+ORACLE["prepared_examples_in_parts"] = (
+    f"SELECT e.conversation_id, e.part, s.split, e.example FROM ({ORACLE['training_examples_in_parts']}) e "
+    f"JOIN ({ORACLE['train_val_split']}) s USING (conversation_id)"
+)
 ORACLE["exported_documents"] = ORACLE["export_conversations"]
+ORACLE["exported_documents_in_parts"] = (
+    "SELECT *, least(message_count, 3)::INTEGER AS longest_line, ceil(message_count / 3)::BIGINT AS line_count "
+    f"FROM ({ORACLE['export_conversations']})"
+)
 ORACLE["stored_messages_two_runs"] = ORACLE["extract_messages"]
 ORACLE["stored_cleaned_two_runs"] = ORACLE["cleaned_messages"]
 

@@ -238,6 +238,36 @@ def prepared_examples(spark, folder):
     return lines.select(example["id"].alias("conversation_id"), "split", F.to_json(example).alias("example"))
 
 
+def prepared_examples_in_parts(spark, folder):
+    """The training files with conversations cut into several lines, read back."""
+    path = _fresh_folder(spark)
+    run_prepare(_cleaned(spark, folder), path, val_ratio=VAL_RATIO, seed=SEED, part_messages=PART_MESSAGES)
+    kind = "id string, part long, messages array<struct<role: string, content: string>>"
+    lines = spark.read.text(f"{path}/examples").filter("trim(value) <> ''")
+    example = F.from_json("value", kind)
+    return lines.select(
+        example["id"].alias("conversation_id"),
+        F.coalesce(example["part"], F.lit(0)).alias("part"),
+        "split",
+        F.to_json(example).alias("example"),
+    )
+
+
+def exported_documents_in_parts(spark, folder):
+    """The documents cut into several lines, read back; their messages in order of the parts."""
+    target = run_export(derived_source(spark, folder), _fresh_folder(spark), part_messages=PART_MESSAGES)
+    documents = read_documents(spark, target.documents)
+    longest = F.max(F.size("messages")).over(Window.partitionBy("id")).alias("longest_line")
+    in_order = F.struct(F.coalesce("part", F.lit(0)).alias("part"), "messages")
+    whole = documents.select("id", "title", "message_count", in_order.alias("line"), longest)
+    return (
+        whole.groupBy("id", "title", "message_count", "longest_line")
+        .agg(F.count(F.lit(1)).alias("line_count"), F.array_sort(F.collect_list("line")).alias("lines"))
+        .withColumn("messages", F.to_json(F.flatten(F.col("lines.messages")), KEEP_NULLS))
+        .drop("lines")
+    )
+
+
 def exported_documents(spark, folder):
     """The documents as the job writes them, read back."""
     target = run_export(derived_source(spark, folder), _fresh_folder(spark))
@@ -574,7 +604,9 @@ QUERIES = {
     "export_conversations": export_conversations,
     "export_sizes": export_sizes,
     "prepared_examples": prepared_examples,
+    "prepared_examples_in_parts": prepared_examples_in_parts,
     "exported_documents": exported_documents,
+    "exported_documents_in_parts": exported_documents_in_parts,
     "stored_messages_two_runs": stored_messages_two_runs,
     "stored_cleaned_two_runs": stored_cleaned_two_runs,
     "stored_cleaned_restarting": stored_cleaned_restarting,

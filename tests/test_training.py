@@ -67,6 +67,36 @@ def test_colliding_indexes_of_two_batches_interleave(spark):
     assert [m["content"] for m in line["messages"][1:]] == ["a", "c", "b"]
 
 
+def test_lines_of_a_very_long_conversation_are_shared_by_the_tasks(spark, tmp_path):
+    rows = [data.cleaned_row(n, 1, n, f"m{n}") for n in range(10_001)]
+    rows += [data.cleaned_row(20_000 + n, 2, n, f"short {n}") for n in range(500)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run_prepare(data.cleaned(spark, rows), str(tmp_path), val_ratio=0.0, part_messages=500)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    lines = spark.read.text(f"{tmp_path}/examples").select("value", "_metadata.file_path").collect()
+    found = [(json.loads(r.value), r.file_path) for r in lines if r.value.strip()]
+    long = sorted((line for line, _ in found if line["id"] == "convo_1"), key=lambda line: line.get("part", 0))
+    assert [line.get("part") for line in long] == [None, *range(1, 21)]
+    assert [m["role"] == "system" for line in long for m in line["messages"]].index(True) == 0
+    assert [len(line["messages"]) for line in long] == [501, *[500] * 19, 1]
+    assert [m["content"] for line in long for m in line["messages"]][1:] == [f"m{n}" for n in range(10_001)]
+    (short,) = [line for line, _ in found if line["id"] == "convo_2"]
+    assert list(short) == ["id", "messages"] and len(short["messages"]) == 501
+    files = {}
+    for line, file in found:
+        files[file] = files.get(file, 0) + len(line["messages"])
+    assert len(files) > 2 and max(files.values()) < 0.6 * 10_501
+
+
+def test_a_line_of_any_length_can_be_asked_for(spark, tmp_path):
+    rows = [data.cleaned_row(n, 1, n, f"m{n}") for n in range(1_001)]
+    run_prepare(data.cleaned(spark, rows), str(tmp_path), part_messages=None)
+    (line,) = [r.value for r in spark.read.text(f"{tmp_path}/examples").collect() if r.value.strip()]
+    assert [m["content"] for m in json.loads(line)["messages"][1:]] == [f"m{n}" for n in range(1_001)]
+
+
 def ids(spark, n):
     return spark.range(n).select(F.format_string("convo_%d", "id").alias("conversation_id"))
 
