@@ -43,6 +43,8 @@ STAGES = {
     UNLINKED: Stage(UNLINKED, "unlinked_messages"),
 }
 _TOTALS = "chat_totals"
+#: Commits of a stage after which its marks are put into one file.
+COMPACT_AFTER = 64
 #: The batch of a mark that was taken over from elsewhere; it has no rows.
 _IMPORTED = -1
 _TABLE_SCHEMAS = {
@@ -105,7 +107,7 @@ class MessageStore:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
         for table, schema in _TABLE_SCHEMAS.items():
             self._create_table(table, schema, {"batch_id": "BIGINT", "attempt": "STRING"})
-        self._create_table("progress", schemas.PROGRESS, {"stage": "STRING"})
+        self._create_table("progress", schemas.PROGRESS, {"stage": "STRING", "era": "BIGINT"})
 
     def _create_table(self, table, schema, partition):
         columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
@@ -121,10 +123,7 @@ class MessageStore:
         for stage in STAGES.values():
             if stage.name != CLEAN and not include_raw:
                 continue
-            self.spark.sql(
-                f"ALTER TABLE {self._name('progress')} "
-                f"DROP IF EXISTS PARTITION (stage = '{stage.name}')"
-            )
+            self._drop_eras(stage.name, self._eras(stage.name))
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(stage.table)}")
         self.spark.sql(f"DROP TABLE IF EXISTS {self._name(_TOTALS)}")
         self.create()
@@ -141,6 +140,29 @@ class MessageStore:
         rows = self._table("progress").filter(F.col("stage") == stage)
         return rows.groupBy("batch_id").agg(newest.alias("_")).select("batch_id", "_.*")
 
+    def _eras(self, stage: str) -> list[int]:
+        """Partitions of the stage's marks: one, or two while it is being compacted."""
+        shown = self.spark.sql(f"SHOW PARTITIONS {self._name('progress')} PARTITION (stage = '{stage}')")
+        return sorted(int(row["partition"].rsplit("=", 1)[1]) for row in shown.collect())
+
+    def _drop_eras(self, stage: str, eras: list[int]) -> None:
+        for era in eras:
+            self.spark.sql(
+                f"ALTER TABLE {self._name('progress')} "
+                f"DROP IF EXISTS PARTITION (stage = '{stage}', era = {era})"
+            )
+
+    def _compact_progress(self, stage: str, era: int) -> None:
+        """Copy the valid marks into the next era, as one file, and drop the eras before it.
+
+        A run that dies in between leaves marks twice, which changes nothing: the newest of a batch is valid.
+        """
+        if self._table("progress").filter((F.col("stage") == stage) & (F.col("era") == era)).count() <= COMPACT_AFTER:
+            return
+        marks = self.progress(stage).select(*schemas.PROGRESS.fieldNames(), F.lit(stage), F.lit(era + 1).cast("long"))
+        marks.coalesce(1).write.insertInto(f"{self.database}.progress")
+        self._drop_eras(stage, [old for old in self._eras(stage) if old <= era])
+
     def mark(self, stage: str) -> int:
         return latest_mark(self.progress(stage)).first()["last_id"]
 
@@ -303,6 +325,7 @@ class MessageStore:
         self, stage: str, batch_id: int, attempt: str, last_id: int, row_count: int
     ) -> None:
         """Append the mark, which makes the attempt visible; other attempts at the batch go."""
+        era = max(self._eras(stage), default=0)
         row = self.spark.range(1).select(
             F.lit(int(batch_id)).cast("long").alias("batch_id"),
             F.lit(attempt).alias("attempt"),
@@ -310,8 +333,10 @@ class MessageStore:
             F.lit(int(row_count)).cast("long").alias("row_count"),
             F.current_timestamp().alias("updated_at"),
             F.lit(stage).alias("stage"),
+            F.lit(era).cast("long").alias("era"),
         )
         row.write.insertInto(f"{self.database}.progress")
+        self._compact_progress(stage, era)
         for table in self._tables(stage) if batch_id != _IMPORTED else ():
             self._drop_other_attempts(table, batch_id, attempt)
         if stage == CLEAN:

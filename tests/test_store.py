@@ -294,3 +294,32 @@ def test_attempts_that_died_go_with_the_commit(spark, store):
     kept = commit(store, EXTRACT, [1], 0)
     names = {r.partition for r in spark.sql(f"SHOW PARTITIONS {store.database}.messages").collect()}
     assert len(names) == 2 and f"batch_id=0/attempt={kept}" in names
+
+
+def test_marks_are_compacted_and_none_is_lost(spark, store, monkeypatch):
+    monkeypatch.setattr("chatlake.sources.store.COMPACT_AFTER", 3)
+    for n in range(1, 10):
+        store.commit(EXTRACT, n, f"a{n}", 10 * n, n)
+        store.commit(CLEAN, n, f"c{n}", 5 * n, n) if n < 3 else None
+    store.commit(EXTRACT, 4, "again", 40, 4)  # a batch that is run once more
+    found = {r.batch_id: (r.attempt, r.last_id, r.row_count) for r in store.progress(EXTRACT).collect()}
+    assert found == {n: ("again" if n == 4 else f"a{n}", 10 * n, n) for n in range(1, 10)}
+    assert store.mark(CLEAN) == 10 and store.progress(CLEAN).count() == 2
+    assert len(store._eras(EXTRACT)) == 1 and len(store._eras(CLEAN)) == 1
+    files = spark.table(f"{store.database}.progress").filter("stage = 'extract'").select("_metadata.file_path")
+    assert files.distinct().count() <= 4
+    store.reset(include_raw=True)
+    assert store.mark(EXTRACT) == 0 and store.mark(CLEAN) == 0
+
+
+def test_marks_left_by_a_compaction_that_died_change_nothing(spark, store, monkeypatch):
+    for n in range(1, 4):
+        store.commit(EXTRACT, n, f"a{n}", 10 * n, n)
+    monkeypatch.setattr(type(store), "_drop_eras", lambda *_: None)
+    monkeypatch.setattr("chatlake.sources.store.COMPACT_AFTER", 1)
+    store.commit(EXTRACT, 4, "a4", 40, 4)
+    monkeypatch.undo()
+    assert store._eras(EXTRACT) == [0, 1]
+    store.commit(EXTRACT, 2, "b2", 20, 2)
+    assert {r.attempt for r in store.progress(EXTRACT).collect()} == {"a1", "b2", "a3", "a4"}
+    assert store.mark(EXTRACT) == 20
