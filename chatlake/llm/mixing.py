@@ -1,10 +1,11 @@
 """Mix sources to target weights by weighted sampling without replacement, in native expressions.
 
-Every document gets an Efraimidis-Spirakis key, -ln(u) / weight with u from a hash of its id;
+Every document gets an Efraimidis-Spirakis key, -ln(u) / weight with u from a hash of its id and text;
 small keys come first. A source's target is reached by complete epochs and then by the
 documents with the smallest keys, until the words that are left of the budget are used up. The
-place where the budget ends is found by three histograms of 256 steps each, so no source is
-sorted, and only the documents in the last step are summed up one by one.
+place where the budget ends is found by histograms, each of the step in which the last one ended, so no source is
+sorted. Keys are compared by their logarithms, which weights only move, so no weight crowds them. Only rows whose keys agree in
+all bits and that lie in one piece of the stored table are summed up one by one; all others are decided by the cut.
 """
 
 from __future__ import annotations
@@ -21,7 +22,11 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 EPOCHS = 2
 SEED = 42
-_KEY_BITS, _DIGIT, _LEVELS = 48, 8, 3
+#: Logarithms of keys from -48 to 16, of which no weight between 1e-5 and 1e5 leaves much, in four digits.
+_LOWEST, _SPAN = -48, 64
+_DIGIT, _LEVELS = 13, 4
+_KEY_BITS = _DIGIT * _LEVELS
+_ROW_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
 
 
 def quality_weight(text: Column, size: Column) -> Column:
@@ -30,11 +35,11 @@ def quality_weight(text: Column, size: Column) -> Column:
     return F.greatest(F.lit(0.1), F.coalesce(1 / (1 + F.abs(mean - 7) / 4), F.lit(0.1)))
 
 
-def sampling_key(doc_id: Column, weight: Column, seed: int = SEED) -> Column:
-    """1 - exp(-key) in 48 bits, which is in the order of the exponential keys."""
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id), 11).cast("double") + 0.5) / float(1 << 53)
-    key = -F.log(u) / weight
-    return F.least(F.floor((1 - F.exp(-key)) * float(1 << _KEY_BITS)), F.lit((1 << _KEY_BITS) - 1)).cast("long")
+def sampling_key(identity: Column, weight: Column, seed: int = SEED) -> Column:
+    """The logarithm of -ln(u) / weight in 52 bits, in the order of the keys."""
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), identity), 12).cast("double") + 0.5) / float(1 << 52)
+    place = (F.log(-F.log(u) / weight) - _LOWEST) * float((1 << _KEY_BITS) // _SPAN)
+    return F.greatest(F.lit(0), F.least(F.floor(place), F.lit((1 << _KEY_BITS) - 1))).cast("long")
 
 
 def targets(
@@ -79,61 +84,73 @@ def mix(
     Sizes and targets are in words. taken is epochs x size and, in the last epoch, the size again
     or, for the one document of a source at which its budget ends, the words that are left; so the sum
     over a source is its target, rounded to whole words. `quality(text, size)` gives the weights, above 0. `keep`
-    names columns to carry along. Null texts have size 0 and null sources are a source of their own. Rows with
-    equal ids have equal keys and are ordered by size. A run is repeated with equal results. No rows
-    give no rows.
+    names columns to carry along, other than those of the result (ValueError). Null texts have size 0 and null sources are a
+    source of their own. Rows with equal ids and different texts have keys of their own; rows equal in both have equal
+    keys, and the budget may end within them. A run is repeated with equal results. No rows give no rows.
     """
+    result = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    if clashing := sorted(set(result) & set(keep)):
+        raise ValueError(f"columns of the result cannot be kept: {clashing}")
     text, size = F.col("text"), F.col("size")
+    identity = F.struct(F.col("doc_id"), text)
+    # Kept columns travel as one struct, so that no name of theirs meets one of the steps below.
+    kept = [F.struct(*keep).alias("_kept")] if keep else []
     narrow = stored(
         docs.select(
-            F.col("doc_id").cast("long"),
-            F.col("source").cast("string"),
-            words(text).alias("size"),
-            text,
-            *keep,
+            F.col("doc_id").cast("long"), F.col("source").cast("string"), words(text).alias("size"), text, *kept
         ).select(
             "doc_id",
             "source",
             "size",
             F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"),
-            sampling_key(F.col("doc_id"), quality(text, size), seed).alias("v"),
-            *keep,
+            sampling_key(identity, quality(text, size), seed).alias("v"),
+            F.monotonically_increasing_id().alias("row"),
+            *(["_kept"] if keep else []),
         )
     )
     by_source = narrow.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
     whole = F.floor(F.col("target") / F.greatest("source_size", F.lit(1))).cast("long")
     left = F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")
     budgets = stored(targets(by_source, weights, share, epochs).withColumn("whole", whole).withColumn("left", left))
-    bound = stored(budgets.filter("left > 0").select("key", "left", F.lit(0).cast("long").alias("prefix")))
-    for level in range(1, _LEVELS + 1):
-        shift = _KEY_BITS - _DIGIT * level
-        step = F.shiftright("v", shift)
-        inside = narrow.join(bound, "key").filter(F.shiftright("v", shift + _DIGIT) == F.col("prefix"))
-        sums = inside.groupBy("key", "left", step.alias("step")).agg(F.sum("size").alias("n"))
+    cut = _cut(narrow, budgets.filter("left > 0").select("key", "left"))
+    rows = narrow.join(budgets.select("key", "source_size", "target", "whole"), "key").join(cut, "key", "left")
+    at_cut = F.coalesce((F.col("v") == F.col("cut_v")) & (_piece() == F.col("cut_piece")), F.lit(False))
+    is_before = (F.col("v") < F.col("cut_v")) | ((F.col("v") == F.col("cut_v")) & (_piece() < F.col("cut_piece")))
+    others = rows.filter(~at_cut).withColumn("part", F.when(is_before, size).otherwise(0))
+    earlier = Window.partitionBy("key").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    remaining = F.greatest(F.lit(0), F.least(size, F.col("last") - before))
+    both = others.unionByName(rows.filter(at_cut).withColumn("part", remaining))
+    taken = (F.col("whole") * size + F.col("part")).cast("long").alias("taken")
+    return both.select(*result[:-1], taken, *(["_kept.*"] if keep else []))
+
+
+def _piece() -> Column:
+    """The piece of the stored table that a row lies in."""
+    return F.shiftright("row", _ROW_BITS)
+
+
+def _cut(narrow: DataFrame, budgets: DataFrame) -> DataFrame:
+    """`(key, cut_v, cut_piece, last)`: where the budget `left` of a source ends.
+
+    Rows before (cut_v, cut_piece) fit in; `last` words are left for those at it.
+    """
+
+    def ended(inside: DataFrame, step: Column) -> DataFrame:
+        sums = inside.groupBy("key", "left", "prefix", step.alias("step")).agg(F.sum("size").alias("n"))
         earlier = Window.partitionBy("key").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        bound = stored(
-            sums.filter("before < left and before + n >= left").select(
-                "key", (F.col("left") - F.col("before")).alias("left"), F.col("step").alias("prefix")
-            )
+        return sums.filter("before < left and before + n >= left").select(
+            "key", (F.col("left") - F.col("before")).alias("left"), "prefix", "step"
         )
-    step = F.shiftright("v", _KEY_BITS - _DIGIT * _LEVELS)
-    bound = bound.select("key", F.col("left").alias("last"), "prefix")
-    rows = narrow.join(budgets.select("key", "source_size", "target", "whole"), "key").join(bound, "key", "left")
-    rows = rows.withColumn("step", step)
-    earlier = Window.partitionBy("key", "step").orderBy("v", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("size").over(earlier), F.lit(0))
-    part = (
-        F.when(F.col("step") < F.col("prefix"), size)
-        .when(F.col("step") == F.col("prefix"), F.greatest(F.lit(0), F.least(size, F.col("last") - before)))
-        .otherwise(0)
-    )
-    return rows.withColumn("part", part).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("whole") * size + F.col("part")).cast("long").alias("taken"),
-        *keep,
+
+    sized = narrow.filter("size > 0").select("key", "v", "row", "size")
+    bound = stored(budgets.select("key", "left", F.lit(0).cast("long").alias("prefix")))
+    for level in range(1, _LEVELS + 1):
+        shift = _KEY_BITS - _DIGIT * level
+        inside = sized.join(bound, "key").filter(F.shiftright("v", shift + _DIGIT) == F.col("prefix"))
+        bound = stored(ended(inside, F.shiftright("v", shift)).select("key", "left", F.col("step").alias("prefix")))
+    found = ended(sized.join(bound, "key").filter("v = prefix"), _piece())
+    return stored(
+        found.select("key", F.col("prefix").alias("cut_v"), F.col("step").alias("cut_piece"), F.col("left").alias("last"))
     )

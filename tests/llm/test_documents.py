@@ -410,6 +410,51 @@ def test_heavier_documents_come_earlier(spark):
     assert first > 1_450
 
 
+def _plain_taken(rows, keys):
+    """Words taken by key from (source, size) rows: whole epochs, then by ascending key until the budget ends."""
+    sizes = Counter()
+    for source, size in rows:
+        sizes[source] += size
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    targets = _water(sizes, {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}, 1.5)
+    taken = [0] * len(rows)
+    for name, total in sizes.items():
+        whole = int(targets[name] // max(total, 1))
+        left = int(targets[name] - whole * total + 0.5)
+        for i in sorted((i for i, (s, _) in enumerate(rows) if s == name), key=lambda i: keys[i]):
+            part = min(rows[i][1], left)
+            left -= part
+            taken[i] = whole * rows[i][1] + part
+    return taken
+
+
+def test_taken_equals_a_plain_version(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(400), rng.choice(["a", "b", None]), " ".join("w" * rng.randrange(1, 90) for _ in range(rng.randrange(12)))) for _ in range(900)]
+    rows += [(7, "hot", "one two three")] * 700 + [(None, "hot", None)] * 300 + [(None, "hot", "four five")] * 200
+    rows += [(i, "floor", "x" * 400) for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    size = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    sized = frame.withColumn("size", F.coalesce(size, F.lit(0)))
+    weight = mixing.quality_weight(F.col("text"), F.col("size"))
+    keyed = sized.withColumn("v", mixing.sampling_key(F.struct("doc_id", "text"), weight)).collect()
+    plain = _plain_taken([(r.source, r.size) for r in keyed], [r.v for r in keyed])
+    expected = Counter((r.doc_id, r.source, r.text, t) for r, t in zip(keyed, plain))
+    found = mixing.mix(frame, keep=["text"]).collect()
+    assert Counter((r.doc_id, r.source, r.text, r.taken) for r in found) == expected
+    floor = [r.v for r in keyed if r.source == "floor"]
+    assert len({v >> 39 for v in floor}) > 100 and len(set(floor)) == 500
+
+
+def test_kept_columns_may_have_any_name_but_the_results(spark):
+    rows = [(i, "x", "a b c", i, -i, f"p{i}") for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string, step long, v long, part string")
+    found = mixing.mix(frame, keep=["step", "v", "part"]).collect()
+    assert all((r.step, r.v, r.part) == (r.doc_id, -r.doc_id, f"p{r.doc_id}") for r in found) and len(found) == 20
+    with pytest.raises(ValueError, match="size"):
+        mixing.mix(frame.withColumn("size", F.lit(1)), keep=["size"])
+
+
 # quality --------------------------------------------------------------------------------------
 
 
