@@ -2,8 +2,9 @@
 
 Every run of GRAM code points has a rolling hash; of each WINDOW consecutive hashes the least is
 chosen, the rightmost of equal ones, and kept with its position. Any passage of
-GRAM + WINDOW - 1 code points that two texts share then shares a chosen hash. Work is done in numpy on
-portions of a text, so a very long one needs little memory besides itself.
+GRAM + WINDOW - 1 code points that two texts share then shares a chosen hash. In short texts grams are at
+most half of the text, and windows a quarter of its grams, so that three quarters of any text that stay as they are share a
+hash too. Work is done in numpy on portions of a text, so a very long one needs little memory besides itself.
 """
 
 from __future__ import annotations
@@ -59,6 +60,16 @@ def least_in_windows(hashes: np.ndarray, window: int) -> np.ndarray:
     return best
 
 
+def scaled(length: int, gram: int = GRAM, window: int = WINDOW) -> tuple[int, int]:
+    """Gram and window for a text of so many code points.
+
+    The guarantee between texts stays: the least hash of a window is the least of any shorter one around it, and a
+    text that holds a passage of gram + window - 1 points has the full gram if that is twice the gram or more.
+    """
+    gram = min(gram, max(1, length // 2))
+    return gram, min(window, max(1, (length - gram + 1) // 4))
+
+
 def winnow(text: str, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) chosen from the text, in order of position.
 
@@ -107,7 +118,8 @@ def winnowed(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFra
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            found = [winnow(x.as_py() or "", gram, window) for x in batch.column("text")]
+            texts = [x.as_py() or "" for x in batch.column("text")]
+            found = [winnow(text, *scaled(len(text), gram, window)) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -160,7 +172,7 @@ def fingerprints_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WIN
     """Fingerprints of every text of `docs(doc_id, text)` and of the text edited with the next one.
 
     Next is the row with the next doc_id, rows of equal ids being in order of their text and null ids first; after the
-    last comes the first, which for a single row is itself. Null texts are empty. Two empty texts have likeness
+    last comes the first, which for a single row is itself. Grams and windows are `scaled` to each text. Null texts are empty. Two empty texts have likeness
     1, an empty and another one 0. No rows give no rows; other columns are ignored.
     """
     rows = id_text(docs).select(
@@ -172,7 +184,7 @@ def fingerprints_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WIN
     def result(now, following):
         doc_id, text, (positions, hashes) = now
         changed = edited(text, following[1])
-        own, other = digest(positions, hashes), winnow(changed, gram, window)
+        own, other = digest(positions, hashes), winnow(changed, *scaled(len(changed), gram, window))
         return (
             doc_id,
             len(text),
@@ -196,7 +208,7 @@ def fingerprints_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WIN
                 if ahead and now is None:  # more rows with the id of the next run's first
                     continue
                 text = value.as_py()
-                row = doc_id, text, winnow(text, gram, window)
+                row = doc_id, text, winnow(text, *scaled(len(text), gram, window))
                 if now is not None:
                     out.append(result(now, row))
                 now = None if ahead else row

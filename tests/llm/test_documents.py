@@ -84,6 +84,47 @@ def test_a_single_text_is_its_own_next(docs):
     assert row.near_next == 1.0 and row.edited_sha256 == hashlib.sha256(b"one two thone").hexdigest()
 
 
+def _plain_hashes(text):
+    """The set of chosen hashes, gram by gram, with the gram and window of the text's length."""
+    gram = min(winnowing.GRAM, max(1, len(text) // 2))
+    window = min(winnowing.WINDOW, max(1, (len(text) - gram + 1) // 4))
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    return {int(winnowing.gram_hashes(points[i : i + gram], gram)[0]) for i in _plain_winnow(text, gram, window)}
+
+
+def test_likeness_equals_a_plain_version(spark):
+    rng = random.Random(8)
+    rows = [(n, "".join(rng.choice("abcdefgh  é日") for _ in range(rng.randrange(260)))) for n in range(120)]
+    rows += [(200, rows[3][1] * 3), (201, rows[3][1] * 2), (202, None), (203, ""), (204, "x"), (205, "x" * 300)]
+    found = {r.doc_id: r for r in winnowing.fingerprints_with_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for at, (i, text) in enumerate(rows):
+        text, following = text or "", rows[(at + 1) % len(rows)][1] or ""
+        quarter = len(text) // 4
+        own, other, nxt = map(_plain_hashes, (text, text[: len(text) - quarter] + following[:quarter], following))
+        for value, side in ((found[i].near_edited, other), (found[i].near_next, nxt)):
+            assert value == pytest.approx(len(own & side) / len(own | side) if own | side else 1.0)
+
+
+def test_three_quarters_of_any_text_are_found():
+    rng = random.Random(9)
+    for length in [*range(1, 260), 1000]:
+        text, other = ("".join(rng.choice(letters) for _ in range(length)) for letters in ("abcdefgh", "ijklmnop"))
+        changed = text[: length - length // 4] + other[: length // 4]
+        found = [winnowing.winnow(t, *winnowing.scaled(length))[1] for t in (text, changed, other)]
+        assert winnowing.likeness(found[0], found[1]) > 0 and winnowing.likeness(found[0], found[2]) == 0
+
+
+@pytest.mark.parametrize("around", [0, 1, 40, 130])
+def test_the_guarantee_holds_between_short_and_long_texts(around):
+    rng = random.Random(around)
+    for _ in range(60):
+        shared = "".join(rng.choice("abcd ") for _ in range(winnowing.GRAM + winnowing.WINDOW - 1))
+        short = "e" * around + shared
+        long = "".join(rng.choice("efgh") for _ in range(900)) + shared + "h" * 50
+        found = [set(winnowing.winnow(t, *winnowing.scaled(len(t)))[1].tolist()) for t in (short, long)]
+        assert found[0] & found[1]
+
+
 # tokens --------------------------------------------------------------------------------------
 
 
