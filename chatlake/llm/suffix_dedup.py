@@ -3,7 +3,7 @@
 A string of LENGTH bytes that starts at p is found by its anchor: of the grams in it, the one with
 the least hash, the rightmost of equal ones. Equal strings have equal anchors at equal offsets, so it
 is enough to sort the suffixes that start at anchors, one byte in forty. Texts are dealt into
-blocks by a hash of doc_id, and one shuffle of them serves all three readings:
+blocks by doc_id and a digest of the text, so that no id is hot, and one shuffle of them serves all three readings:
 
 1. Each block sends the distinct hashes of its anchors to the tasks that own them, and learns which
    occur more than once in the corpus.
@@ -48,11 +48,17 @@ RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
 _FIRST_ID = -(1 << 63)
 
 
+def text_order(text: bytes) -> int:
+    """Place of a text among those of its doc_id: 32 bits of what Spark's xxhash64 gives."""
+    return xxhash.xxh64_intdigest(text, seed=42) & 0xFFFFFFFF
+
+
 class Block(NamedTuple):
-    """Texts of a block in order of (doc_id, text), equal rows being one document."""
+    """Texts of a block in order of (doc_id, order, text), equal rows being one document."""
 
     data: bytes
     ids: list[int]
+    orders: list[int]
     starts: np.ndarray
     row_doc: np.ndarray
 
@@ -60,7 +66,8 @@ class Block(NamedTuple):
     def of(cls, table: pa.Table) -> Block:
         ids = [_FIRST_ID if i is None else i for i in table.column("doc_id").to_pylist()]
         texts = [(t or "").encode("utf-8", "surrogatepass") for t in table.column("text").to_pylist()]
-        order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
+        orders = [text_order(t) for t in texts]
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], orders[i], texts[i]))
         row_doc, docs = np.empty(len(ids), np.int64), []
         for i in order:
             if not docs or (ids[docs[-1]], texts[docs[-1]]) != (ids[i], texts[i]):
@@ -68,7 +75,7 @@ class Block(NamedTuple):
             row_doc[i] = len(docs) - 1
         parts = [texts[i] for i in docs]
         starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        return cls(b"".join(parts), [ids[i] for i in docs], starts, row_doc)
+        return cls(b"".join(parts), [ids[i] for i in docs], [orders[i] for i in docs], starts, row_doc)
 
 
 class Anchors(NamedTuple):
@@ -181,6 +188,7 @@ class Entry(NamedTuple):
     doc: int
     doc_id: int
     at: int  # in the document
+    order: int = 0  # of the text among those of its doc_id
 
 
 def _common(a: bytes, b: bytes, start: int) -> int:
@@ -212,6 +220,7 @@ def encode_run(entries: list[Entry]) -> bytes:
         np.array([e.doc for e in entries], "<u4"),
         np.array([e.doc_id for e in entries], "<i8"),
         np.array([e.at for e in entries], "<u8"),
+        np.array([e.order for e in entries], "<u4"),
     ]
     body = b"".join([len(entries).to_bytes(4, "little"), *(c.tobytes() for c in columns), *rest, *(e.left for e in entries)])
     return zstandard.compress(body, 3)
@@ -224,12 +233,12 @@ class Run:
         body = zstandard.decompress(data)
         n, at = int.from_bytes(body[:4], "little"), 4
         columns = []
-        for kind in ("<u2", "<u2", "<u2", "<u2", "<u4", "<i8", "<u8"):
+        for kind in ("<u2", "<u2", "<u2", "<u2", "<u4", "<i8", "<u8", "<u4"):
             columns.append(np.frombuffer(body, kind, n, at))
             at += columns[-1].nbytes
         self.block, self.size, self.body = block, n, body
         self.shared, sizes, lefts = (c.tolist() for c in columns[:3])
-        self.ahead, self.doc, self.doc_id, self.place = columns[3:]
+        self.ahead, self.doc, self.doc_id, self.place, self.order = columns[3:]
         self.rest_at = (at + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])).astype(np.int64).tolist()
         self.left_at = (self.rest_at[-1] + np.concatenate([[0], np.cumsum(lefts, dtype=np.int64)])).astype(np.int64).tolist()
         self.next, self.suffix = 0, b""
@@ -265,7 +274,7 @@ def _send_runs(length: int, gram: int, parts: int):
             lists = [np.frombuffer(zstandard.decompress(answers[p]), np.uint8) for p, _, _ in _runs_of(owner)]
             flag = np.concatenate(lists)[place] if lists else np.zeros(0, np.uint8)
             chosen = np.flatnonzero(flag)
-            starts, data, ids = block.starts.tolist(), block.data, block.ids
+            starts, data, ids, orders = block.starts.tolist(), block.data, block.ids, block.orders
             seen: set = set()
             columns = (anchors.at, anchors.low, anchors.high, anchors.doc, owner[place], flag)
             for at, low, high, doc, part, how in zip(*(c[chosen].tolist() for c in columns)):
@@ -277,7 +286,7 @@ def _send_runs(length: int, gram: int, parts: int):
                     continue
                 seen.add(key)
                 if how == 1:
-                    entry = Entry(text[at - low :], text[: at - low], at - high, doc, ids[doc], at - start)
+                    entry = Entry(text[at - low :], text[: at - low], at - high, doc, ids[doc], at - start, orders[doc])
                     runs.setdefault(part, []).append(entry)
                     continue
                 for p in range(low, high + 1):
@@ -287,7 +296,7 @@ def _send_runs(length: int, gram: int, parts: int):
                         continue
                     seen.add(string)
                     to = xxhash.xxh64_intdigest(string) % parts
-                    runs.setdefault(to, []).append(Entry(string, b"", 0, doc, ids[doc], p - start))
+                    runs.setdefault(to, []).append(Entry(string, b"", 0, doc, ids[doc], p - start, orders[doc]))
         out = [(part, number, True, encode_run(entries)) for part, entries in runs.items()]
         if marks:
             out.append((number % parts, number, False, encode_marks(np.array(marks))))
@@ -363,7 +372,9 @@ def repeats(groups: np.ndarray, entries: list[tuple[Run, int, bytes]], length: i
     place = np.array([int(run.place[i]) for run, i, _ in entries])
     ids = np.array([int(run.doc_id[i]) for run, i, _ in entries])
     docs = np.array([int(run.doc[i]) for run, i, _ in entries])
-    order = np.lexsort((place, docs, ids))
+    orders = np.array([int(run.order[i]) for run, i, _ in entries])
+    # Texts that agree in (id, order) are in one block, which numbers them.
+    order = np.lexsort((place, docs, orders, ids))
     counts = (back - ahead + 1)[order]
     entry = np.repeat(order, counts)
     offset = np.arange(len(entry)) - np.repeat(np.cumsum(counts) - counts, counts) + ahead[entry]
@@ -486,7 +497,7 @@ def deduplicated(
     earlier in the same text. Texts are UTF-8; kept_sha256 is of the bytes that are left, and
     kept_text leaves out what is left of characters that were cut. Null texts are empty. A null doc_id is
     smaller than any other. Rows with equal doc_id and text are one document, with one
-    result for all of them; rows with equal doc_id only are in order of their text. No rows give no rows. Other columns are carried along, except
+    result for all of them; rows with equal doc_id only are in order of 32 bits of their text's hash, then of the text. No rows give no rows. Other columns are carried along, except
     those named like a result, which are replaced, and one named _block, which is left out.
     """
     spark = docs.sparkSession
@@ -495,7 +506,9 @@ def deduplicated(
     parts = partitions(spark)
     blocks = max(parts, ceil(size / block_bytes))
     docs = docs.select(*names).withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    dealt = docs.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    order = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
+    key = F.xxhash64(F.coalesce("doc_id", F.lit(_FIRST_ID)), order)
+    dealt = docs.withColumn("_block", F.pmod(key, F.lit(blocks)))
     by_block = dealt.groupBy("_block")
 
     lists = by_block.applyInArrow(_send_hashes(length, gram, parts), f"{_LIST}, n int")

@@ -320,7 +320,8 @@ def test_family_of_shared_boilerplate_stays(spark):
 
 def _plain_dedup(rows, length=100):
     seen, out = set(), {}
-    for i, text in sorted({(-1 if i is None else i, (t or "").encode()) for i, t in rows}):
+    distinct = {(-1 if i is None else i, (t or "").encode()) for i, t in rows}
+    for i, text in sorted(distinct, key=lambda row: (row[0], xxhash.xxh64_intdigest(row[1], seed=42) % 2**32, row[1])):
         gone = bytearray(len(text))
         for p in range(len(text) - length + 1):
             if text[p : p + length] in seen:
@@ -344,6 +345,28 @@ def test_repeated_strings_go(docs, hot):
     assert any(n for _, n, _, _ in expected.values())
 
 
+@pytest.mark.parametrize("hot", [2048, 1])
+def test_rows_of_one_id_lie_in_many_blocks(spark, hot):
+    rng = random.Random(21)
+    passages = ["".join(rng.choice("abcdefg ") for _ in range(rng.randrange(100, 260))) for _ in range(12)]
+
+    def text():
+        own = ["".join(rng.choice("hijklmn ") for _ in range(rng.randrange(150))) for _ in range(3)]
+        return rng.choice(passages).join(own) if rng.random() < 0.8 else "".join(own)
+
+    rows = [(7, text()) for _ in range(250)] + [(None, text()) for _ in range(60)] + [(i, text()) for i in range(60)]
+    rows += rows[:20]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.deduplicated(docs, hot=hot, block_bytes=1 << 11).collect()
+    expected = _plain_dedup(rows)
+    assert len(found) == len(rows) and sum(n for _, n, _, _ in expected.values()) > 10_000
+    for r in found:
+        key = -1 if r.doc_id is None else r.doc_id, r.text.encode()
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected[key]
+    order = F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF))
+    assert {(r.text, r.o) for r in docs.select("text", order.alias("o")).collect()} == {(t, suffix_dedup.text_order(t.encode())) for _, t in rows}
+
+
 @pytest.mark.parametrize("bits", [64, 4, 0])
 def test_chance_agreements_of_hashes_are_told_apart(monkeypatch, bits):
     rng = random.Random(7)
