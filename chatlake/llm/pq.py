@@ -113,6 +113,12 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Times a power of two, so exactly in proportion, with the largest entry between 0.5 and 1: squares of the
+    largest and the smallest doubles would else be infinite or zero."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def compare(model: Model, cell: int, queries: np.ndarray, members: np.ndarray, codes, error, cosine: float):
     """(query, member) of all pairs with at least the cosine."""
     unit = _unit(queries)
@@ -121,6 +127,7 @@ def compare(model: Model, cell: int, queries: np.ndarray, members: np.ndarray, c
     left, right = np.nonzero(near)
     if not len(left):
         return left, right
+    queries, members = _scaled(queries), _scaled(members)
     scale_q = np.sqrt((queries**2).sum(axis=1))
     scale_m = np.sqrt((members**2).sum(axis=1))
     found = np.zeros(len(left), bool)

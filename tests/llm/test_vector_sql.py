@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 import __spark_entry__ as contract
+from chatlake.llm import pq
 from checks.compare import difference, duck
 
 
@@ -28,3 +29,28 @@ def test_planted_links_equal_sql(spark, tmp_path):
     found = contract.queries()["op3_pq"](spark, str(tmp_path))
     assert found.filter("n_links > 0").count() > 500
     assert difference(found, contract.oracle_sql()["op3_pq"], connection) is None
+
+
+def test_lengths_of_vectors_do_not_matter(spark):
+    rng = np.random.default_rng(4)
+    rows, number = [], 0
+    for group in range(12):
+        base = rng.normal(size=8)
+        for scale in (1e300, 1e160, 1.0, 1e-160, 1e-300):
+            for turned in (0.0, 0.3, 0.8):
+                vector = base / np.linalg.norm(base) + turned * rng.normal(size=8) / np.sqrt(8)
+                rows.append((number, [float(c) for c in vector * scale], 1, group, vector))
+                number += 1
+    units = np.stack([v / np.linalg.norm(v) for *_, v in rows])
+    linked = units @ units.T >= 0.93
+    table = spark.createDataFrame([r[:3] for r in rows], "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in pq.near_duplicates(table, list_size=16, block=8).collect()}
+    assert found == {i: int(linked[i].sum()) - 1 for i in range(len(rows))}
+    assert 0 < linked.sum() - len(rows) < len(rows) * (len(rows) - 1)
+
+
+def test_null_ids_and_equal_rows(spark):
+    rows = [(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (5, [1.0, 0.01], 1), (5, [1.0, 0.01], 1), (None, [0.0, 1.0], 1), (9, [0.0, 0.0], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = sorted((r.vec_id or -1, r.n_links, r.component_id or -1, r.kept) for r in pq.near_duplicates(table).collect())
+    assert found == [(-1, 0, -1, True), (-1, 3, 5, False), (-1, 3, 5, False), (5, 3, 5, True), (5, 3, 5, True), (9, 0, 9, True)]
